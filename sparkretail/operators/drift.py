@@ -93,16 +93,19 @@ def exact_quantiles(values: DataFrame, fractions: Sequence[tuple[int, int]],
                                               F.col("hi_rank").alias("rank")))).alias("t"))
     tg = tg.select(key, "q_index", "frac", "t.side", "t.rank")
     # which bucket holds each target rank (tiny x tiny)
-    tb = tg.join(F.broadcast(totals.select(key, "bucket", "offset", "bucket_cnt")),
-                 (tg[key] == totals[key]) & (tg["rank"] >= totals["offset"])
-                 & (tg["rank"] < totals["offset"] + totals["bucket_cnt"]), "inner") \
-        .select(tg[key], "q_index", "frac", "side", "rank", "bucket", "offset")
+    tot = totals.select(F.col(key).alias("b_key"), F.col("bucket").alias("t_bucket"),
+                        "offset", "bucket_cnt")
+    tb = tg.join(F.broadcast(tot), (F.col(key) == F.col("b_key"))
+                 & (F.col("rank") >= F.col("offset"))
+                 & (F.col("rank") < F.col("offset") + F.col("bucket_cnt")), "inner")
+    tb = tb.select(F.col(key).alias("t_key"), "q_index", "frac", "side",
+                   (F.col("rank") - F.col("offset")).alias("rank_in_bucket"), "t_bucket")
     # equi-join on (key, bucket) + rank inside the value's count range
-    cond = ((dv[key] == tb[key]) & (dv["bucket"] == tb["bucket"])
-            & (tb["rank"] - tb["offset"] >= dv["cum_in_bucket"] - dv["cnt"])
-            & (tb["rank"] - tb["offset"] < dv["cum_in_bucket"]))
-    picked = dv.join(F.broadcast(tb), cond, "inner").select(
-        tb[key].alias(key), "q_index", "frac", "side", "value")
+    cond = ((F.col(key) == F.col("t_key")) & (F.col("bucket") == F.col("t_bucket"))
+            & (F.col("rank_in_bucket") >= F.col("cum_in_bucket") - F.col("cnt"))
+            & (F.col("rank_in_bucket") < F.col("cum_in_bucket")))
+    picked = dv.join(F.broadcast(tb), cond, "inner").select(key, "q_index", "frac", "side",
+                                                           "value")
     return (picked.groupBy(key, "q_index", "frac")
             .agg(F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("v_lo"),
                  F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("v_hi"))

@@ -41,3 +41,16 @@ def positive_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inventory_risk(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFrame:
     return marts.mart_inventory_risk(weekly_staging(spark, sf_dir, grain))
+
+
+def drift_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive-sales feature mart split at ``max(date) - 12 weeks``, pruned to
+    the drift features and materialized once: the numeric, categorical and
+    summary jobs all read it."""
+    from sparkretail.operators import drift
+    from sparkretail.session import materialize
+
+    split = drift.split_recent(positive_demand(spark, sf_dir))
+    cols = ["sale_date", "cutoff_date", "is_recent", *drift.NUMERIC_FEATURES,
+            *[c for c in drift.CATEGORICAL_FEATURES if c not in drift.NUMERIC_FEATURES]]
+    return materialize(split.select(*cols))

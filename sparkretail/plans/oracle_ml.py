@@ -29,14 +29,20 @@ NUM_LONG = _long(NUMERIC, "double")
 CAT_LONG = _long(CATEGORICAL, "varchar")
 
 NUM_EDGES = """
-select feature, list_sort(list_distinct(list(edge))) as edges
-from (select t.feature, t.i, lo.value + (hi.value - lo.value) * (t.rem / 10.0) as edge
-      from (select feature, n, i, ((n - 1) * i) // 10 as lo_rank, ((n - 1) * i) % 10 as rem
-            from (select distinct feature, n from num_ranked) cross join range(0, 11) q(i)) t
-      join num_ranked lo on lo.feature = t.feature and lo.rk = t.lo_rank
-      join num_ranked hi on hi.feature = t.feature
-                        and hi.rk = t.lo_rank + case when t.rem > 0 then 1 else 0 end)
-group by feature
+with t as (select feature, n, i, ((n - 1) * i) // 10 as lo_rank, ((n - 1) * i) % 10 as rem
+           from (select distinct feature, n from num_ranked) cross join range(0, 11) q(i)),
+tg as (select feature, i, rem, lo_rank as rank, 'lo' as side from t
+       union all
+       select feature, i, rem, lo_rank + case when rem > 0 then 1 else 0 end as rank, 'hi' as side
+       from t),
+picked as (select tg.feature, tg.i, tg.rem, tg.side, r.value
+           from tg join num_ranked r on r.feature = tg.feature and r.rk = tg.rank),
+edge as (select feature, i,
+                max(case when side = 'lo' then value end)
+                + (max(case when side = 'hi' then value end) - max(case when side = 'lo' then value end))
+                  * (max(rem) / 10.0) as edge
+         from picked group by feature, i)
+select feature, list_sort(list_distinct(list(edge))) as edges from edge group by feature
 """
 
 NUM_RANKED = """

@@ -21,7 +21,7 @@ def _positive(spark, sf):
 
 
 def _split(spark, sf):
-    return drift.split_recent(_positive(spark, sf))
+    return builds.drift_input(spark, sf)
 
 
 def _frame(spark, sf):

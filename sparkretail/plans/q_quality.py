@@ -1 +1,134 @@
-"""Catalog entries (filled in as operators land)."""
+"""Catalog entries: load-time checks and declared column tests."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from sparkretail.operators import marts, quality
+from sparkretail.plans import builds
+from sparkretail.plans import oracle as O
+from sparkretail.plans.catalog import query
+from sparkretail.sources import proxy
+
+W = O.with_ctes
+
+# (check list, oracle source CTE) per raw table
+_TABLES = [
+    ("weekly_train", quality.WEEKLY_TRAIN_CHECKS, "raw_sales"),
+    ("weekly_stores", quality.WEEKLY_STORES_CHECKS, "raw_stores"),
+    ("daily_train", quality.DAILY_TRAIN_CHECKS, "raw_daily"),
+    ("daily_stores", quality.DAILY_STORES_CHECKS, "raw_daily_stores"),
+    ("transactions", quality.TRANSACTION_CHECKS, "raw_transactions"),
+]
+
+
+def _raw(spark, sf, name):
+    return {"weekly_train": lambda: proxy.raw_weekly_train(spark, sf),
+            "weekly_stores": lambda: proxy.raw_weekly_stores(spark, sf),
+            "daily_train": lambda: proxy.raw_daily_train(spark, sf),
+            "daily_stores": lambda: proxy.raw_daily_stores(spark, sf),
+            "transactions": lambda: proxy.raw_transactions(spark, sf)}[name]()
+
+
+def _metric_sql(c: quality.Check) -> str:
+    return {"rows": "count(*)", "nulls": f"count(*) filter (where {c.column} is null)",
+            "distinct": f"count(distinct {c.column})"}[c.metric]
+
+
+def _passed_sql(c: quality.Check, v: str) -> str:
+    return {"min": f"{v} >= {c.bound}", "max": f"{v} <= {c.bound}",
+            "exact": f"{v} = {c.bound}"}[c.kind]
+
+
+def _checks_sql(metrics: set[str] | None) -> tuple[str, list[str]]:
+    parts, ctes = [], []
+    for _, checks, cte in _TABLES:
+        for i, c in enumerate(checks):
+            if metrics and (c.metric, c.kind) not in metrics:
+                continue
+            v = f"cast({_metric_sql(c)} as bigint)"
+            parts.append(f"select '{c.name}' as check_name, {v} as observed, '{c.kind}' as "
+                         f"bound_kind, cast({c.bound} as bigint) as bound, "
+                         f"{_passed_sql(c, v)} as passed, {i} as ord from {cte}")
+            ctes.append(cte)
+    return " union all ".join(parts), sorted(set(ctes))
+
+
+def _checks_df(spark, sf, metrics: set[str] | None):
+    frames = []
+    for name, checks, _ in _TABLES:
+        sel = [c for c in checks if not metrics or (c.metric, c.kind) in metrics]
+        if sel:
+            res = quality.evaluate(_raw(spark, sf, name), checks)
+            keep = [c.name for c in sel]
+            frames.append(res.where(res.check_name.isin(keep)))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _register(key: str, metrics: set[tuple[str, str]] | None):
+    sql, ctes = _checks_sql(metrics)
+
+    @query(key, W(sql, *ctes))
+    def _q(spark, sf):
+        return _checks_df(spark, sf, metrics)
+
+    return _q
+
+
+_register("dq_evaluate", None)
+_register("dq_min_rows", {("rows", "min")})
+_register("dq_max_nulls", {("nulls", "max")})
+_register("dq_exact_rows", {("rows", "exact")})
+_register("dq_min_distinct", {("distinct", "min")})
+
+# declared column tests: model -> (builder, oracle CTE)
+_MODEL_CTE = {
+    "stg_walmart_sales": "stg_weekly_sales", "stg_rossmann_sales": "stg_daily_sales",
+    "stg_online_retail": "stg_transactions", "mart_weekly_sales": "mart_weekly_sales",
+    "mart_store_features": "mart_store_features", "mart_promotion_lift": "mart_promotion_lift",
+    "mart_inventory_risk": "mart_inventory_risk", "mart_demand_features": "mart_demand_features"}
+
+
+def _model_df(spark, sf, model):
+    if model == "stg_walmart_sales":
+        return builds.weekly_staging(spark, sf)
+    if model == "stg_rossmann_sales":
+        return builds.daily_staging(spark, sf)
+    if model == "stg_online_retail":
+        return builds.transactions_staging(spark, sf)
+    if model == "mart_weekly_sales":
+        return marts.mart_weekly_sales(builds.weekly_staging(spark, sf))
+    if model == "mart_store_features":
+        return marts.mart_store_features(builds.weekly_staging(spark, sf))
+    if model == "mart_promotion_lift":
+        return marts.mart_promotion_lift(builds.daily_staging(spark, sf))
+    if model == "mart_inventory_risk":
+        return builds.inventory_risk(spark, sf)
+    return builds.demand_features(spark, sf)
+
+
+_NN_SQL = " union all ".join(
+    f"select '{m}' as model, '{c}' as column_name, count(*) filter (where {c} is null) as "
+    f"failing_rows, 'not_null' as test, count(*) filter (where {c} is null) = 0 as passed "
+    f"from {_MODEL_CTE[m]}" for m, cols in quality.NOT_NULL_TESTS.items() for c in cols)
+
+
+@query("dq_not_null", W(_NN_SQL, *_MODEL_CTE.values()))
+def q_dq_not_null(spark, sf):
+    frames = [quality.not_null(_model_df(spark, sf, m), m, cols)
+              for m, cols in quality.NOT_NULL_TESTS.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+_UQ_SQL = " union all ".join(
+    f"select '{m}' as model, '{c}' as column_name, (select count(*) from (select {c} from "
+    f"{_MODEL_CTE[m]} group by {c} having count(*) > 1)) as failing_rows, 'unique' as test, "
+    f"(select count(*) from (select {c} from {_MODEL_CTE[m]} group by {c} having count(*) > 1))"
+    f" = 0 as passed" for m, c in quality.UNIQUE_TESTS.items())
+
+
+@query("dq_unique", W(_UQ_SQL, *[_MODEL_CTE[m] for m in quality.UNIQUE_TESTS]))
+def q_dq_unique(spark, sf):
+    frames = [quality.unique(_model_df(spark, sf, m), m, c)
+              for m, c in quality.UNIQUE_TESTS.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -1 +1,212 @@
-"""Catalog entries (filled in as operators land)."""
+"""Catalog entries: forecast table, endpoints and dashboard roll-ups."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from sparkretail.operators import forecast, forecast_table, serving
+from sparkretail.plans import builds
+from sparkretail.plans import oracle as O
+from sparkretail.plans.catalog import query
+
+W = O.with_ctes
+
+# Injected run stamps (two runs, the second is the latest) and the endpoint
+# parameters used by the catalog queries.
+RUNS = (("a1b2c3d4", datetime(2024, 1, 1, 6, 0, 0)), ("e5f6a7b8", datetime(2024, 1, 8, 6, 0, 0)))
+STORE = 1
+MODEL_ARG = "SEASONAL"
+
+O.register("seasonal_fc", """
+select store_id, cast(-1 as bigint) as dept_id, ds, yhat, yhat_lower, yhat_upper,
+       'seasonal' as model
+from seasonal_frame where kind = 'future'
+""", ("seasonal_frame",))
+
+_RUN_SQL = " union all ".join(
+    f"select '{rid}' as run_id, timestamp '{ts:%Y-%m-%d %H:%M:%S}' as run_ts, store_id, dept_id, ds, "
+    f"{O.r('yhat')} as yhat, {O.r('yhat_lower')} as yhat_lower, {O.r('yhat_upper')} as yhat_upper, "
+    "model from seasonal_fc" for rid, ts in RUNS)
+O.register("forecast_log", _RUN_SQL, ("seasonal_fc",))
+O.register("latest_runs", """
+select * from forecast_log f
+where run_ts = (select max(run_ts) from forecast_log g
+                where g.store_id = f.store_id and lower(g.model) = lower(f.model))
+""", ("forecast_log",))
+O.register("risk_tiers", """
+select store_id, count(*) filter (where demand_risk_tier = 'HIGH') as high,
+       count(*) filter (where demand_risk_tier = 'MEDIUM') as medium,
+       count(*) filter (where demand_risk_tier = 'LOW') as low
+from mart_inventory_risk group by store_id
+""", ("mart_inventory_risk",))
+
+
+def seasonal_output(spark, sf):
+    frame = forecast.seasonal_frame(builds.positive_demand(spark, sf))
+    return forecast_table.with_default_dept(forecast.seasonal_forecast(frame))
+
+
+def forecast_log(spark, sf):
+    out = seasonal_output(spark, sf)
+    runs = [forecast_table.stamp(out, rid, ts) for rid, ts in RUNS]
+    return runs[0].unionByName(runs[1])
+
+
+def _fc_cols(prefix=""):
+    return (f"select store_id, dept_id, ds as forecast_date, yhat as forecast_sales, "
+            f"yhat_lower as forecast_lower, yhat_upper as forecast_upper, model, run_id, run_ts "
+            f"from {prefix}")
+
+
+@query("mart_demand_forecast", W("select * from forecast_log", "forecast_log"))
+def q_mart_demand_forecast(spark, sf):
+    return forecast_log(spark, sf)
+
+
+@query("prj_default_column", W("select * from seasonal_fc", "seasonal_fc"))
+def q_prj_default_column(spark, sf):
+    return seasonal_output(spark, sf).select(*forecast.FORECAST_COLUMNS)
+
+
+@query("prj_run_stamp", W("select distinct run_id, run_ts from forecast_log", "forecast_log"))
+def q_prj_run_stamp(spark, sf):
+    return forecast_log(spark, sf).select("run_id", "run_ts").distinct()
+
+
+@query("prj_cast_round_output", W(
+    "select store_id, dept_id, ds, yhat, yhat_lower, yhat_upper from forecast_log "
+    f"where run_id = '{RUNS[0][0]}'", "forecast_log"))
+def q_prj_cast_round_output(spark, sf):
+    return forecast_table.stamp(seasonal_output(spark, sf), *RUNS[0]).select(
+        "store_id", "dept_id", "ds", "yhat", "yhat_lower", "yhat_upper")
+
+
+@query("jn_latest_run", W("select * from latest_runs", "latest_runs"))
+def q_jn_latest_run(spark, sf):
+    return serving.latest_runs(forecast_log(spark, sf))
+
+
+@query("fn_lower_ci", W(f"select * from forecast_log where lower(model) = lower('{MODEL_ARG}')",
+                        "forecast_log"))
+def q_fn_lower_ci(spark, sf):
+    return forecast_log(spark, sf).where(serving.model_is(MODEL_ARG))
+
+
+@query("serve_forecast", W(
+    _fc_cols(f"forecast_log where store_id = {STORE} and lower(model) = lower('{MODEL_ARG}') "
+             f"and run_ts = (select max(run_ts) from forecast_log where store_id = {STORE} "
+             f"and lower(model) = lower('{MODEL_ARG}')) order by forecast_date, dept_id "
+             "limit 1200"), "forecast_log"))
+def q_serve_forecast(spark, sf):
+    return serving.serve_forecast(forecast_log(spark, sf), STORE, MODEL_ARG, weeks=12)
+
+
+@query("srt_limit_forecast", W(
+    _fc_cols(f"forecast_log where store_id = {STORE} and lower(model) = lower('{MODEL_ARG}') "
+             f"and run_ts = (select max(run_ts) from forecast_log where store_id = {STORE} "
+             f"and lower(model) = lower('{MODEL_ARG}')) order by forecast_date, dept_id "
+             "limit 100"), "forecast_log"))
+def q_srt_limit_forecast(spark, sf):
+    return serving.serve_forecast(forecast_log(spark, sf), STORE, MODEL_ARG, weeks=1)
+
+
+@query("serve_stores", W(
+    "select store_id, (select count(distinct store_id) from forecast_log) as store_count "
+    "from (select distinct store_id from forecast_log)", "forecast_log"))
+def q_serve_stores(spark, sf):
+    return serving.serve_stores(forecast_log(spark, sf))
+
+
+@query("srt_stores", W("select distinct store_id from forecast_log order by store_id",
+                       "forecast_log"))
+def q_srt_stores(spark, sf):
+    return forecast_log(spark, sf).select("store_id").distinct().orderBy("store_id")
+
+
+@query("set_distinct", W("select distinct store_id from forecast_log", "forecast_log"))
+def q_set_distinct(spark, sf):
+    return forecast_log(spark, sf).select("store_id").distinct()
+
+
+@query("serve_risk", W(
+    f"select store_id, dept_id, store_type, avg_weekly_sales, stddev_weekly_sales, "
+    f"coeff_of_variation, demand_risk_tier from mart_inventory_risk where store_id = {STORE}",
+    "mart_inventory_risk"))
+def q_serve_risk(spark, sf):
+    return serving.serve_risk(builds.inventory_risk(spark, sf), STORE)
+
+
+@query("srt_risk_desc", W("select * from mart_inventory_risk order by coeff_of_variation desc "
+                          "nulls last", "mart_inventory_risk"))
+def q_srt_risk_desc(spark, sf):
+    return serving.risk_ordered(builds.inventory_risk(spark, sf))
+
+
+@query("agg_tier_counts", W("select * from risk_tiers", "risk_tiers", grain="quarter"))
+def q_agg_tier_counts(spark, sf):
+    return serving.tier_counts(builds.inventory_risk(spark, sf, grain="quarter"))
+
+
+def _pct(c):
+    return (f"coalesce({O.r(f'({c} * 100.0) / nullif(high + medium + low, 0)', 0)}, 0.0)")
+
+
+@query("agg_tier_share", W(
+    f"select store_id, high, medium, low, {_pct('high')} as pct_high, "
+    f"{_pct('medium')} as pct_medium, {_pct('low')} as pct_low from risk_tiers",
+    "risk_tiers", grain="quarter"))
+def q_agg_tier_share(spark, sf):
+    return serving.tier_shares(serving.tier_counts(builds.inventory_risk(spark, sf, "quarter")))
+
+
+@query("srt_top10_departments", W(
+    "select * from (select store_id, row_number() over (partition by store_id order by "
+    "coeff_of_variation desc nulls last, dept_id) as rank, dept_id, avg_weekly_sales, "
+    "coeff_of_variation, demand_risk_tier from mart_inventory_risk) where rank <= 10",
+    "mart_inventory_risk", grain="quarter"))
+def q_srt_top10_departments(spark, sf):
+    return serving.top_departments(builds.inventory_risk(spark, sf, grain="quarter"), 10)
+
+
+@query("agg_forecast_by_date", W(
+    f"select store_id, model, ds, {O.r('sum(yhat)', 0)} as yhat, "
+    f"{O.r('sum(yhat_lower)', 0)} as yhat_lower, {O.r('sum(yhat_upper)', 0)} as yhat_upper "
+    "from latest_runs group by store_id, model, ds", "latest_runs"))
+def q_agg_forecast_by_date(spark, sf):
+    return serving.forecast_by_date(serving.latest_runs(forecast_log(spark, sf)))
+
+
+@query("report_dashboard", W(
+    f"""select f.*, t.high, t.medium, t.low, {_pct('t.high')} as pct_high,
+               {_pct('t.medium')} as pct_medium, {_pct('t.low')} as pct_low
+        from (select store_id, model, count(*) as forecast_rows,
+                     count(distinct ds) as forecast_dates, min(ds) as first_date,
+                     max(ds) as last_date, max(run_id) as run_id
+              from latest_runs group by store_id, model) f
+        left join risk_tiers t on f.store_id = t.store_id""".replace(
+        "high + medium + low", "t.high + t.medium + t.low"),
+    "latest_runs", "risk_tiers"))
+def q_report_dashboard(spark, sf):
+    return serving.dashboard(forecast_log(spark, sf), builds.inventory_risk(spark, sf))
+
+
+@query("report_forecast_vs_actual", W(
+    "select l.store_id, l.dept_id, l.ds, l.model, l.yhat, a.y as actual from latest_runs l "
+    "left join store_week a on l.store_id = a.store_id and l.ds = a.ds",
+    "latest_runs", "store_week"))
+def q_report_forecast_vs_actual(spark, sf):
+    from sparkretail.operators.metrics import store_week
+    actual = (store_week(builds.positive_demand(spark, sf))
+              .select("store_id", F.lit(-1).cast("bigint").alias("dept_id"), "ds",
+                      F.col("y").alias("actual")))
+    return serving.forecast_vs_actual(forecast_log(spark, sf), actual)
+
+
+@query("set_union_models")
+def q_set_union_models(spark, sf):
+    from sparkretail.plans.q_ml import _gbt
+    gbt_out, _, _ = _gbt(spark, sf)
+    return forecast_table.union_models(
+        [seasonal_output(spark, sf), gbt_out.select(*forecast.FORECAST_COLUMNS)])

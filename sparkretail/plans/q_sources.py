@@ -1 +1,149 @@
-"""Catalog entries (filled in as operators land)."""
+"""Catalog entries: file sources, sinks and the streaming staging model
+(SURVEY §2.1, 2.12).
+
+Each query writes Spark-derived raw data in the reference's file dialect to
+a fresh folder under the shared checkpoint folder, then reads it back with
+the declared schema, so the round trip is what is checked.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sparkretail.operators import drift, forecast, marts
+from sparkretail.plans import builds
+from sparkretail.plans import oracle as O
+from sparkretail.plans.catalog import query
+from sparkretail.plans.q_serving import RUNS, forecast_log, seasonal_output
+from sparkretail.session import scratch_path
+from sparkretail.sources import files, proxy
+from sparkretail.streaming.staging import run_available, stream_weekly_staging
+
+W = O.with_ctes
+
+
+@query("src_weekly", W("select * from raw_sales", "raw_sales"))
+def q_src_weekly(spark, sf):
+    base = scratch_path(spark, "weekly")
+    files.write_csv(proxy.raw_weekly_train(spark, sf), f"{base}/train.csv")
+    return files.read_weekly(spark, base)["train.csv"]
+
+
+@query("src_daily", W("select * from raw_daily", "raw_daily"))
+def q_src_daily(spark, sf):
+    base = scratch_path(spark, "daily")
+    files.write_csv(proxy.raw_daily_train(spark, sf), f"{base}/train.csv")
+    return files.read_daily(spark, base)["train.csv"]
+
+
+@query("src_transactions", W("select * from raw_transactions", "raw_transactions"))
+def q_src_transactions(spark, sf):
+    path = f"{scratch_path(spark, 'transactions')}/online_retail_II.csv"
+    files.write_csv(proxy.raw_transactions(spark, sf), path)
+    return files.read_transactions(spark, path)
+
+
+@query("src_table", W("select store_id, dept_id, sale_date, weekly_sales, is_holiday "
+                      "from positive_demand", "positive_demand"))
+def q_src_table(spark, sf):
+    path = scratch_path(spark, "mart_demand_features")
+    files.write_parquet(builds.demand_features(spark, sf), path)
+    return (spark.read.parquet(path).where(F.col("weekly_sales") > 0)
+            .select("store_id", "dept_id", "sale_date", "weekly_sales", "is_holiday"))
+
+
+@query("src_parquet_optional", W("select * from seasonal_fc", "seasonal_fc"))
+def q_src_parquet_optional(spark, sf):
+    base = scratch_path(spark, "forecasts")
+    files.write_parquet(seasonal_output(spark, sf), f"{base}/seasonal")
+    found = files.read_parquet_optional(spark, [f"{base}/seasonal", f"{base}/gbt"])
+    from sparkretail.operators.forecast_table import union_models
+    return union_models(found).select(*forecast.FORECAST_COLUMNS)
+
+
+@query("src_manifest_check")
+def q_src_manifest_check(spark, sf):
+    base = scratch_path(spark, "manifest")
+    w, s, f = proxy.weekly_inputs(spark, sf)
+    files.write_csv(w, f"{base}/train.csv")
+    files.write_csv(s, f"{base}/stores.csv")
+    files.write_csv(f, f"{base}/features.csv")
+    # test.csv was never landed: reported as missing
+    return files.manifest(spark, base, [*files.WEEKLY_FILES])
+
+
+@query("snk_truncate", W("select * from stg_daily_sales", "stg_daily_sales"))
+def q_snk_truncate(spark, sf):
+    path = scratch_path(spark, "stg_daily_sales")
+    df = builds.daily_staging(spark, sf)
+    files.write_parquet(df, path)
+    files.write_parquet(df, path)  # re-run overwrites: idempotent
+    return spark.read.parquet(path)
+
+
+@query("snk_append", W("select * from forecast_log", "forecast_log"))
+def q_snk_append(spark, sf):
+    from sparkretail.operators.forecast_table import append_run, read_table, stamp
+    path = scratch_path(spark, "mart_demand_forecast")
+    out = seasonal_output(spark, sf)
+    for rid, ts in RUNS:
+        append_run(stamp(out, rid, ts), path)
+    return read_table(spark, path)
+
+
+@query("snk_mart_table", W("select * from mart_store_features", "mart_store_features"))
+def q_snk_mart_table(spark, sf):
+    path = scratch_path(spark, "mart_store_features")
+    files.write_parquet(marts.mart_store_features(builds.weekly_staging(spark, sf)), path)
+    spark.read.parquet(path).createOrReplaceTempView("mart_store_features")
+    return spark.table("mart_store_features")
+
+
+@query("snk_staging_view", W("select * from stg_weekly_sales", "stg_weekly_sales"))
+def q_snk_staging_view(spark, sf):
+    builds.weekly_staging(spark, sf).createOrReplaceTempView("stg_weekly_sales")
+    return spark.table("stg_weekly_sales")
+
+
+@query("snk_parquet", W("select * from seasonal_fc", "seasonal_fc"))
+def q_snk_parquet(spark, sf):
+    path = scratch_path(spark, "seasonal_forecasts")
+    files.write_parquet(seasonal_output(spark, sf).select(*forecast.FORECAST_COLUMNS), path)
+    return spark.read.parquet(path)
+
+
+@query("snk_csv")
+def q_snk_csv(spark, sf):
+    from sparkretail.plans.q_ml import _gbt
+    _, imp, _ = _gbt(spark, sf)
+    path = scratch_path(spark, "feature_importance.csv")
+    files.write_csv(imp.orderBy(F.desc("importance")).coalesce(1), path)
+    return files.read_csv(spark, path, imp.schema)
+
+
+@query("snk_json", W("select * from drift_features", "drift_features"))
+def q_snk_json(spark, sf):
+    path = scratch_path(spark, "drift_report")
+    split = builds.drift_input(spark, sf)
+    files.json_lines(drift.drift_features(split)).write.mode("overwrite").text(path)
+    return spark.read.schema("feature string, psi double, tier string, type string").json(path)
+
+
+@query("load_count", W("select * from raw_daily", "raw_daily"))
+def q_load_count(spark, sf):
+    path = scratch_path(spark, "daily_load")
+    observed, obs = files.observe_count(proxy.raw_daily_train(spark, sf), "daily_load")
+    files.write_parquet(observed, path)
+    if obs.get["rows"] < 0:  # read after the write action; never negative
+        raise AssertionError
+    return spark.read.parquet(path)
+
+
+@query("stream_stg_weekly_sales", W("select * from stg_weekly_sales", "stg_weekly_sales"))
+def q_stream_stg_weekly_sales(spark, sf):
+    base = scratch_path(spark, "stream")
+    files.write_parquet(proxy.raw_weekly_train(spark, sf).repartition(4), f"{base}/landing")
+    stream = stream_weekly_staging(spark, f"{base}/landing", proxy.raw_weekly_stores(spark, sf),
+                                   proxy.raw_weekly_features(spark, sf))
+    run_available(stream, f"{base}/out", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/out")

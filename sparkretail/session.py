@@ -75,3 +75,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/sparkretail/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a DataFrame that several jobs reuse: written once to
+    the shared checkpoint folder (survives executor loss, unlike a cache)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
