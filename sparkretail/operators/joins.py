@@ -1,10 +1,17 @@
 """Join helpers.
 
-``join_dimension`` broadcasts a dimension only after a bounded probe proves
-it is small (``limit(max_rows + 1).count()`` reads at most ``max_rows + 1``
-rows). Beyond the bound it falls back to a shuffle join and lets adaptive
-execution re-plan at runtime, so a dimension that grows with the data never
-gets shipped whole to every executor.
+``join_dimension`` broadcasts a dimension only behind a size check:
+
+* with ``max_rows`` (business-bounded dimensions such as the store tables) a
+  bounded probe ``limit(max_rows + 1).count()`` proves the bound before the
+  ``broadcast`` hint; past the bound it falls back to a shuffle join;
+* without it (derived dimensions whose size follows the data, e.g. store x
+  week features) no hint is given: Spark broadcasts only under
+  ``autoBroadcastJoinThreshold`` by its size estimate, and adaptive execution
+  re-plans on the measured shuffle size (and splits skewed partitions).
+
+So a dimension that grows with the data is never shipped whole to every
+executor, and a derived dimension is never computed twice just to probe it.
 """
 
 from __future__ import annotations
@@ -14,9 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of up to this many rows is broadcast (45 / 1,115 stores and
-# store x week features are far below it).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bound for business-bounded dimensions (45 / 1,115 stores are far below it).
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
@@ -29,7 +35,9 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-                   how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """N:1 join of a fact to a dimension, broadcasting the dimension when the
-    probe proves it small."""
+                   how: str = "left", max_rows: int | None = None) -> DataFrame:
+    """N:1 join of a fact to a dimension; see the module note on when the
+    dimension is broadcast."""
+    if max_rows is None:
+        return fact.join(dim, on, how)
     return fact.join(maybe_broadcast(dim, max_rows), on, how)

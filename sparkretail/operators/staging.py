@@ -44,7 +44,8 @@ def stg_weekly_sales(train: DataFrame, stores: DataFrame, features: DataFrame,
                       F.col("Size").alias("store_size"))
     f = weekly_features(features).drop("is_holiday_feature")
     out = join_dimension(t, s, "store_id", "left", max_broadcast_rows)
-    out = join_dimension(out, f, ["store_id", "sale_date"], "left", max_broadcast_rows)
+    # features grow with stores x weeks: Spark / AQE decide from measured size
+    out = join_dimension(out, f, ["store_id", "sale_date"], "left")
     return out.select(*WEEKLY_STAGING_COLUMNS)
 
 
