@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from sparkretail.functions.scalar import (clip_at_zero, encode_store_type, round_half_away,
                                           week_sunday)
-from sparkretail.operators.joins import join_dimension
 from sparkretail.operators.metrics import (FORECAST_HORIZON, MIN_HISTORY, holdout_tail,
                                            restrict_to_first, store_week, wmae)
 
@@ -75,9 +74,14 @@ def seasonal_frame(features: DataFrame, horizon: int = FORECAST_HORIZON,
                            F.lit(0).alias("is_holiday"), F.lit("future").alias("kind"),
                            (F.col("step0") + 1).alias("step"))
     frame = hist.unionByName(future)
-    cal = holiday_calendar(hist)
-    frame = join_dimension(frame, cal, ["store_id", "ds"], "left").withColumn(
-        "in_calendar", F.coalesce(F.col("in_calendar"), F.lit(False)))
+    # Holiday calendar as a window: a row is covered when a holiday row of
+    # its store falls on its date or the day before (lower window 0, upper
+    # window 1). Same store_id partitioning as the fit windows: no join.
+    day = F.datediff("ds", F.lit("1970-01-01").cast("date"))
+    covered = Window.partitionBy("store_id").orderBy(day).rangeBetween(-1, 0)
+    frame = frame.withColumn("in_calendar", F.coalesce(
+        F.max(F.when(F.col("kind") != "future", F.col("is_holiday"))).over(covered) == 1,
+        F.lit(False)))
 
     store = Window.partitionBy("store_id")
     store_week_w = Window.partitionBy("store_id", "woy")
@@ -121,23 +125,24 @@ def seasonal_forecast(frame: DataFrame, model_name: str = "seasonal") -> DataFra
 
 def holdout_pairs(frame: DataFrame) -> DataFrame:
     """Pair each holdout actual with a prediction: by date when every holdout
-    date of the store has a future row on the same date, else by position."""
-    hold = frame.where(F.col("kind") == "holdout").select(
-        "store_id", "step", "ds", F.col("y").alias("actual"), "is_holiday")
-    fut = frame.where(F.col("kind") == "future").select(
-        "store_id", F.col("step").alias("fstep"), F.col("ds").alias("fds"),
-        F.col("yhat").alias("predicted"))
-    by_date = hold.join(fut, (hold.store_id == fut.store_id) & (hold.ds == fut.fds), "inner") \
-        .drop(fut.store_id)
-    full = (by_date.groupBy("store_id").count()
-            .join(hold.groupBy("store_id").count().withColumnRenamed("count", "n_hold"),
-                  "store_id")
-            .where(F.col("count") == F.col("n_hold")).select("store_id"))
-    by_pos = hold.join(fut, (hold.store_id == fut.store_id) & (hold.step == fut.fstep), "inner") \
-        .drop(fut.store_id).join(full, "store_id", "left_anti")
-    cols = ["store_id", "ds", "actual", "is_holiday", "predicted"]
-    return (by_date.join(full, "store_id", "left_semi").select(*cols)
-            .unionByName(by_pos.select(*cols)))
+    date of the store has a future row on the same date, else by position
+    (step i of the holdout with step i of the future). Windows over the
+    frame's own store_id partitioning; no self-join."""
+    fut = F.col("kind") == "future"
+    hold = F.col("kind") == "holdout"
+    by_date = Window.partitionBy("store_id", "ds")
+    by_step = Window.partitionBy("store_id", "step")
+    store = Window.partitionBy("store_id")
+    out = (frame.where(fut | hold)
+           .withColumn("date_pred", F.max(F.when(fut, F.col("yhat"))).over(by_date))
+           .withColumn("date_hit", F.max(F.when(fut, F.lit(1))).over(by_date))
+           .withColumn("step_pred", F.max(F.when(fut, F.col("yhat"))).over(by_step))
+           .withColumn("all_dates", F.min(F.when(hold, F.coalesce(F.col("date_hit"), F.lit(0))))
+                       .over(store) == 1)
+           .where(hold))
+    pred = F.when(F.col("all_dates"), F.col("date_pred")).otherwise(F.col("step_pred"))
+    return out.select("store_id", "ds", F.col("y").alias("actual"), "is_holiday",
+                      pred.alias("predicted")).where(F.col("predicted").isNotNull())
 
 
 def store_scores(frame: DataFrame) -> DataFrame:
