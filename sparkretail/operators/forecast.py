@@ -59,21 +59,24 @@ def seasonal_frame(features: DataFrame, horizon: int = FORECAST_HORIZON,
     """
     sw = restrict_to_first(store_week(features), "store_id", max_stores)
     h = holdout_tail(sw, horizon=horizon, min_rows=min_weeks)
-    hist = h.select("store_id", "ds", "y", "is_holiday",
-                    F.when(F.col("is_holdout"), "holdout").otherwise("train").alias("kind"),
-                    F.when(F.col("is_holdout"), F.col("pos") - (F.col("n_rows") - horizon))
-                    .alias("step"))
-    # Future dates hang off the last training row of each store (narrow op).
-    last_train = h.where(F.col("pos") == F.col("n_rows") - horizon)
-    future = last_train.select(
-        "store_id",
-        F.posexplode(F.sequence(next_sunday("ds"),
-                                F.date_add(next_sunday("ds"), 7 * (horizon - 1)),
-                                F.expr("INTERVAL 7 DAYS"))).alias("step0", "ds"))
-    future = future.select("store_id", "ds", F.lit(None).cast("double").alias("y"),
+    # History rows and the future dates hanging off each store's last training
+    # row come out of one generator over ``h``: a single pass, no union.
+    is_hold = F.col("is_holdout")
+    this_row = F.struct(F.col("ds").alias("ds"), F.col("y").cast("double").alias("y"),
+                        F.col("is_holiday").cast("int").alias("is_holiday"),
+                        F.when(is_hold, "holdout").otherwise("train").alias("kind"),
+                        F.when(is_hold, F.col("pos") - (F.col("n_rows") - horizon))
+                        .cast("bigint").alias("step"))
+    first = next_sunday(F.col("ds"))
+    future_rows = F.transform(
+        F.sequence(F.lit(0), F.lit(horizon - 1)),
+        lambda k: F.struct(F.date_add(first, k * 7).alias("ds"),
+                           F.lit(None).cast("double").alias("y"),
                            F.lit(0).alias("is_holiday"), F.lit("future").alias("kind"),
-                           (F.col("step0") + 1).alias("step"))
-    frame = hist.unionByName(future)
+                           (k + 1).cast("bigint").alias("step")))
+    rows = F.when(F.col("pos") == F.col("n_rows") - horizon,
+                  F.concat(F.array(this_row), future_rows)).otherwise(F.array(this_row))
+    frame = h.select("store_id", F.inline(rows))
     # Holiday calendar as a window: a row is covered when a holiday row of
     # its store falls on its date or the day before (lower window 0, upper
     # window 1). Same store_id partitioning as the fit windows: no join.

@@ -53,16 +53,10 @@ def new_run_stamp() -> tuple[str, datetime]:
     return uuid.uuid4().hex[:8], datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def stamp(df: DataFrame, run_id: str | None = None, run_ts: datetime | None = None) -> DataFrame:
-    """Cast, round (2 places) and stamp one run; one value per run, so every
-    row agrees (never a per-row ``uuid()``)."""
-    if run_id is None or run_ts is None:
-        rid, rts = new_run_stamp()
-        run_id = run_id or rid
-        run_ts = run_ts or rts
+def _stamped(df: DataFrame, run_id: F.Column, run_ts: F.Column) -> DataFrame:
     return df.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"),
+        run_id.cast("string").alias("run_id"),
+        run_ts.cast("timestamp_ntz").alias("run_ts"),
         F.col("store_id").cast("bigint").alias("store_id"),
         F.col("dept_id").cast("bigint").alias("dept_id"),
         F.col("ds").cast("date").alias("ds"),
@@ -72,6 +66,23 @@ def stamp(df: DataFrame, run_id: str | None = None, run_ts: datetime | None = No
         F.col("model").cast("string").alias("model"))
 
 
+def stamp(df: DataFrame, run_id: str | None = None, run_ts: datetime | None = None) -> DataFrame:
+    """Cast, round (2 places) and stamp one run; one value per run, so every
+    row agrees (never a per-row ``uuid()``)."""
+    if run_id is None or run_ts is None:
+        rid, rts = new_run_stamp()
+        run_id = run_id or rid
+        run_ts = run_ts or rts
+    return _stamped(df, F.lit(run_id), F.lit(run_ts))
+
+
+def stamp_runs(df: DataFrame, runs: list[tuple[str, datetime]]) -> DataFrame:
+    """The union of ``stamp(df, run_id, run_ts)`` over ``runs`` in one pass
+    over ``df`` (each row is emitted once per run)."""
+    stamps = F.array(*[F.struct(F.lit(r).alias("_rid"), F.lit(t).alias("_rts")) for r, t in runs])
+    return _stamped(df.select("*", F.inline(stamps)), F.col("_rid"), F.col("_rts"))
+
+
 def append_run(df: DataFrame, path: str) -> None:
     """Append one stamped run to the table (partitioned by model, so readers
     of one model prune the others)."""

@@ -49,9 +49,7 @@ def seasonal_output(spark, sf):
 
 
 def forecast_log(spark, sf):
-    out = seasonal_output(spark, sf)
-    runs = [forecast_table.stamp(out, rid, ts) for rid, ts in RUNS]
-    return runs[0].unionByName(runs[1])
+    return forecast_table.stamp_runs(seasonal_output(spark, sf), list(RUNS))
 
 
 def _fc_cols(prefix=""):
