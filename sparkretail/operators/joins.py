@@ -2,16 +2,16 @@
 
 ``join_dimension`` broadcasts a dimension only behind a size check:
 
-* with ``max_rows`` (business-bounded dimensions such as the store tables) a
-  bounded probe ``limit(max_rows + 1).count()`` proves the bound before the
-  ``broadcast`` hint; past the bound it falls back to a shuffle join;
-* without it (derived dimensions whose size follows the data, e.g. store x
-  week features) no hint is given: Spark broadcasts only under
-  ``autoBroadcastJoinThreshold`` by its size estimate, and adaptive execution
-  re-plans on the measured shuffle size (and splits skewed partitions).
+* with ``max_rows`` (business-bounded dimensions: store tables, store x week
+  features) a bounded probe ``limit(max_rows + 1).count()`` proves the bound
+  before the ``broadcast`` hint; past the bound it falls back to a shuffle
+  join, where adaptive execution handles skewed keys;
+* without it (sides whose size follows the data) no hint is given: Spark
+  broadcasts only under ``autoBroadcastJoinThreshold`` by its size estimate,
+  and adaptive execution re-plans on measured shuffle sizes.
 
 So a dimension that grows with the data is never shipped whole to every
-executor, and a derived dimension is never computed twice just to probe it.
+executor.
 """
 
 from __future__ import annotations

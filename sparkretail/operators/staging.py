@@ -44,8 +44,9 @@ def stg_weekly_sales(train: DataFrame, stores: DataFrame, features: DataFrame,
                       F.col("Size").alias("store_size"))
     f = weekly_features(features).drop("is_holiday_feature")
     out = join_dimension(t, s, "store_id", "left", max_broadcast_rows)
-    # features grow with stores x weeks: Spark / AQE decide from measured size
-    out = join_dimension(out, f, ["store_id", "sale_date"], "left")
+    # features are store x week: bounded by the chain and the calendar, not by
+    # the fact volume; the probe keeps the fact from being shuffled
+    out = join_dimension(out, f, ["store_id", "sale_date"], "left", max_broadcast_rows)
     return out.select(*WEEKLY_STAGING_COLUMNS)
 
 
