@@ -192,3 +192,22 @@ def drift_summary(split: DataFrame, features: DataFrame, weeks: int = FORECAST_H
         "cutoff_date", F.lit(weeks).alias("recent_weeks"), "baseline_rows", "recent_rows",
         n_tier("HIGH").alias("high"), n_tier("MEDIUM").alias("medium"),
         n_tier("LOW").alias("low"))
+
+
+def report_document(split: DataFrame, features: DataFrame, run_ts: str,
+                    weeks: int = FORECAST_HORIZON) -> DataFrame:
+    """The report as one JSON document (``value``): run time, cut-off, recent
+    weeks, baseline/recent rows, tier summary and a feature -> {psi, tier,
+    type} map. The map gathers one entry per feature (a fixed, small list)."""
+    summary = drift_summary(split, features, weeks)
+    fmap = features.agg(F.map_from_entries(F.collect_list(F.struct(
+        "feature", F.struct("psi", "tier", "type")))).alias("features"))
+    doc = summary.select(
+        F.lit(run_ts).alias("run_timestamp"), F.col("cutoff_date").cast("string").alias("cutoff_date"),
+        "recent_weeks", "baseline_rows", "recent_rows",
+        F.struct("high", "medium", "low").alias("summary"),
+        fmap.select(F.to_json("features")).scalar().alias("features_json"))
+    return doc.select(F.to_json(F.struct(
+        "run_timestamp", "cutoff_date", "recent_weeks", "baseline_rows", "recent_rows", "summary",
+        F.from_json("features_json", "map<string, struct<psi: double, tier: string, type: string>>")
+        .alias("features"))).alias("value"))

@@ -149,3 +149,13 @@ def q_stream_stg_weekly_sales(spark, sf):
                                    proxy.raw_weekly_features(spark, sf))
     run_available(stream, f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out")
+
+
+@query("snk_json_document")
+def q_snk_json_document(spark, sf):
+    """The nested drift report document written as one JSON text file."""
+    path = scratch_path(spark, "drift_report_document")
+    split = builds.drift_input(spark, sf)
+    doc = drift.report_document(split, drift.drift_features(split), "2024-01-08T06:00:00")
+    doc.coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path)

@@ -65,3 +65,16 @@ def test_psi_categorical_matches_pandas(spark):
     df = _frame(spark, base.tolist(), cur.tolist(), "string")
     got = drift.psi_categorical(df, ["x"]).first().psi
     assert abs(got - _pd_psi_cat(base.dropna(), cur)) < 1e-4
+
+
+def test_report_document_layout(spark):
+    import json
+    from pyspark.sql import functions as F
+    rows = [(False, float(v), str(v % 3)) for v in range(40)] + [(True, float(v), "9") for v in range(10)]
+    df = spark.createDataFrame(rows, "is_recent boolean, x double, c string").withColumn(
+        "cutoff_date", F.lit("2012-08-03").cast("date"))
+    feats = drift.drift_features(df, ["x"], ["c"])
+    doc = json.loads(drift.report_document(df, feats, "2024-01-01T00:00:00").first().value)
+    assert doc["recent_weeks"] == 12 and doc["baseline_rows"] == 40 and doc["recent_rows"] == 10
+    assert set(doc["features"]) == {"x", "c"} and doc["features"]["c"]["type"] == "categorical"
+    assert sum(doc["summary"].values()) == 2
