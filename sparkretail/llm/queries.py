@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkretail.llm import tables
+from pyspark.sql import functions as F
+
+from sparkretail.llm import langid, licenses, quality, tables, toxicity
 from sparkretail.llm.minhash import edit_fingerprints
 from sparkretail.llm.ngram_join import ngram_jaccard_join
+from sparkretail.llm.samples import fold_of
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +20,33 @@ def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(tables.documents(spark, sf_dir), permutations=64)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir)
+    model = langid.fit(docs, fold_of(5) != 0)
+    return langid.predict(docs, model).select(
+        "doc_id", (fold_of(5) == 0).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "margin", "accepted")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(tables.documents(spark, sf_dir)).drop("expressions")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir)
+    model = toxicity.fit(docs, tables.labels(spark, sf_dir), fold_of(5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold_of(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.documents(spark, sf_dir)
+    model = quality.fit(docs, tables.labels(spark, sf_dir), fold_of(3) != 1)
+    return quality.score(docs, *model).select(
+        "doc_id", (fold_of(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_minhash_fingerprints,
+    op1_ngram_jaccard_join, op2_minhash_fingerprints, op4_language_id, op8_license_scan, op9_toxicity, op10_quality,
 )}
 
 OP1_SQL = r"""
