@@ -39,7 +39,7 @@ def plain(text: str) -> bytes:
 @dataclass
 class LanguageModel:
     dictionaries: dict[str, bytes]  # most frequent language first: it wins ties
-    level: int = 3
+    level: int = 6
     block: int = 2048
     min_margin: float = 0.01
     scale: float = 0.05

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sparkretail.llm import langid, licenses, quality, tables, toxicity
+from sparkretail.llm import langid, licenses, mixing, packing, quality, tables, toxicity
 from sparkretail.llm.minhash import edit_fingerprints
 from sparkretail.llm.ngram_join import ngram_jaccard_join
 from sparkretail.llm.samples import fold_of
@@ -20,6 +20,10 @@ def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(tables.documents(spark, sf_dir), permutations=64)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(tables.documents(spark, sf_dir), capacity=2048)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.documents(spark, sf_dir)
     model = langid.fit(docs, fold_of(5) != 0)
@@ -27,6 +31,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold_of(5) == 0).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "margin", "accepted")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the plan needs no text beyond its size
+    docs = tables.documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixing.plan_copies(docs).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(tables.documents(spark, sf_dir)).drop("expressions")
 
@@ -46,7 +57,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_minhash_fingerprints, op4_language_id, op8_license_scan, op9_toxicity, op10_quality,
+    op1_ngram_jaccard_join, op2_minhash_fingerprints, op3_best_fit_packing, op4_language_id,
+    op5_source_mixing, op8_license_scan, op9_toxicity, op10_quality,
 )}
 
 OP1_SQL = r"""
