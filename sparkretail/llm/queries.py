@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sparkretail.llm import langid, licenses, mixing, packing, quality, tables, toxicity
+from sparkretail.llm import ann, langid, licenses, mixing, packing, pii, quality, tables, toxicity
 from sparkretail.llm.minhash import edit_fingerprints
 from sparkretail.llm.ngram_join import ngram_jaccard_join
 from sparkretail.llm.samples import fold_of
@@ -38,6 +38,14 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op6_kmeans_tree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(tables.embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(tables.documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(tables.documents(spark, sf_dir)).drop("expressions")
 
@@ -58,7 +66,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_minhash_fingerprints, op3_best_fit_packing, op4_language_id,
-    op5_source_mixing, op8_license_scan, op9_toxicity, op10_quality,
+    op5_source_mixing, op6_kmeans_tree_ann, op7_pii_surrogates, op8_license_scan, op9_toxicity, op10_quality,
 )}
 
 OP1_SQL = r"""
