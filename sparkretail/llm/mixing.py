@@ -31,8 +31,8 @@ def word_count(text: str = "text") -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float) -> DataFrame:
-    """``source, source_size, target`` of ``(source, source_size)``, a row a
-    source. Sources are capped in order of size / weight; the rate of the
+    """``key_, source, source_size, target`` of ``(key_, source, source_size)``,
+    a row a source. Sources are capped in order of size / weight; the rate of the
     others follows from prefix sums in that order."""
     order = W.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*[F.lit(x) for x in weights]),
@@ -49,58 +49,59 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: float
     level = F.min(F.when(F.col("rate") * F.col("weight") <= F.col("limit"),
                          F.struct(F.col("given"), F.col("rate")))).over(total)
     return at.withColumn("rate_of_rest", level["rate"]).select(
-        "source", "source_size",
+        "key_", "source", "source_size",
         F.coalesce(F.least(F.col("rate_of_rest") * F.col("weight"), F.col("limit")), F.col("limit")).alias("target"))
 
 
 def plan_copies(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
                 seed: str = "mix", salts: int = 32, tries: int = 64) -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies`` per row. Documents
-    without words give no copies. The offset of a source is the one, of
-    ``tries`` random ones, whose words come nearest to the target."""
-    rows = (docs.withColumn("size", word_count())
-            .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")))
-    small = stored(rows.groupBy("source", "size", "salt").agg(F.count("*").alias("n")), "groups")
-    groups = small.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    sizes = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
+    """``docs`` with ``size, source_size, target, copies`` per row (columns of
+    these names are replaced). Documents without words give no copies. The
+    offset of a source is the one, of ``tries`` random ones, whose words come
+    nearest to the target."""
+    key = F.concat(F.when(F.col("source").isNull(), "n").otherwise("v"), F.coalesce("source", F.lit("")))  # never null
+    rows = (docs.withColumn("size", word_count()).withColumn("key_", key)
+            .withColumn("salt_", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")))
+    small = stored(rows.groupBy("key_", "source", "size", "salt_").agg(F.count("*").alias("n")), "groups")
+    groups = small.groupBy("key_", "source", "size").agg(F.sum("n").alias("n"))
+    sizes = groups.groupBy("key_", "source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * ONE + F.lit(0.5))) \
         .otherwise(0).cast("long")
     goal = stored(targets(sizes, weights, share, cap).withColumn("rate", rate), "goal")
-    before = W.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(W.unboundedPreceding, -1)
-    groups = stored(
-        groups.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
-        .join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s"), "sizes")
+    before = W.partitionBy("key_").orderBy(F.col("size").desc()).rowsBetween(W.unboundedPreceding, -1)
+    groups = stored(groups.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
+                    .join(goal.drop("source"), "key_"), "sizes")
 
     def crossed(first: Column, n: Column, start: Column) -> Column:
         """Integer boundaries crossed by n documents after the first ones."""
         low = start + first * F.col("rate")
         return F.shiftright(low + n * F.col("rate"), 30) - F.shiftright(low, 30)
 
-    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("t").cast("string"), F.lit("|"), F.coalesce(
-        F.col("source"), F.lit("")))), 1, 7), 16, 10).cast("long") * 4  # in [0, 2^30)
+    offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("t").cast("string"), F.lit("|"), F.col("key_"))), 1, 7),
+                    16, 10).cast("long") * 4  # in [0, 2^30)
     taken = (groups.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))).withColumn("start", offset)
-             .groupBy("source", "target", "t", "start")
+             .groupBy("key_", "target", "t", "start")
              .agg(F.sum(crossed(F.col("before"), F.col("n"), F.col("start")) * F.col("size")).alias("words")))
-    best = taken.groupBy("source").agg(F.min_by("start", F.struct(F.abs(F.col("words") - F.col("target")), "t")).alias("start"))
-    within = W.partitionBy("source", "size").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
+    best = taken.groupBy("key_").agg(F.min_by("start", F.struct(F.abs(F.col("words") - F.col("target")), "t")).alias("start"))
+    within = W.partitionBy("key_", "size").orderBy("salt_").rowsBetween(W.unboundedPreceding, -1)
     place = (small.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0).cast("long")))
-             .join(groups.select(F.col("source").alias("s"), F.col("size").alias("z"), "before", "source_size", "target", "rate"),
-                   F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
-             .join(best.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2")))
-             .select(F.col("source").alias("p_source"), F.col("size").alias("p_size"), F.col("salt").alias("p_salt"),
-                     (F.col("before") + F.col("inside")).alias("first"), "source_size", "target", "rate", "start"))
-    number = F.row_number().over(W.partitionBy("source", "size", "salt").orderBy("doc_id")) - 1
-    copies = crossed(F.col("first") + F.col("number"), F.lit(1), F.col("start"))
-    return (rows.withColumn("number", number)
-            .join(place, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))
-                  & (F.col("salt") == F.col("p_salt")))
-            .select(*docs.columns, "size", "source_size", "target",
+             .join(groups.select("key_", "size", "before", "source_size", "target", "rate"), ["key_", "size"])
+             .join(best, "key_")
+             .select("key_", "size", "salt_", (F.col("before") + F.col("inside")).alias("first"),
+                     "source_size", "target", "rate", "start"))
+    # the join below has the window's keys: the rows are shuffled once
+    number = F.row_number().over(W.partitionBy("key_", "size", "salt_").orderBy("doc_id")) - 1
+    copies = crossed(F.col("first") + F.col("number_"), F.lit(1), F.col("start"))
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    return (rows.select(*own, "size", "key_", "salt_").withColumn("number_", number)
+            .join(place, ["key_", "size", "salt_"])
+            .select(*own, "size", "source_size", "target",
                     F.when(F.col("size") > 0, copies).otherwise(0).cast("long").alias("copies")))
 
 
 def mix(docs: DataFrame, **kw) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it."""
-    cols = docs.columns
-    plan = plan_copies(docs, **kw)
-    return plan.where("copies > 0").withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))) \
-        .select(*cols)
+    whole = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row_"))
+    plan = plan_copies(whole, **kw).where("copies > 0").select("row_", F.explode(
+        F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_"))
+    return plan.select("row_.*")

@@ -368,3 +368,12 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, threshold_pct: int = 80,
             "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return member.join(root, "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+
+
+def one_row_each(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``docs`` with one row per doc_id; rows without one all stay. Only if
+    some id repeats does this cost a shuffle."""
+    if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return docs
+    return (docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+            .unionByName(docs.where("doc_id is null")).select(*columns))
