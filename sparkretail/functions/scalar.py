@@ -43,7 +43,7 @@ def round_half_away(col: str | Column, digits: int = 2) -> Column:
 
 
 def to_money(col: str | Column, scale: int = MONEY_SCALE) -> Column:
-    return _c(col).cast(f"decimal({MONEY_PRECISION},{scale})")
+    return _c(col).cast(f"decimal({max(MONEY_PRECISION, scale + 18)},{scale})")
 
 
 def exact_sum(col: str | Column, scale: int = MONEY_SCALE) -> Column:

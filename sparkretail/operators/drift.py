@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkretail.functions.scalar import drift_tier, round_half_away
+from sparkretail.session import materialize
 from sparkretail.operators.metrics import FORECAST_HORIZON
 
 # Features compared by the drift report and the PSI settings.
@@ -32,7 +33,7 @@ CATEGORICAL_FEATURES = ["store_id", "dept_id", "week_of_year", "month", "quarter
                         "has_markdown4", "has_markdown5"]
 PSI_BINS = 10
 EMPTY_SHARE = 1e-6
-SPLIT_BUCKETS = 64  # range buckets used to rank distinct values in parallel
+BUCKET_VALUES = 50_000  # distinct values ranked by one task
 
 
 def split_recent(df: DataFrame, date_col: str = "sale_date",
@@ -46,30 +47,35 @@ def split_recent(df: DataFrame, date_col: str = "sale_date",
 
 def long_values(df: DataFrame, features: Sequence[str], as_type: str) -> DataFrame:
     """``(feature, value, is_recent)`` for the listed features present in the
-    frame; NULL values are dropped (they count in no share)."""
+    frame; NULL and NaN values are dropped (they count in no share)."""
     present = [c for c in features if c in df.columns]
     cast = df.select("is_recent", *[F.col(c).cast(as_type).alias(c) for c in present])
     return (cast.unpivot(["is_recent"], present, "feature", "value")
-            .where(F.col("value").isNotNull()))
+            .where(F.col("value").isNotNull() & (~F.isnan("value") if as_type == "double" else F.lit(True))))
 
 
 def exact_quantiles(values: DataFrame, fractions: Sequence[tuple[int, int]],
-                    key: str = "feature", buckets: int = SPLIT_BUCKETS) -> DataFrame:
+                    key: str = "feature", bucket_values: int = BUCKET_VALUES) -> DataFrame:
     """Exact linear-interpolation quantiles per key.
 
     ``fractions`` are ``(numerator, denominator)`` pairs; the position of
     fraction q in n sorted values is ``q * (n - 1)``, computed in integers.
     Returns ``(key, q_index, quantile)``.
     """
-    dv = values.groupBy(key, "value").agg(F.count(F.lit(1)).alias("cnt"))
-    # range buckets from a bounded sketch over the distinct values
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = dv.groupBy(key).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx("value", probs, 10000)))
-        .alias("splits"))
-    dv = (dv.join(F.broadcast(splits), key)
-          .withColumn("bucket", F.size(F.filter("splits", lambda s: s < F.col("value"))))
-          .drop("splits"))
+    # written once: the bucket count, the splits, the totals and the pick read it
+    dv = materialize(values.groupBy(key, "value").agg(F.count(F.lit(1)).alias("cnt")), "distinct_values")
+    most = dv.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    buckets = max(1, -(-most // bucket_values))
+    if buckets > 1:  # range buckets from a bounded sketch over the distinct values
+        probs = [i / buckets for i in range(1, buckets)]
+        splits = dv.groupBy(key).agg(F.array_sort(F.array_distinct(
+            F.percentile_approx("value", probs, max(10000, 100 * buckets)))).alias("splits"))
+        dv = (dv.join(F.broadcast(splits), key)
+              .withColumn("bucket", F.size(F.filter("splits", lambda s: s < F.col("value"))))
+              .drop("splits"))
+        dv = materialize(dv, "bucketed_values")
+    else:
+        dv = dv.withColumn("bucket", F.lit(0))
     within = Window.partitionBy(key, "bucket").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0)
     dv = dv.withColumn("cum_in_bucket", F.sum("cnt").over(within))

@@ -15,14 +15,16 @@ the feature mart (the trees are built by the executors) and scores the last
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkretail.functions.scalar import (clip_at_zero, encode_store_type, round_half_away,
                                           week_sunday)
 from sparkretail.operators.metrics import (FORECAST_HORIZON, MIN_HISTORY, holdout_tail,
                                            restrict_to_first, store_week, wmae)
+from sparkretail.session import checkpoint_dir, materialize
 
 BAND_Z = 1.2816  # two-sided 80 % normal band
 FORECAST_COLUMNS = ["store_id", "dept_id", "ds", "yhat", "yhat_lower", "yhat_upper", "model"]
@@ -34,57 +36,52 @@ def season_week(ds) -> F.Column:
     return F.when(w.isin(0, 53), F.lit(52)).otherwise(w)
 
 
-def next_sunday(d) -> F.Column:
-    """First Sunday strictly after ``d`` (weekly future dates, ``freq="W"``)."""
-    return F.date_add(d, F.lit(8) - F.dayofweek(d))
-
-
-def holiday_calendar(series: DataFrame, keys: Sequence[str] = ("store_id",),
-                     upper_window: int = 1) -> DataFrame:
-    """Distinct (key, date) covered by a holiday: each holiday date and the
-    ``upper_window`` days after it."""
-    hol = series.where(F.col("is_holiday") == 1).select(*keys, "ds").distinct()
-    return (hol.select(*keys, F.explode(F.sequence(F.col("ds"), F.date_add("ds", upper_window)))
-                       .alias("ds"))
-            .distinct().withColumn("in_calendar", F.lit(True)))
+def with_calendar(series: DataFrame, is_holiday: Column) -> DataFrame:
+    """Adds ``in_calendar``: a holiday of the store falls on the row's date or
+    the day before. A range window over the store, no join."""
+    day = F.datediff("ds", F.lit("1970-01-01").cast("date"))
+    covered = Window.partitionBy("store_id").orderBy(day).rangeBetween(-1, 0)
+    return series.withColumn("in_calendar", F.coalesce(F.max(is_holiday).over(covered) == 1, F.lit(False)))
 
 
 def seasonal_frame(features: DataFrame, horizon: int = FORECAST_HORIZON,
                    min_weeks: int = MIN_HISTORY, z: float = BAND_Z,
-                   max_stores: int | None = None) -> DataFrame:
-    """History + future rows per store with the fitted components.
+                   max_stores: int | None = None,
+                   horizon_from: str = "training_end") -> DataFrame:
+    """History + future rows per store with the fitted components. Future
+    rows fall on the series' own weekday: they follow the last training row
+    (``horizon_from="training_end"``, the backtest) or, fitted on the whole
+    history, the last row (``"data_end"``, the forecast ahead).
 
     Columns: store_id, ds, kind ('train' | 'holdout' | 'future'), step (1..h
     for holdout and future rows), y, is_holiday, yhat, yhat_lower, yhat_upper.
     """
     sw = restrict_to_first(store_week(features), "store_id", max_stores)
     h = holdout_tail(sw, horizon=horizon, min_rows=min_weeks)
+    if horizon_from not in ("training_end", "data_end"):
+        raise ValueError(f"unknown horizon_from {horizon_from!r}")
+    ahead = horizon_from == "data_end"
+    if ahead:
+        h = h.withColumn("is_holdout", F.lit(False))
+    last = F.col("n_rows") - (0 if ahead else horizon)
     # History rows and the future dates hanging off each store's last training
     # row come out of one generator over ``h``: a single pass, no union.
     is_hold = F.col("is_holdout")
     this_row = F.struct(F.col("ds").alias("ds"), F.col("y").cast("double").alias("y"),
                         F.col("is_holiday").cast("int").alias("is_holiday"),
                         F.when(is_hold, "holdout").otherwise("train").alias("kind"),
-                        F.when(is_hold, F.col("pos") - (F.col("n_rows") - horizon))
+                        F.when(is_hold, F.col("pos") - last)
                         .cast("bigint").alias("step"))
-    first = next_sunday(F.col("ds"))
     future_rows = F.transform(
         F.sequence(F.lit(0), F.lit(horizon - 1)),
-        lambda k: F.struct(F.date_add(first, k * 7).alias("ds"),
+        lambda k: F.struct(F.date_add(F.col("ds"), (k + 1) * 7).alias("ds"),
                            F.lit(None).cast("double").alias("y"),
                            F.lit(0).alias("is_holiday"), F.lit("future").alias("kind"),
                            (k + 1).cast("bigint").alias("step")))
-    rows = F.when(F.col("pos") == F.col("n_rows") - horizon,
+    rows = F.when(F.col("pos") == last,
                   F.concat(F.array(this_row), future_rows)).otherwise(F.array(this_row))
     frame = h.select("store_id", F.inline(rows))
-    # Holiday calendar as a window: a row is covered when a holiday row of
-    # its store falls on its date or the day before (lower window 0, upper
-    # window 1). Same store_id partitioning as the fit windows: no join.
-    day = F.datediff("ds", F.lit("1970-01-01").cast("date"))
-    covered = Window.partitionBy("store_id").orderBy(day).rangeBetween(-1, 0)
-    frame = frame.withColumn("in_calendar", F.coalesce(
-        F.max(F.when(F.col("kind") != "future", F.col("is_holiday"))).over(covered) == 1,
-        F.lit(False)))
+    frame = with_calendar(frame, F.when(F.col("kind") != "future", F.col("is_holiday")))
 
     store = Window.partitionBy("store_id")
     store_week_w = Window.partitionBy("store_id", "woy")
@@ -168,7 +165,8 @@ MISSING_SENTINEL = -1.0
 
 def gbt_dataset(features: DataFrame, horizon: int = FORECAST_HORIZON,
                 validation_weeks: int = FORECAST_HORIZON) -> tuple[DataFrame, list[str]]:
-    """Encoded, NULL-imputed rows with ``is_test`` / ``is_valid`` flags.
+    """Encoded, NULL-imputed rows with ``is_test`` / ``is_valid`` flags and
+    ``label = log1p(target)``.
 
     Spark trees reject NULL/NaN: each nullable feature becomes
     ``coalesce(x, -1)`` plus an ``x_missing`` indicator. The validation slice
@@ -184,57 +182,108 @@ def gbt_dataset(features: DataFrame, horizon: int = FORECAST_HORIZON,
           .withColumn("is_valid", (~F.col("is_test")) & (
               F.col("sale_date") > F.date_sub("cutoff_date", 7 * validation_weeks))))
     present = [c for c in GBT_FEATURES if c in df.columns]
-    cols = []
-    for c in present:
-        cols.append(F.coalesce(F.col(c).cast("double"), F.lit(MISSING_SENTINEL)).alias(f"f_{c}"))
-    nullable = ["sales_lag_52wk", "store_size"]
-    for c in nullable:
-        if c in present:
-            cols.append(F.col(c).isNull().cast("double").alias(f"f_{c}_missing"))
-    names = [f"f_{c}" for c in present] + [f"f_{c}_missing" for c in nullable if c in present]
+    nullable = [c for c in ("sales_lag_52wk", "store_size") if c in present]
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING_SENTINEL)).alias(f"f_{c}") for c in present]
+    cols += [F.col(c).isNull().cast("double").alias(f"f_{c}_missing") for c in nullable]
+    names = [f"f_{c}" for c in present] + [f"f_{c}_missing" for c in nullable]
     out = df.select("store_id", "dept_id", "sale_date", "is_holiday", TARGET, "is_test",
-                    "is_valid", *[c for c in cols])
+                    "is_valid", F.log1p(F.greatest(F.col(TARGET), F.lit(0.0))).alias("label"), *cols)
     return out, names
 
 
-def gbt_backtest(features: DataFrame, max_iter: int = 500, seed: int = 42,
-                 horizon: int = FORECAST_HORIZON, model_name: str = "gbt",
-                 validation_tol: float = 0.01):
-    """Train on rows up to ``max(date) - horizon``; returns
-    ``(backtest rows, importances, model)``."""
-    from pyspark.ml.feature import VectorAssembler
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """``(rounds, closed)``: the round of the smallest loss when training
+    stops once ``patience`` rounds in a row bring no improvement, and whether
+    that happened within ``losses``."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+@dataclass
+class BoostedTrees:
+    """A fitted backtest: holdout rows, importances, the chosen round."""
+
+    backtest: DataFrame
+    importances: DataFrame
+    rounds: int
+    losses: list[float]
+
+
+def fit_rounds(train: DataFrame, valid: DataFrame, max_iter: int, patience: int, seed: int = 42,
+               first_fit: int = 64):
+    """``(model, rounds, losses)`` of squared-loss boosting with the round
+    chosen on ``valid``. Trees are added one after another, so a shorter fit
+    is a prefix of a longer one: fits double in length until the patience
+    window closes, then the model is refitted to the best round."""
     from pyspark.ml.regression import GBTRegressor
 
-    data, names = gbt_dataset(features, horizon)
-    assembler = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
-    vec = assembler.transform(data)
-    train = vec.where(~F.col("is_test"))
-    test = vec.where(F.col("is_test"))
-    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="raw_pred",
-                       lossType="absolute", stepSize=0.05, maxDepth=6, minInstancesPerNode=20,
-                       featureSubsetStrategy="0.8", subsamplingRate=0.8, maxIter=max_iter,
-                       validationIndicatorCol="is_valid", validationTol=validation_tol,
-                       seed=seed, maxBins=64)
-    model = gbt.fit(train)
-    pred = clip_at_zero("raw_pred")
-    out = model.transform(test).select(
+    def fit(n: int):
+        return GBTRegressor(featuresCol="features", labelCol="label", predictionCol="raw_pred",
+                            lossType="squared", stepSize=0.05, maxDepth=6, minInstancesPerNode=20,
+                            featureSubsetStrategy="0.8", subsamplingRate=0.8, maxIter=n,
+                            seed=seed, maxBins=64).fit(train)
+
+    n = min(first_fit, max_iter)
+    while True:
+        model = fit(n)
+        losses = model.evaluateEachIteration(valid, "squared")
+        rounds, closed = best_round(losses, patience)
+        if closed or n == max_iter:
+            break
+        n = min(2 * n, max_iter)
+    return (model if rounds == n else fit(rounds)), rounds, losses
+
+
+def gbt_backtest(features: DataFrame, max_iter: int = 500, patience: int = 50, seed: int = 42,
+                 horizon: int = FORECAST_HORIZON, model_name: str = "gbt") -> BoostedTrees:
+    """Train on rows up to ``max(date) - horizon`` and score the rest. Squared
+    loss on ``log1p(target)``, inverted with ``expm1``; the round is the best
+    on the validation tail of the training period."""
+    from pyspark.ml.feature import VectorAssembler
+
+    spark = features.sparkSession
+    checkpoint_dir(spark)
+    rows, names = gbt_dataset(features, horizon)
+    vec = VectorAssembler(inputCols=names, outputCol="features",
+                          handleInvalid="error").transform(materialize(rows, "gbt_rows"))
+    train = vec.where(~F.col("is_test") & ~F.col("is_valid"))
+    valid = vec.where("is_valid")
+    model, rounds, losses = fit_rounds(train, valid, max_iter, patience, seed)
+    pred = clip_at_zero(F.expm1("raw_pred"))
+    out = model.transform(vec.where("is_test")).select(
         "store_id", "dept_id", F.col("sale_date").alias("ds"), "is_holiday",
         F.col(TARGET).alias("actual"), pred.alias("yhat"),
         (pred * F.lit(0.9)).alias("yhat_lower"), (pred * F.lit(1.1)).alias("yhat_upper"),
         F.lit(model_name).alias("model"))
-    spark = features.sparkSession
     imp = model.featureImportances.toArray().tolist()
     importances = spark.createDataFrame(
         [(n[2:], float(v)) for n, v in zip(names, imp)], "feature string, importance double")
-    return out, importances, model
+    return BoostedTrees(materialize(out, "gbt_backtest"), importances, rounds, losses)
+
+
+def gbt_score(model: BoostedTrees) -> DataFrame:
+    """Holdout WMAE, rows and the number of trees."""
+    return model.backtest.agg(wmae("actual", "yhat", "is_holiday").alias("wmae"),
+                              F.count(F.lit(1)).alias("test_rows")).withColumn("rounds", F.lit(model.rounds))
 
 
-def gbt_score(backtest: DataFrame) -> DataFrame:
-    return backtest.agg(wmae("actual", "yhat", "is_holiday").alias("wmae"),
-                        F.count(F.lit(1)).alias("test_rows"))
+def lag_baseline(features: DataFrame, lag: str = "sales_lag_52wk", horizon: int = FORECAST_HORIZON,
+                 model_name: str = "lag52") -> DataFrame:
+    """The holdout rows forecast by their own lag, in the backtest layout."""
+    from sparkretail.operators.metrics import time_split
+
+    rows = time_split(features, weeks=horizon).where(F.col("is_test") & F.col(lag).isNotNull())
+    pred = clip_at_zero(lag)
+    return rows.select("store_id", "dept_id", F.col("sale_date").alias("ds"), pred.alias("yhat"),
+                       (pred * F.lit(0.9)).alias("yhat_lower"), (pred * F.lit(1.1)).alias("yhat_upper"),
+                       F.lit(model_name).alias("model"))
 
 
 def top_importances(importances: DataFrame, n: int = 10) -> DataFrame:
     """Importances, descending; ``n`` rows (the reference's top-10 log)."""
     return importances.orderBy(F.desc("importance"), "feature").limit(n)
-

@@ -1,43 +1,40 @@
 """Join helpers.
 
-``join_dimension`` broadcasts a dimension only behind a size check:
-
-* with ``max_rows`` (business-bounded dimensions: store tables, store x week
-  features) a bounded probe ``limit(max_rows + 1).count()`` proves the bound
-  before the ``broadcast`` hint; past the bound it falls back to a shuffle
-  join, where adaptive execution handles skewed keys;
-* without it (sides whose size follows the data) no hint is given: Spark
-  broadcasts only under ``autoBroadcastJoinThreshold`` by its size estimate,
-  and adaptive execution re-plans on measured shuffle sizes.
-
-So a dimension that grows with the data is never shipped whole to every
-executor.
+``join_dimension`` is a plain N:1 join without hints: Spark broadcasts a side
+only under ``autoBroadcastJoinThreshold`` by its size estimate, and adaptive
+execution re-plans on the measured shuffle sizes and splits skewed keys. No
+job runs while the plan is built, and no side that grows with the data is
+shipped whole to every executor.
+
+``unique_dimension`` makes a repeated key fail the query instead of fanning
+out the facts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bound for business-bounded dimensions (45 / 1,115 stores are far below it).
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def unique_dimension(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dim`` guarded by its key: a second row of one key raises when it is
+    read. The window has the join's partitioning, so a shuffle join adds none."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    first = keys[0]
+    return (dim.withColumn("_rows", n)
+            .withColumn(first, F.when(known & (F.col("_rows") > 1),
+                                      F.raise_error(F.concat(F.lit("duplicate dimension key: "), shown)))
+                        .otherwise(F.col(first)))
+            .drop("_rows"))
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-                   how: str = "left", max_rows: int | None = None) -> DataFrame:
-    """N:1 join of a fact to a dimension; see the module note on when the
-    dimension is broadcast."""
-    if max_rows is None:
-        return fact.join(dim, on, how)
-    return fact.join(maybe_broadcast(dim, max_rows), on, how)
+                   how: str = "left") -> DataFrame:
+    """N:1 join of a fact to a dimension; see the module note."""
+    return fact.join(dim, on, how)

@@ -55,14 +55,6 @@ def mart_weekly_sales(stg: DataFrame) -> DataFrame:
         lag_rows("weekly_sales", 52).alias("sales_same_week_last_year"))
 
 
-DEMAND_FEATURE_COLUMNS = [
-    "store_id", "dept_id", "sale_date", "weekly_sales", "year", "month", "week_of_year",
-    "quarter", "is_holiday_season", "is_holiday", "store_type", "store_size", "temperature",
-    "fuel_price", "cpi", "unemployment", "has_markdown1", "has_markdown2", "has_markdown3",
-    "has_markdown4", "has_markdown5", "total_markdown", "sales_lag_1wk", "sales_lag_4wk",
-    "sales_lag_52wk", "rolling_4wk_avg", "rolling_13wk_avg"]
-
-
 def total_markdown(cols=("markdown1", "markdown2", "markdown3", "markdown4", "markdown5")) -> Column:
     expr = None
     for c in cols:
@@ -89,6 +81,9 @@ def mart_demand_features(stg: DataFrame, leak_free: bool = False) -> DataFrame:
         rolling_mean("weekly_sales", 13, leak_free=leak_free).alias("rolling_13wk_avg"))
 
 
+EXTERNAL_SCALE = 10  # decimals kept of prices, rates and indices that are not money
+
+
 def mart_store_features(stg: DataFrame) -> DataFrame:
     """One row per store: sales statistics, holiday split, distinct weeks and
     departments, mean external features (all rounded to 2 places)."""
@@ -104,10 +99,10 @@ def mart_store_features(stg: DataFrame) -> DataFrame:
         round_half_away(exact_avg(F.when(~hol, sales))).alias("avg_non_holiday_sales"),
         F.countDistinct("sale_date").alias("num_weeks"),
         F.countDistinct("dept_id").alias("num_depts"),
-        round_half_away(exact_avg("temperature")).alias("avg_temperature"),
-        round_half_away(exact_avg("fuel_price")).alias("avg_fuel_price"),
-        round_half_away(exact_avg("cpi")).alias("avg_cpi"),
-        round_half_away(exact_avg("unemployment")).alias("avg_unemployment"))
+        round_half_away(exact_avg("temperature", EXTERNAL_SCALE)).alias("avg_temperature"),
+        round_half_away(exact_avg("fuel_price", EXTERNAL_SCALE)).alias("avg_fuel_price"),
+        round_half_away(exact_avg("cpi", EXTERNAL_SCALE)).alias("avg_cpi"),
+        round_half_away(exact_avg("unemployment", EXTERNAL_SCALE)).alias("avg_unemployment"))
 
 
 def sales_volatility(stg: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Evaluation helpers: WMAE, time split, holdout tails, positional alignment.
+"""Evaluation helpers: WMAE, time split, holdout tails.
 
 Everything works on all stores at once (group-bys and windows keyed by
 store), never in a driver loop.
@@ -63,17 +63,6 @@ def holdout_tail(series: DataFrame, keys: Sequence[str] = ("store_id",), order:
             .withColumn("is_holdout", F.col("pos") > F.col("n_rows") - horizon))
 
 
-def align_by_position(pred: DataFrame, actual: DataFrame, keys: Sequence[str],
-                      pred_order: str, actual_order: str) -> DataFrame:
-    """Match the i-th prediction with the i-th actual of each key (dates that
-    do not line up); the longer side is truncated by the inner join."""
-    wp = Window.partitionBy(*keys).orderBy(pred_order)
-    wa = Window.partitionBy(*keys).orderBy(actual_order)
-    p = pred.withColumn("pos", F.row_number().over(wp))
-    a = actual.withColumn("pos", F.row_number().over(wa))
-    return p.join(a, [*keys, "pos"], "inner")
-
-
 def first_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` smallest distinct key values (the reference's PoC store cap)."""
     return df.select(key).distinct().orderBy(key).limit(n)

@@ -51,13 +51,15 @@ def passed_expr(observed: Column, kind: Column, bound: Column) -> Column:
             .otherwise(observed == bound))
 
 
-def evaluate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All checks of one table in one pass -> one row per check."""
+def evaluate(df: DataFrame, checks: Sequence[Check], ords: Sequence[int] | None = None) -> DataFrame:
+    """The given checks of one table in one pass -> one row per check, with its
+    place (``ords``) in the declared list."""
+    ords = list(range(len(checks))) if ords is None else list(ords)
     row = df.agg(*[c.expr().cast("bigint").alias(f"c{i}") for i, c in enumerate(checks)])
     rows = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("observed"),
                               F.lit(c.kind).alias("bound_kind"),
                               F.lit(c.bound).cast("bigint").alias("bound"),
-                              F.lit(i).alias("ord"))
+                              F.lit(ords[i]).alias("ord"))
                      for i, c in enumerate(checks)])
     out = row.select(F.inline(rows))
     return out.select("check_name", "observed", "bound_kind", "bound",

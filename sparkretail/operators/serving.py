@@ -41,10 +41,14 @@ def latest_run(table: DataFrame, store_id: int, model: str) -> DataFrame:
 
 
 def latest_runs(table: DataFrame) -> DataFrame:
-    """Set-wide form: every (store, model) keeps its latest run."""
-    w = Window.partitionBy("store_id", F.lower(F.col("model")))
-    return (table.withColumn("_latest", F.max("run_ts").over(w))
-            .where(F.col("run_ts") == F.col("_latest")).drop("_latest"))
+    """Set-wide form: every (store, model) keeps its latest run. The maxima
+    are a small aggregate joined back; no window holds a store's whole history."""
+    name = F.lower(F.col("model"))
+    latest = table.groupBy(F.col("store_id").alias("_store"), name.alias("_model")).agg(
+        F.max("run_ts").alias("_latest"))
+    on = ((F.col("store_id") == F.col("_store")) & (name == F.col("_model"))
+          & (F.col("run_ts") == F.col("_latest")))
+    return table.join(latest, on, "left_semi")
 
 
 def forecast_columns(df: DataFrame) -> DataFrame:
@@ -55,10 +59,11 @@ def forecast_columns(df: DataFrame) -> DataFrame:
 
 
 def serve_forecast(table: DataFrame, store_id: int, model: str = "gbt", weeks: int = 12,
-                   bound: str = "rows") -> DataFrame:
+                   bound: str = "weeks") -> DataFrame:
     """Latest forecast of one store and model ordered by date (dept_id breaks
-    ties). ``bound="rows"`` keeps the first ``weeks * 100`` rows as the
-    endpoint does; ``bound="weeks"`` keeps the first ``weeks`` dates."""
+    ties). ``bound="weeks"`` keeps the first ``weeks`` dates;
+    ``bound="rows"`` keeps the first ``weeks * 100`` rows, the endpoint's own
+    rule, which drops late dates of a store with more than 100 departments."""
     _check_weeks(weeks)
     out = forecast_columns(latest_run(table, store_id, model))
     if bound == "weeks":

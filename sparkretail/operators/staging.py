@@ -2,7 +2,7 @@
 
 Each takes raw-shaped DataFrames (the reference's CSV column names) and
 returns the cleaned, snake_case table. Dimensions (stores, weekly features)
-are joined with a size-checked broadcast.
+are joined on keys that must be unique; a repeated one fails the query.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkretail.functions.scalar import (na_to_double, safe_double, strict_cast, strict_date,
                                           strict_timestamp, to_int_rounded)
-from sparkretail.operators.joins import DEFAULT_BROADCAST_ROWS, join_dimension
+from sparkretail.operators.joins import join_dimension, unique_dimension
 
 WEEKLY_STAGING_COLUMNS = [
     "store_id", "dept_id", "sale_date", "weekly_sales", "is_holiday", "store_type", "store_size",
@@ -23,7 +23,7 @@ WEEKLY_STAGING_COLUMNS = [
 def weekly_features(features: DataFrame) -> DataFrame:
     """Raw text features -> typed (store_id, sale_date, 9 measures)."""
     return features.select(
-        strict_cast("Store", "int", "Store").alias("store_id"),
+        strict_cast("Store", "bigint", "Store").alias("store_id"),
         strict_date("Date").alias("sale_date"),
         safe_double("Temperature").alias("temperature"),
         safe_double("Fuel_Price").alias("fuel_price"),
@@ -33,8 +33,7 @@ def weekly_features(features: DataFrame) -> DataFrame:
         (F.col("IsHoliday") == F.lit("TRUE")).alias("is_holiday_feature"))
 
 
-def stg_weekly_sales(train: DataFrame, stores: DataFrame, features: DataFrame,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def stg_weekly_sales(train: DataFrame, stores: DataFrame, features: DataFrame) -> DataFrame:
     """Weekly sales LEFT JOIN stores LEFT JOIN features (unmatched weeks keep
     NULL features)."""
     t = train.select(F.col("Store").alias("store_id"), F.col("Dept").alias("dept_id"),
@@ -43,10 +42,9 @@ def stg_weekly_sales(train: DataFrame, stores: DataFrame, features: DataFrame,
     s = stores.select(F.col("Store").alias("store_id"), F.col("Type").alias("store_type"),
                       F.col("Size").alias("store_size"))
     f = weekly_features(features).drop("is_holiday_feature")
-    out = join_dimension(t, s, "store_id", "left", max_broadcast_rows)
-    # features are store x week: bounded by the chain and the calendar, not by
-    # the fact volume; the probe keeps the fact from being shuffled
-    out = join_dimension(out, f, ["store_id", "sale_date"], "left", max_broadcast_rows)
+    out = join_dimension(t, unique_dimension(s, ["store_id"]), "store_id", "left")
+    keys = ["store_id", "sale_date"]
+    out = join_dimension(out, unique_dimension(f, keys), keys, "left")
     return out.select(*WEEKLY_STAGING_COLUMNS)
 
 
@@ -69,8 +67,7 @@ def daily_stores(stores: DataFrame) -> DataFrame:
         F.col("PromoInterval").alias("promo_interval"))
 
 
-def stg_daily_sales(train: DataFrame, stores: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def stg_daily_sales(train: DataFrame, stores: DataFrame) -> DataFrame:
     """Open selling days LEFT JOIN store attributes."""
     t = open_selling_days(train).select(
         F.col("Store").alias("store_id"), F.col("Date").alias("sale_date"),
@@ -78,7 +75,7 @@ def stg_daily_sales(train: DataFrame, stores: DataFrame,
         F.col("Customers").alias("customers"), F.col("Promo").alias("is_promo"),
         F.col("StateHoliday").alias("state_holiday"),
         F.col("SchoolHoliday").alias("school_holiday"))
-    return join_dimension(t, daily_stores(stores), "store_id", "left", max_broadcast_rows)
+    return join_dimension(t, unique_dimension(daily_stores(stores), ["store_id"]), "store_id", "left")
 
 
 def stg_transactions(raw: DataFrame) -> DataFrame:

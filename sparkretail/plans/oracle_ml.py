@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sparkretail.operators.drift import CATEGORICAL_FEATURES as CATEGORICAL
+from sparkretail.operators.drift import NUMERIC_FEATURES as NUMERIC
 from sparkretail.plans.oracle import r, register, week_sunday
 
 POSITIVE = "select * from mart_demand_features where weekly_sales > 0"
@@ -12,13 +14,6 @@ select *, cast((select max(sale_date) from positive_demand) - 84 as date) as cut
 from positive_demand
 """
 
-NUMERIC = ["store_size", "total_markdown", "sales_lag_1wk", "sales_lag_4wk", "sales_lag_52wk",
-           "rolling_4wk_avg", "rolling_13wk_avg", "weekly_sales"]
-CATEGORICAL = ["store_id", "dept_id", "week_of_year", "month", "quarter", "is_holiday",
-               "is_holiday_season", "has_markdown1", "has_markdown2", "has_markdown3",
-               "has_markdown4", "has_markdown5"]
-
-
 def _long(features, typ):
     casts = ", ".join(f"cast({c} as {typ}) as {c}" for c in features)
     return (f"select feature, value, is_recent from (select is_recent, {casts} from drift_split) "
@@ -117,16 +112,18 @@ select * from (select *, row_number() over (partition by store_id order by ds) a
                from store_week) where n_rows >= 52
 """
 
-SEASONAL = f"""
+def seasonal(held: int) -> str:
+    """The fit with the last ``held`` rows of each store kept out."""
+    return f"""
 with hist as (
   select store_id, ds, y, is_holiday,
-         case when pos > n_rows - 12 then 'holdout' else 'train' end as kind,
-         case when pos > n_rows - 12 then pos - (n_rows - 12) end as step
+         case when pos > n_rows - {held} then 'holdout' else 'train' end as kind,
+         case when pos > n_rows - {held} then pos - (n_rows - {held}) end as step
   from holdout_rows),
 fut as (
-  select store_id, cast(ds + cast(7 - dayofweek(ds) + 7 * k as integer) as date) as ds, cast(null as double) as y,
+  select store_id, cast(ds + cast(7 * (k + 1) as integer) as date) as ds, cast(null as double) as y,
          0 as is_holiday, 'future' as kind, cast(k + 1 as bigint) as step
-  from holdout_rows cross join range(0, 12) q(k) where pos = n_rows - 12),
+  from holdout_rows cross join range(0, 12) q(k) where pos = n_rows - {held}),
 cal as (
   select distinct store_id, d as ds
   from (select store_id, ds as d from hist where is_holiday = 1
@@ -193,7 +190,8 @@ for _name, _body, _deps in [
     ("drift_features", DRIFT_FEATURES, ("psi_numeric", "psi_categorical")),
     ("store_week", STORE_WEEK, ("positive_demand",)),
     ("holdout_rows", HOLDOUT, ("store_week",)),
-    ("seasonal_frame", SEASONAL, ("holdout_rows",)),
+    ("seasonal_frame", seasonal(12), ("holdout_rows",)),
+    ("seasonal_ahead", seasonal(0), ("holdout_rows",)),
     ("holdout_pairs", PAIRS, ("seasonal_frame",)),
     ("store_scores", STORE_SCORES, ("holdout_pairs",)),
 ]:

@@ -26,7 +26,7 @@ def q_mart_inventory_risk_quarterly(spark, sf):
 
 @query("mart_weekly_sales", W("select * from mart_weekly_sales", "mart_weekly_sales"))
 def q_mart_weekly_sales(spark, sf):
-    return marts.mart_weekly_sales(builds.weekly_staging(spark, sf))
+    return marts.mart_weekly_sales(builds.weekly_table(spark, sf))
 
 
 @query("mart_demand_features", W("select * from mart_demand_features", "mart_demand_features"))
@@ -36,12 +36,12 @@ def q_mart_demand_features(spark, sf):
 
 @query("mart_store_features", W("select * from mart_store_features", "mart_store_features"))
 def q_mart_store_features(spark, sf):
-    return marts.mart_store_features(builds.weekly_staging(spark, sf))
+    return marts.mart_store_features(builds.weekly_table(spark, sf))
 
 
 @query("mart_promotion_lift", W("select * from mart_promotion_lift", "mart_promotion_lift"))
 def q_mart_promotion_lift(spark, sf):
-    return marts.mart_promotion_lift(builds.daily_staging(spark, sf))
+    return marts.mart_promotion_lift(builds.daily_table(spark, sf))
 
 
 # ---- windows (§2.5): each exposed with a small projection of the series
@@ -50,7 +50,7 @@ _SER = "partition by store_id, dept_id order by sale_date"
 
 
 def _series(spark, sf):
-    return builds.weekly_staging(spark, sf).select("store_id", "dept_id", "sale_date",
+    return builds.weekly_table(spark, sf).select("store_id", "dept_id", "sale_date",
                                                    "weekly_sales")
 
 
@@ -67,7 +67,7 @@ for _n in (1, 4, 52):
 @query("win_yoy", W("select store_id, dept_id, sale_date, sales_same_week_last_year "
                     "from mart_weekly_sales", "mart_weekly_sales"))
 def q_win_yoy(spark, sf):
-    return marts.mart_weekly_sales(builds.weekly_staging(spark, sf)).select(
+    return marts.mart_weekly_sales(builds.weekly_table(spark, sf)).select(
         "store_id", "dept_id", "sale_date", "sales_same_week_last_year")
 
 
@@ -91,7 +91,7 @@ def q_win_rolling_13(spark, sf):
                max_weekly_sales, stddev_weekly_sales from mart_store_features""",
     "mart_store_features"))
 def q_agg_store_summary(spark, sf):
-    return marts.mart_store_features(builds.weekly_staging(spark, sf)).select(
+    return marts.mart_store_features(builds.weekly_table(spark, sf)).select(
         "store_id", "store_type", "store_size", "avg_weekly_sales", "total_sales",
         "min_weekly_sales", "max_weekly_sales", "stddev_weekly_sales")
 
@@ -100,14 +100,14 @@ def q_agg_store_summary(spark, sf):
     "select store_id, avg_holiday_sales, avg_non_holiday_sales from mart_store_features",
     "mart_store_features"))
 def q_agg_conditional_avg(spark, sf):
-    return marts.mart_store_features(builds.weekly_staging(spark, sf)).select(
+    return marts.mart_store_features(builds.weekly_table(spark, sf)).select(
         "store_id", "avg_holiday_sales", "avg_non_holiday_sales")
 
 
 @query("agg_count_distinct", W(
     "select store_id, num_weeks, num_depts from mart_store_features", "mart_store_features"))
 def q_agg_count_distinct(spark, sf):
-    return builds.weekly_staging(spark, sf).groupBy("store_id").agg(
+    return builds.weekly_table(spark, sf).groupBy("store_id").agg(
         F.countDistinct("sale_date").alias("num_weeks"),
         F.countDistinct("dept_id").alias("num_depts"))
 
@@ -116,13 +116,13 @@ def q_agg_count_distinct(spark, sf):
     "select store_id, avg_temperature, avg_fuel_price, avg_cpi, avg_unemployment "
     "from mart_store_features", "mart_store_features"))
 def q_agg_external_avg(spark, sf):
-    return marts.mart_store_features(builds.weekly_staging(spark, sf)).select(
+    return marts.mart_store_features(builds.weekly_table(spark, sf)).select(
         "store_id", "avg_temperature", "avg_fuel_price", "avg_cpi", "avg_unemployment")
 
 
 @query("agg_volatility", W("select * from sales_stats", "sales_stats"))
 def q_agg_volatility(spark, sf):
-    return marts.sales_volatility(builds.weekly_staging(spark, sf))
+    return marts.sales_volatility(builds.weekly_table(spark, sf))
 
 
 @query("agg_cv", W("select store_id, dept_id, coeff_of_variation from mart_inventory_risk",
@@ -134,7 +134,7 @@ def q_agg_cv(spark, sf):
 @query("flt_post_agg", W("select store_id, dept_id, avg_weekly_sales from sales_stats "
                          "where avg_weekly_sales > 0", "sales_stats"))
 def q_flt_post_agg(spark, sf):
-    return (marts.sales_volatility(builds.weekly_staging(spark, sf))
+    return (marts.sales_volatility(builds.weekly_table(spark, sf))
             .where(F.col("avg_weekly_sales") > 0)
             .select("store_id", "dept_id", "avg_weekly_sales"))
 
@@ -149,7 +149,7 @@ def q_cse_tier(spark, sf):
 @query("agg_promo_lift", W(
     "select store_id, promo_lift_pct from mart_promotion_lift", "mart_promotion_lift"))
 def q_agg_promo_lift(spark, sf):
-    return marts.mart_promotion_lift(builds.daily_staging(spark, sf)).select(
+    return marts.mart_promotion_lift(builds.daily_table(spark, sf)).select(
         "store_id", "promo_lift_pct")
 
 
@@ -157,7 +157,7 @@ def q_agg_promo_lift(spark, sf):
     "select store_id, promo_days, non_promo_days from mart_promotion_lift",
     "mart_promotion_lift"))
 def q_agg_count_if(spark, sf):
-    return marts.mart_promotion_lift(builds.daily_staging(spark, sf)).select(
+    return marts.mart_promotion_lift(builds.daily_table(spark, sf)).select(
         "store_id", "promo_days", "non_promo_days")
 
 
@@ -165,7 +165,7 @@ def q_agg_count_if(spark, sf):
     "select store_id, competition_distance, total_sales from mart_promotion_lift",
     "mart_promotion_lift"))
 def q_agg_promo_total(spark, sf):
-    return marts.mart_promotion_lift(builds.daily_staging(spark, sf)).select(
+    return marts.mart_promotion_lift(builds.daily_table(spark, sf)).select(
         "store_id", "competition_distance", "total_sales")
 
 
@@ -191,7 +191,7 @@ def q_fn_extract(spark, sf):
     f"select distinct sale_date, {O.week_sunday('sale_date')} as week_of_year from stg_weekly_sales",
     "stg_weekly_sales"))
 def q_fn_week_sunday(spark, sf):
-    return (builds.weekly_staging(spark, sf).select("sale_date").distinct()
+    return (builds.weekly_table(spark, sf).select("sale_date").distinct()
             .select("sale_date", S.week_sunday("sale_date").alias("week_of_year")))
 
 
@@ -207,7 +207,7 @@ def q_fn_coalesce_sum(spark, sf):
     "select store_id, dept_id, stddev_weekly_sales / nullif(avg_weekly_sales, 0) as ratio "
     "from sales_stats", "sales_stats"))
 def q_fn_safe_divide(spark, sf):
-    return marts.sales_volatility(builds.weekly_staging(spark, sf)).select(
+    return marts.sales_volatility(builds.weekly_table(spark, sf)).select(
         "store_id", "dept_id", S.safe_div("stddev_weekly_sales", "avg_weekly_sales").alias("ratio"))
 
 
@@ -215,7 +215,7 @@ def q_fn_safe_divide(spark, sf):
     f"select store_id, dept_id, {O.r('weekly_sales / 3.0')} as r2, "
     f"{O.r('weekly_sales / 7.0', 4)} as r4 from stg_weekly_sales", "stg_weekly_sales"))
 def q_fn_round(spark, sf):
-    return builds.weekly_staging(spark, sf).select(
+    return builds.weekly_table(spark, sf).select(
         "store_id", "dept_id",
         S.round_half_away(F.col("weekly_sales") / F.lit(3.0)).alias("r2"),
         S.round_half_away(F.col("weekly_sales") / F.lit(7.0), 4).alias("r4"))

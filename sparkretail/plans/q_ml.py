@@ -45,7 +45,7 @@ def q_flt_dropna_subset(spark, sf):
 
 @query("jn_split_cutoff", W("select distinct cutoff_date from drift_split", "drift_split"))
 def q_jn_split_cutoff(spark, sf):
-    return _split(spark, sf).select("cutoff_date").distinct()
+    return metrics.with_cutoff(_positive(spark, sf)).select("cutoff_date").distinct()
 
 
 @query("ml_time_split", W(f"select {KEYS}, is_recent as is_test from drift_split", "drift_split"))
@@ -70,7 +70,8 @@ def q_prj_encode_category(spark, sf):
                                        S.encode_store_type("store_type").alias("store_type_code"))
 
 
-@query("prj_available_columns")
+@query("prj_available_columns", W(
+    "select " + ", ".join(forecast.GBT_FEATURES) + " from positive_demand", "positive_demand"))
 def q_prj_available_columns(spark, sf):
     df = _positive(spark, sf)
     return df.select(*[c for c in forecast.GBT_FEATURES if c in df.columns])
@@ -101,11 +102,11 @@ def q_win_holdout_tail(spark, sf):
 
 
 @query("ml_holiday_calendar", W(
-    "select distinct store_id, d as ds from (select store_id, ds as d from store_week "
-    "where is_holiday = 1 union all select store_id, cast(ds + 1 as date) from store_week "
-    "where is_holiday = 1)", "store_week"))
+    "select s.store_id, s.ds, exists (select 1 from store_week h where h.store_id = s.store_id "
+    "and h.is_holiday = 1 and s.ds - h.ds in (0, 1)) as in_calendar from store_week s", "store_week"))
 def q_ml_holiday_calendar(spark, sf):
-    return forecast.holiday_calendar(metrics.store_week(_positive(spark, sf))).drop("in_calendar")
+    return forecast.with_calendar(metrics.store_week(_positive(spark, sf)), F.col("is_holiday")).select(
+        "store_id", "ds", "in_calendar")
 
 
 @query("ml_future_frame", W("select store_id, ds, step from seasonal_frame where kind = 'future'",
@@ -114,6 +115,14 @@ def q_ml_future_frame(spark, sf):
     return _frame(spark, sf).where(F.col("kind") == "future").select("store_id", "ds", "step")
 
 
+@query("ml_forecast_ahead", W("select store_id, ds, step, yhat, yhat_lower, yhat_upper from seasonal_ahead "
+                              "where kind = 'future'", "seasonal_ahead"))
+def q_ml_forecast_ahead(spark, sf):
+    """Twelve weeks beyond the end of the data, fitted on the whole history."""
+    return forecast.seasonal_frame(_positive(spark, sf), horizon_from="data_end").where(
+        F.col("kind") == "future").select("store_id", "ds", "step", "yhat", "yhat_lower", "yhat_upper")
+
+
 @query("ml_store_seasonal", W("select * from seasonal_frame", "seasonal_frame"))
 def q_ml_store_seasonal(spark, sf):
     return _frame(spark, sf)
@@ -244,33 +253,42 @@ def q_set_category_union(spark, sf):
         F.count_if(F.col("is_recent")).alias("recent_count"))
 
 
-# ---- global boosted trees (Spark ML): rows-only checks
-GBT_QUERY_ITERATIONS = 30
+# ---- global boosted trees (Spark ML): one fit per application and input,
+# shared by every query that reads the model
+_FITS: dict[tuple[str, str], forecast.BoostedTrees] = {}
 
 
-def _gbt(spark, sf):
-    return forecast.gbt_backtest(_positive(spark, sf), max_iter=GBT_QUERY_ITERATIONS)
+def boosted(spark, sf) -> forecast.BoostedTrees:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITS:
+        _FITS[key] = forecast.gbt_backtest(_positive(spark, sf))
+    return _FITS[key]
 
 
 @query("ml_global_gbt")
 def q_ml_global_gbt(spark, sf):
-    out, _, _ = _gbt(spark, sf)
-    return forecast.gbt_score(out)
+    return forecast.gbt_score(boosted(spark, sf))
 
 
 @query("ml_backtest_output")
 def q_ml_backtest_output(spark, sf):
-    out, _, _ = _gbt(spark, sf)
-    return out.select(*forecast.FORECAST_COLUMNS)
+    return boosted(spark, sf).backtest.select(*forecast.FORECAST_COLUMNS)
+
+
+@query("ml_backtest_keys", W(
+    f"select store_id, dept_id, sale_date as ds, is_holiday, weekly_sales as actual, 'gbt' as model "
+    "from drift_split where is_recent and sales_lag_1wk is not null and sales_lag_4wk is not null "
+    "and rolling_4wk_avg is not null", "drift_split"))
+def q_ml_backtest_keys(spark, sf):
+    """What SQL can check of the tree rows: which they are and their actuals."""
+    return boosted(spark, sf).backtest.select("store_id", "dept_id", "ds", "is_holiday", "actual", "model")
 
 
 @query("ml_feature_importance")
 def q_ml_feature_importance(spark, sf):
-    _, imp, _ = _gbt(spark, sf)
-    return imp
+    return boosted(spark, sf).importances
 
 
 @query("srt_importance")
 def q_srt_importance(spark, sf):
-    _, imp, _ = _gbt(spark, sf)
-    return forecast.top_importances(imp, 10)
+    return forecast.top_importances(boosted(spark, sf).importances, 10)

@@ -57,11 +57,9 @@ def _checks_sql(metrics: set[str] | None) -> tuple[str, list[str]]:
 def _checks_df(spark, sf, metrics: set[str] | None):
     frames = []
     for name, checks, _ in _TABLES:
-        sel = [c for c in checks if not metrics or (c.metric, c.kind) in metrics]
+        sel = [(i, c) for i, c in enumerate(checks) if not metrics or (c.metric, c.kind) in metrics]
         if sel:
-            res = quality.evaluate(_raw(spark, sf, name), checks)
-            keep = [c.name for c in sel]
-            frames.append(res.where(res.check_name.isin(keep)))
+            frames.append(quality.evaluate(_raw(spark, sf, name), [c for _, c in sel], [i for i, _ in sel]))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -90,21 +88,14 @@ _MODEL_CTE = {
 
 
 def _model_df(spark, sf, model):
-    if model == "stg_walmart_sales":
-        return builds.weekly_staging(spark, sf)
-    if model == "stg_rossmann_sales":
-        return builds.daily_staging(spark, sf)
-    if model == "stg_online_retail":
-        return builds.transactions_staging(spark, sf)
-    if model == "mart_weekly_sales":
-        return marts.mart_weekly_sales(builds.weekly_staging(spark, sf))
-    if model == "mart_store_features":
-        return marts.mart_store_features(builds.weekly_staging(spark, sf))
-    if model == "mart_promotion_lift":
-        return marts.mart_promotion_lift(builds.daily_staging(spark, sf))
-    if model == "mart_inventory_risk":
-        return builds.inventory_risk(spark, sf)
-    return builds.demand_features(spark, sf)
+    weekly, daily = builds.weekly_table, builds.daily_table
+    return {"stg_walmart_sales": lambda: weekly(spark, sf), "stg_rossmann_sales": lambda: daily(spark, sf),
+            "stg_online_retail": lambda: builds.transactions_staging(spark, sf),
+            "mart_weekly_sales": lambda: marts.mart_weekly_sales(weekly(spark, sf)),
+            "mart_store_features": lambda: marts.mart_store_features(weekly(spark, sf)),
+            "mart_promotion_lift": lambda: marts.mart_promotion_lift(daily(spark, sf)),
+            "mart_inventory_risk": lambda: builds.inventory_risk(spark, sf),
+            "mart_demand_features": lambda: builds.demand_table(spark, sf)}[model]()
 
 
 _NN_SQL = " union all ".join(

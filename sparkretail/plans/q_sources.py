@@ -9,6 +9,7 @@ the declared schema, so the round trip is what is checked.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from sparkretail.operators import drift, forecast, marts
 from sparkretail.plans import builds
 from sparkretail.plans import oracle as O
 from sparkretail.plans.catalog import query
-from sparkretail.plans.q_serving import RUNS, forecast_log, seasonal_output
+from sparkretail.plans.q_serving import RUNS, forecast_log, model_outputs, seasonal_output
 from sparkretail.session import scratch_path
 from sparkretail.sources import files, proxy
 from sparkretail.streaming.staging import run_available, stream_weekly_staging
@@ -25,18 +26,54 @@ W = O.with_ctes
 log = logging.getLogger(__name__)
 
 
-@query("src_weekly", W("select * from raw_sales", "raw_sales"))
-def q_src_weekly(spark, sf):
-    base = scratch_path(spark, "weekly")
-    files.write_csv(proxy.raw_weekly_train(spark, sf), f"{base}/train.csv")
-    return files.read_csv(spark, f"{base}/train.csv", files.WEEKLY_FILES["train.csv"])
+def _landed(spark, base, frames, schemas):
+    """Every file landed as CSV and read back with its declared schema."""
+    for name, df in frames.items():
+        files.write_csv(df, f"{base}/{name}")
+    return {name: files.read_csv(spark, f"{base}/{name}", schemas[name]) for name in frames}
+
 
+def _stacked(read, as_text):
+    """The files one below the other; columns whose types differ as text."""
+    out = None
+    for name, df in read.items():
+        df = df.select(F.lit(name).alias("file"), *[F.col(c).cast(as_text.get(c, t)).alias(c) for c, t in df.dtypes])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
-@query("src_daily", W("select * from raw_daily", "raw_daily"))
+
+@query("src_weekly", W(
+    "select 'train.csv' as file, cast(Store as varchar) as Store, Dept, cast(Date as varchar) as Date, Weekly_Sales, "
+    "cast(IsHoliday as varchar) as IsHoliday from raw_sales union all by name "
+    "select 'test.csv' as file, cast(Store as varchar) as Store, Dept, cast(Date as varchar) as Date, "
+    "cast(IsHoliday as varchar) as IsHoliday from raw_weekly_test union all by name "
+    "select 'stores.csv' as file, cast(Store as varchar) as Store, Type, Size from raw_stores union all by name "
+    "select 'features.csv' as file, * from raw_features",
+    "raw_sales", "raw_weekly_test", "raw_stores", "raw_features"))
+def q_src_weekly(spark, sf):
+    frames = {"train.csv": proxy.raw_weekly_train(spark, sf), "test.csv": proxy.raw_weekly_test(spark, sf),
+              "stores.csv": proxy.raw_weekly_stores(spark, sf), "features.csv": proxy.raw_weekly_features(spark, sf)}
+    read = _landed(spark, scratch_path(spark, "weekly"), frames, files.WEEKLY_FILES)
+    return _stacked(read, {"Store": "string", "Date": "string", "IsHoliday": "string"})
+
+
+@query("src_daily", W(
+    "select 'train.csv' as file, * replace (cast(Open as double) as Open) from raw_daily union all by name "
+    "select 'test.csv' as file, * from raw_daily_test union all by name "
+    "select 'store.csv' as file, * replace (try_cast(CompetitionDistance as double) as CompetitionDistance, "
+    "try_cast(CompetitionOpenSinceMonth as double) as CompetitionOpenSinceMonth, "
+    "try_cast(CompetitionOpenSinceYear as double) as CompetitionOpenSinceYear, "
+    "try_cast(Promo2SinceWeek as double) as Promo2SinceWeek, "
+    "try_cast(Promo2SinceYear as double) as Promo2SinceYear) from raw_daily_stores",
+    "raw_daily", "raw_daily_test", "raw_daily_stores"))
 def q_src_daily(spark, sf):
-    base = scratch_path(spark, "daily")
-    files.write_csv(proxy.raw_daily_train(spark, sf), f"{base}/train.csv")
-    return files.read_csv(spark, f"{base}/train.csv", files.DAILY_FILES["train.csv"])
+    # the declared schema has numbers where the proxy writes 'NA': such fields land empty
+    stores = proxy.raw_daily_stores(spark, sf)
+    stores = stores.withColumn("CompetitionDistance", F.nullif("CompetitionDistance", F.lit("NA")))
+    frames = {"train.csv": proxy.raw_daily_train(spark, sf), "test.csv": proxy.raw_daily_test(spark, sf),
+              "store.csv": stores}
+    read = _landed(spark, scratch_path(spark, "daily"), frames, files.DAILY_FILES)
+    return _stacked(read, {"Open": "double"})
 
 
 @query("src_transactions", W("select * from raw_transactions", "raw_transactions"))
@@ -64,7 +101,11 @@ def q_src_parquet_optional(spark, sf):
     return union_models(found).select(*forecast.FORECAST_COLUMNS)
 
 
-@query("src_manifest_check")
+@query("src_manifest_check", """
+select * from (values ('train.csv', 'ok'), ('test.csv', 'missing_or_empty'), ('stores.csv', 'ok'),
+                      ('features.csv', 'ok')) t(file_name, status)
+where exists (select 1 from lineitem)
+""")
 def q_src_manifest_check(spark, sf):
     base = scratch_path(spark, "manifest")
     w, s, f = proxy.weekly_inputs(spark, sf)
@@ -72,7 +113,7 @@ def q_src_manifest_check(spark, sf):
     files.write_csv(s, f"{base}/stores.csv")
     files.write_csv(f, f"{base}/features.csv")
     # test.csv was never landed: reported as missing
-    return files.manifest(spark, base, [*files.WEEKLY_FILES])
+    return files.manifest(spark, base, [*files.WEEKLY_FILES]).select("file_name", "status")
 
 
 @query("snk_truncate", W("select * from stg_daily_sales", "stg_daily_sales"))
@@ -88,7 +129,7 @@ def q_snk_truncate(spark, sf):
 def q_snk_append(spark, sf):
     from sparkretail.operators.forecast_table import append_run, read_table, stamp
     path = scratch_path(spark, "mart_demand_forecast")
-    out = seasonal_output(spark, sf)
+    out = model_outputs(spark, sf)
     for rid, ts in RUNS:
         append_run(stamp(out, rid, ts), path)
     return read_table(spark, path)
@@ -96,10 +137,10 @@ def q_snk_append(spark, sf):
 
 @query("snk_mart_table", W("select * from mart_store_features", "mart_store_features"))
 def q_snk_mart_table(spark, sf):
-    path = scratch_path(spark, "mart_store_features")
-    files.write_parquet(marts.mart_store_features(builds.weekly_staging(spark, sf)), path)
-    spark.read.parquet(path).createOrReplaceTempView("mart_store_features")
-    return spark.table("mart_store_features")
+    name = f"mart_store_features_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, name)  # an external table: the shared folder holds its files
+    marts.mart_store_features(builds.weekly_table(spark, sf)).write.mode("overwrite").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 @query("snk_staging_view", W("select * from stg_weekly_sales", "stg_weekly_sales"))
@@ -117,8 +158,8 @@ def q_snk_parquet(spark, sf):
 
 @query("snk_csv")
 def q_snk_csv(spark, sf):
-    from sparkretail.plans.q_ml import _gbt
-    _, imp, _ = _gbt(spark, sf)
+    from sparkretail.plans.q_ml import boosted
+    imp = boosted(spark, sf).importances
     path = scratch_path(spark, "feature_importance.csv")
     files.write_csv(imp.orderBy(F.desc("importance")).coalesce(1), path)
     return files.read_csv(spark, path, imp.schema)

@@ -7,6 +7,7 @@ zone, ANSI casts) and turns on adaptive execution.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,8 +58,9 @@ def pin_time_zone(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created so ``checkpoint()`` and scratch tables still work.
+    Read from the session. Unset, it is an error on a cluster, whose executors
+    do not see each other's folders; a ``local[n]`` session is one machine and
+    gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="sparkretail-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -77,8 +81,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/sparkretail/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Cut the lineage of a DataFrame that several jobs reuse: written once to
-    the shared checkpoint folder (survives executor loss, unlike a cache)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Cut the lineage of a DataFrame that several jobs reuse: written once as
+    Parquet to the shared folder (survives executor loss, unlike a cache, and
+    each reader decodes only its columns)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_STORED: dict[tuple[str, str, str], tuple] = {}
+
+
+def stored_once(spark: SparkSession, name: str, sf_dir: str, build):
+    """The table that ``build()`` gives, written on first use and read back by
+    every later query of the same application over the same input."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        df = build()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        _STORED[key] = (path, df.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)

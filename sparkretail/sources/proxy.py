@@ -6,8 +6,9 @@ tables; these functions derive tables with the reference's raw column names
 and types from them, as lazy Spark plans, so every query's work grows with
 the input (FIXTURES.md §3 gives the same definitions as SQL for the oracle).
 
-Mapping: store = nation key (of the supplier / customer), department = part
-type, sales = discounted line price; orders give the daily and feature
+Mapping: store = supplier key (an order belongs to the store of its customer
+key modulo the number of suppliers), so the number of series grows with the
+data; department = part type, sales = discounted line price; orders give the daily and feature
 tables, line items the invoice lines.
 """
 
@@ -52,15 +53,15 @@ def raw_weekly_train(spark: SparkSession, sf_dir: str, grain: str = "week") -> D
     """Store, Dept, Date, Weekly_Sales, IsHoliday at the given grain."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_extendedprice", "l_discount", "l_shipdate")
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    j = join_dimension(li, sup, li.l_suppkey == sup.s_suppkey, "inner")
+    j = join_dimension(li, sup, li.l_suppkey == sup.s_suppkey, "left_semi")
     j = join_dimension(j, part, j.l_partkey == part.p_partkey, "inner")
     amount = (F.col("l_extendedprice").cast("decimal(12,2)")
               * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
     start = period_start(F.col("l_shipdate"), grain)
     keyed = j.select(
-        F.col("s_nationkey").cast("bigint").alias("Store"),
+        F.col("l_suppkey").cast("bigint").alias("Store"),
         _dept(F.col("p_type")).alias("Dept"),
         start.alias("Date"),
         amount.alias("amount"))
@@ -71,18 +72,17 @@ def raw_weekly_train(spark: SparkSession, sf_dir: str, grain: str = "week") -> D
 
 def raw_weekly_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store, Type, Size."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    store_type = (F.when(k == 24, "D").when(k % 3 == 0, "A").when(k % 3 == 1, "B").otherwise("C"))
-    return n.select(k.cast("bigint").alias("Store"), store_type.alias("Type"),
-                    (F.lit(10000) + F.lit(1000) * k + F.lit(100) * F.col("n_regionkey"))
-                    .cast("bigint").alias("Size"))
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    store_type = (F.when(n == 24, "D").when(k % 3 == 0, "A").when(k % 3 == 1, "B").otherwise("C"))
+    return table(spark, sf_dir, "supplier").select(
+        k.cast("bigint").alias("Store"), store_type.alias("Type"),
+        (F.lit(10000) + F.lit(100) * k + F.lit(1000) * n).cast("bigint").alias("Size"))
 
 
 def _orders_with_store(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
+    stores = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
     o = table(spark, sf_dir, "orders").select("o_custkey", *cols)
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return join_dimension(o, c, o.o_custkey == c.c_custkey, "inner")
+    return o.withColumn("store", F.pmod(F.col("o_custkey"), stores).cast("bigint"))
 
 
 def raw_weekly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,7 @@ def raw_weekly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, p in enumerate(PRIORITIES, start=1):
         aggs.append(F.sum(F.when(pri == p, 1).otherwise(0)).alias(f"n{i}"))
         aggs.append(F.sum(F.when(pri == p, price)).alias(f"m{i}"))
-    x = j.groupBy(F.col("c_nationkey").alias("store"),
+    x = j.groupBy("store",
                   period_start(F.col("o_orderdate"), "week").alias("d")).agg(*aggs)
     cols = [F.col("store").cast("string").alias("Store"), F.col("d").cast("string").alias("Date"),
             F.col("n").cast("string").alias("Temperature"),
@@ -119,7 +119,7 @@ def raw_daily_train(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "o_orderstatus", "o_orderpriority"])
     d = F.to_date("o_orderdate")
     return j.select(
-        F.col("c_nationkey").cast("bigint").alias("Store"),
+        F.col("store").alias("Store"),
         (F.weekday(d) + 1).cast("bigint").alias("DayOfWeek"),
         d.alias("Date"),
         F.when(F.col("o_custkey") % 50 == 0, F.lit(0))
@@ -135,21 +135,20 @@ def raw_daily_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_daily_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store, StoreType, Assortment, CompetitionDistance, ... PromoInterval
     (numeric attributes arrive as text, 'NA' or NULL when missing)."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
+    k = F.col("s_suppkey")
     odd = k % 2 == 1
-    return n.select(
+    return table(spark, sf_dir, "supplier").select(
         k.cast("bigint").alias("Store"),
         F.when(k % 4 == 0, "a").when(k % 4 == 1, "b").when(k % 4 == 2, "c").otherwise("d")
         .alias("StoreType"),
         F.when(k % 3 == 0, "a").when(k % 3 == 1, "b").otherwise("c").alias("Assortment"),
-        F.when(k % 7 == 0, "NA").otherwise((110 * k).cast("string")).alias("CompetitionDistance"),
+        F.when(k % 7 == 0, "NA").otherwise((110 * (k % 25)).cast("string")).alias("CompetitionDistance"),
         F.when(k % 5 == 0, F.lit(None)).otherwise((1 + k % 12).cast("string"))
         .alias("CompetitionOpenSinceMonth"),
-        F.when(k % 5 == 0, F.lit(None)).otherwise((1990 + k).cast("string"))
+        F.when(k % 5 == 0, F.lit(None)).otherwise((1990 + k % 25).cast("string"))
         .alias("CompetitionOpenSinceYear"),
         (k % 2).cast("bigint").alias("Promo2"),
-        F.when(odd, (1 + 2 * k).cast("string")).alias("Promo2SinceWeek"),
+        F.when(odd, (1 + 2 * (k % 25)).cast("string")).alias("Promo2SinceWeek"),
         F.when(odd, (1995 + k % 5).cast("string")).alias("Promo2SinceYear"),
         F.when(odd, F.lit("Jan,Apr,Jul,Oct")).alias("PromoInterval"))
 
@@ -185,6 +184,32 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("Country"))
 
 
+def raw_weekly_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store, Dept, Date, IsHoliday of the weeks to forecast: the last 12
+    weeks of the training file moved on by 12 weeks."""
+    train = raw_weekly_train(spark, sf_dir)
+    start = F.date_sub(raw_weekly_train(spark, sf_dir).select(F.max("Date")).scalar(), 84)
+    later = F.date_add("Date", 84)
+    return train.where(F.col("Date") > start).select(
+        "Store", "Dept", later.alias("Date"), F.weekofyear(later).isin(*HOLIDAY_ISO_WEEKS).alias("IsHoliday"))
+
+
+def raw_daily_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Id, Store, DayOfWeek, Date, Open, Promo, StateHoliday, SchoolHoliday:
+    the orders of the last six weeks moved on by six weeks."""
+    j = _orders_with_store(spark, sf_dir, ["o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
+    d = F.to_date("o_orderdate")
+    start = F.date_sub(table(spark, sf_dir, "orders").select(F.max(F.to_date("o_orderdate"))).scalar(), 42)
+    return j.where(d > start).select(
+        F.col("o_orderkey").cast("bigint").alias("Id"), F.col("store").alias("Store"),
+        (F.weekday(d) + 1).cast("bigint").alias("DayOfWeek"), F.date_add(d, 42).alias("Date"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit(None)).when(F.col("o_orderstatus") == "P", 0.0).otherwise(1.0)
+        .cast("double").alias("Open"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 1).otherwise(0).cast("bigint").alias("Promo"),
+        F.when(F.col("o_orderkey") % 40 == 0, "a").otherwise("0").alias("StateHoliday"),
+        F.when(F.col("o_orderkey") % 6 == 0, 1).otherwise(0).cast("bigint").alias("SchoolHoliday"))
+
+
 def weekly_inputs(spark: SparkSession, sf_dir: str, grain: str = "week"):
     """(train, stores, features) raw weekly tables."""
     return (raw_weekly_train(spark, sf_dir, grain), raw_weekly_stores(spark, sf_dir),

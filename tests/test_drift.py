@@ -54,7 +54,7 @@ def test_exact_quantiles_many_buckets(spark):
     vals = [float(v) for v in np.random.default_rng(1).integers(0, 500, 5000)]
     df = spark.createDataFrame([("f", v) for v in vals], "feature string, value double")
     got = {r.q_index: r.quantile for r in drift.exact_quantiles(df, [(i, 10) for i in range(11)],
-                                                               buckets=16).collect()}
+                                                               bucket_values=40).collect()}
     ref = np.percentile(vals, np.linspace(0, 100, 11))
     assert all(abs(got[i] - ref[i]) < 1e-9 for i in range(11))
 
