@@ -99,10 +99,10 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rati
     """Weights over presence features times ``ratio`` (Nesterov steps on the
     whole sample)."""
     n = np.array([len(r) for r in rows])
-    owner = np.repeat(np.arange(len(rows)), n)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), n)
     col = np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)
-    scale = 1 / np.maximum(1, n) ** power
-    val = (ratio[col] * scale[owner])
+    scale = (1 / np.maximum(1, n) ** power).astype(np.float32)
+    val = ratio.astype(np.float32)[col] * scale[owner]
     w, b, wt = np.zeros(len(ratio)), 0.0, weight / weight.sum()
     pos = float((wt * y).sum())
     b = math.log(max(pos, 1e-6) / max(1 - pos, 1e-6))
@@ -121,7 +121,7 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rati
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn=None, label: str = "toxic", most: int = 4000,
-        sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, features: int = 30000, smoothing: float = 1.0,
+        sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, features: int = 10000, smoothing: float = 1.0,
         power: float = 0.25, penalty: float = 1e-4) -> ToxicityModel:
     """The model from at most ``most`` labelled documents of each class; both
     classes weigh alike, so 0.5 is where either is as likely per class."""
@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, label: str = "toxic", mo
     x = [np.frombuffer(b, np.int32) for b in rows["x"]]
     y = rows["y"].to_numpy(dtype=float)
     even = np.where(y == 1, 1 / max(1, n1), 1 / max(1, n0))
-    w, b = fit_logistic(x, y, even, ratio, power, penalty) if len(rows) else (np.zeros(0), 0.0)
+    w, b = fit_logistic(x, y, even, ratio, power, penalty) if len(rows) else (np.zeros(len(ratio)), -2.0)
     return ToxicityModel(feature, ratio * w, ratio, b, sizes, bits, power)
 
 
