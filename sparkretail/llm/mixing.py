@@ -72,26 +72,26 @@ def plan_copies(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
     groups = stored(groups.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
                     .join(goal.drop("source"), "key_"), "sizes")
 
-    def crossed(first: Column, n: Column, start: Column) -> Column:
+    def crossed(first: Column, n: Column, start: Column, rate: Column) -> Column:
         """Integer boundaries crossed by n documents after the first ones."""
-        low = start + first * F.col("rate")
-        return F.shiftright(low + n * F.col("rate"), 30) - F.shiftright(low, 30)
+        low = start + first * rate
+        return F.shiftright(low + n * rate, 30) - F.shiftright(low, 30)
 
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("t").cast("string"), F.lit("|"), F.col("key_"))), 1, 7),
                     16, 10).cast("long") * 4  # in [0, 2^30)
     taken = (groups.withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tries - 1)))).withColumn("start", offset)
              .groupBy("key_", "target", "t", "start")
-             .agg(F.sum(crossed(F.col("before"), F.col("n"), F.col("start")) * F.col("size")).alias("words")))
+             .agg(F.sum(crossed(F.col("before"), F.col("n"), F.col("start"), F.col("rate")) * F.col("size")).alias("words")))
     best = taken.groupBy("key_").agg(F.min_by("start", F.struct(F.abs(F.col("words") - F.col("target")), "t")).alias("start"))
     within = W.partitionBy("key_", "size").orderBy("salt_").rowsBetween(W.unboundedPreceding, -1)
     place = (small.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0).cast("long")))
              .join(groups.select("key_", "size", "before", "source_size", "target", "rate"), ["key_", "size"])
              .join(best, "key_")
-             .select("key_", "size", "salt_", (F.col("before") + F.col("inside")).alias("first"),
-                     "source_size", "target", "rate", "start"))
+             .select("key_", "size", "salt_", (F.col("before") + F.col("inside")).alias("first_"),
+                     "source_size", "target", F.col("rate").alias("rate_"), F.col("start").alias("start_")))
     # the join below has the window's keys: the rows are shuffled once
     number = F.row_number().over(W.partitionBy("key_", "size", "salt_").orderBy("doc_id")) - 1
-    copies = crossed(F.col("first") + F.col("number_"), F.lit(1), F.col("start"))
+    copies = crossed(F.col("first_") + F.col("number_"), F.lit(1), F.col("start_"), F.col("rate_"))
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return (rows.select(*own, "size", "key_", "salt_").withColumn("number_", number)
             .join(place, ["key_", "size", "salt_"])

@@ -120,7 +120,7 @@ def _luhn(digits: Column) -> Column:
     n = F.length(digits)
 
     def add(acc: Column, x: Column) -> Column:
-        d = x["d"].cast("int") * F.when(F.pmod(n - x["i"], F.lit(2)) == 0, 2).otherwise(1)
+        d = x["d"].cast("int") * F.when(F.pmod(n - x["i"], F.lit(2)) == 1, 2).otherwise(1)
         return acc + F.when(d > 9, d - 9).otherwise(d)
 
     pairs = F.transform(F.split(digits, ""), lambda c, i: F.struct(c.alias("d"), (i + 1).alias("i")))

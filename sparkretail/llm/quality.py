@@ -131,7 +131,8 @@ def fit_network(x: np.ndarray, y: np.ndarray, weight: np.ndarray, hidden: int =
     net = Network(x.mean(axis=0) if len(x) else np.zeros(x.shape[1]), (x.std(axis=0) if len(x) else np.zeros(x.shape[1])) + 1e-4,
                   rng.normal(0, 1 / np.sqrt(max(1, x.shape[1])), (x.shape[1], hidden)), np.zeros(hidden),
                   rng.normal(0, 1 / np.sqrt(hidden), hidden), 0.0)
-    if len(y) == 0:
+    if len(y) == 0:  # nothing to learn from: one half for every text
+        net.w2 = np.zeros(hidden)
         return net
     train = np.flatnonzero(~back) if (~back).any() else np.arange(len(y))
     z = (x - net.mean) / net.spread
