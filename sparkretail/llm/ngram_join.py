@@ -128,12 +128,12 @@ def join_forest(n: np.ndarray, comp: np.ndarray, bits: list[bytes], p: int) -> l
     """Edges that connect whatever the sizes and bitmaps of one list allow to
     link, beyond the components known already. Members of the largest
     component are compared only with the others."""
+    names, counts = np.unique(comp, return_counts=True)
+    if len(names) < 2:
+        return []
     size = min(map(len, bits))
     m = np.stack([fold(b, size) for b in bits])
-    label = comp.copy()
-    names, counts = np.unique(label, return_counts=True)
-    main = names[np.argmax(counts)]
-    out = []
+    label, main, out = comp.copy(), names[np.argmax(counts)], []
     for x in np.flatnonzero(comp != main):
         y = np.flatnonzero(label != label[x])
         if len(y) == 0:
@@ -150,14 +150,32 @@ def join_forest(n: np.ndarray, comp: np.ndarray, bits: list[bytes], p: int) -> l
 
 
 def _rest_of_lists(rows: DataFrame, p: int) -> DataFrame:
-    import pandas as pd
+    """Further candidate pairs of lists that are not one component. Lists are
+    many and small: they pass as sorted runs through one task each."""
+    def run(batches):
+        rest = None
+        for t in batches:
+            t = pa.Table.from_batches([t] if rest is None else [rest, t])
+            key, part = t.column("list").to_numpy(), t.column("part").to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
+            # the last run may go on in the next batch
+            yield _forests(t.slice(0, cut[-1]), cut, p)
+            rest = t.slice(cut[-1]).combine_chunks().to_batches()[0]
+        if rest is not None:
+            yield _forests(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]), p)
+
+    return (rows.select("list", "part", "doc", "n", "comp", "bits").repartition("list", "part")
+            .sortWithinPartitions("list", "part").mapInArrow(run, "a long, b long"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf["doc"].to_numpy()
-        e = join_forest(pdf["n"].to_numpy(), pdf["comp"].to_numpy(), list(pdf["bits"]), p)
-        return pd.DataFrame({"a": [ids[x] for x, _ in e], "b": [ids[y] for _, y in e]}, dtype="int64")
 
-    return rows.groupBy("list", "part").applyInPandas(run, "a long, b long")
+def _forests(t: pa.Table, cut: np.ndarray, p: int) -> pa.RecordBatch:
+    ids, n, comp = (t.column(c).to_numpy() for c in ("doc", "n", "comp"))
+    bits, a, b = t.column("bits").to_pylist(), [], []
+    for lo, hi in zip(cut, cut[1:]):
+        for x, y in join_forest(n[lo:hi], comp[lo:hi], bits[lo:hi], p):
+            a.append(ids[lo + x])
+            b.append(ids[lo + y])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 class DivideSkip:
@@ -312,7 +330,7 @@ def candidate_blocks(sets: DataFrame, p: int, list_rows: int = 4096) -> DataFram
             .withColumn("m", parts).withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("m")).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
             .withColumn("part", F.least("mine", "o") * F.col("m") + F.greatest("mine", "o")))
-    second = _rest_of_lists(rest.select("list", "part", "doc", "n", "comp", "bits"), p)
+    second = _rest_of_lists(rest, p)
     return components(first.union(second), "a", "b").select(
         F.col("node").alias("doc_id"), F.col("component").alias("block"))
 
@@ -361,7 +379,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, threshold_pct: int = 80,
     edges = stored(links.union(led).union(found), "links")
     root = components(edges, "a", "b").select(F.col("node").alias("rep"), "component")
     # equal sets hang on their representative: one join, no further rounds, unless a doc_id has several sets
-    several = member.groupBy("doc_id").agg(F.countDistinct("rep").alias("reps")).where("reps > 1").limit(1).count()
+    several = member.where("doc_id is not null").groupBy("doc_id").agg(F.countDistinct("rep").alias("reps")).where("reps > 1").limit(1).count()
     if several:
         root = components(edges.union(repeats), "a", "b").select(F.col("node").alias("doc_id"), "component")
         return member.join(root, "doc_id", "left").select(
