@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,34 +58,39 @@ def to_text(sig: np.ndarray) -> list[str]:
     return [row.astype("<u4").tobytes().hex() for row in sig]
 
 
-def successor_blocks(docs: DataFrame, rows_per_block: int = 4000) -> tuple[DataFrame, int]:
+def successor_blocks(docs: DataFrame, rows_per_block: int = 1000) -> tuple[DataFrame, int]:
     """``docs`` dealt into ranges of doc_id, plus the first row of the next
     range with each one (after the last range, the first row of all): columns
     ``block, extra, doc_id, text``; each text is shuffled once."""
     ids = docs.select("doc_id").where("doc_id is not null")
     n = ids.count()
     blocks = max(1, -(-n // rows_per_block))
-    cuts: list[int] = []
+    cuts = np.zeros(0, np.int64)
     if blocks > 1:
         share = [i / blocks for i in range(1, blocks)]
-        cuts = sorted(set(ids.agg(F.percentile_approx("doc_id", share, 100 * blocks)).first()[0]))
-    low = F.lit(0)
-    if cuts:
-        c = F.array(*[F.lit(x) for x in cuts])
-        low = F.size(F.filter(c, lambda x: x < F.col("doc_id")))
-    dealt = docs.where("doc_id is not null").withColumn("block", low.cast("int"))
-    firsts = [(r.block, r.low) for r in dealt.groupBy("block").agg(F.min("doc_id").alias("low")).collect()]
-    firsts.sort()
-    before = {low_: firsts[i - 1][0] for i, (_, low_) in enumerate(firsts)}
-    if not before:
-        return dealt.select("block", F.lit(False).alias("extra"), "doc_id", "text"), 1
-    to = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
-    copies = F.array_compact(F.array(
-        F.struct(F.lit(False).alias("extra"), F.col("block").alias("to")),
-        F.when(to[F.col("doc_id")].isNotNull(),
-               F.struct(F.lit(True).alias("extra"), to[F.col("doc_id")].cast("int").alias("to")))))
-    return (dealt.withColumn("c", F.explode(copies))
-            .select(F.col("c.to").alias("block"), F.col("c.extra").alias("extra"), "doc_id", "text"), blocks)
+        cuts = np.unique(np.array(ids.agg(F.percentile_approx("doc_id", share, 100 * blocks)).first()[0], np.int64))
+
+    def block(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(cuts, x.to_numpy(), "left").astype(np.int32))
+
+    block_of = F.pandas_udf(block, "int")
+    firsts = sorted((r.block, r.low) for r in ids.withColumn("block", block_of("doc_id")).groupBy("block")
+                    .agg(F.min("doc_id").alias("low")).collect())
+    number = np.array([b for b, _ in firsts], np.int32)
+    low = np.array([x for _, x in firsts], np.int64)
+
+    def before(x: pd.Series) -> pd.Series:
+        """The range before the one that a doc_id begins, or -1."""
+        at = np.searchsorted(low, x.to_numpy())
+        begins = (at < len(low)) & (low[np.minimum(at, len(low) - 1)] == x.to_numpy())
+        return pd.Series(np.where(begins, number[at - 1], -1).astype(np.int32))
+
+    before_of = F.pandas_udf(before, "int")
+    places = F.array(F.struct(F.lit(False).alias("extra"), F.col("block").alias("to")),
+                     F.struct(F.lit(True).alias("extra"), F.col("before").alias("to")))
+    dealt = (docs.where("doc_id is not null").withColumn("block", block_of("doc_id")).withColumn("before", before_of("doc_id"))
+             .withColumn("c", F.explode(F.filter(places, lambda c: c["to"] >= 0))))
+    return dealt.select(F.col("c.to").alias("block"), F.col("c.extra").alias("extra"), "doc_id", "text"), len(firsts)
 
 
 def edited(text: str, following: str) -> str:
@@ -140,7 +146,7 @@ def edit_fingerprints(docs: DataFrame, permutations: int = 64, k: int = 5, seed:
                 yield _result(out, hasher)
 
     # the copied first row of the next range sorts last: it is larger, or after the last range
-    return (rows.repartition(blocks, "block").sortWithinPartitions("block", "extra", "doc_id", "text")
+    return (rows.repartition(max(1, blocks // 4), "block").sortWithinPartitions("block", "extra", "doc_id", "text")
             .mapInArrow(run, FINGERPRINT_SCHEMA))
 
 
