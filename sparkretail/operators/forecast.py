@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sparkretail.functions.scalar import (clip_at_zero, encode_store_type, round_half_away,
                                           week_sunday)
-from sparkretail.operators.metrics import (FORECAST_HORIZON, MIN_HISTORY, holdout_tail,
+from sparkretail.operators.metrics import (FORECAST_HORIZON, MIN_HISTORY, exact_wmae, holdout_tail,
                                            restrict_to_first, store_week, wmae)
 from sparkretail.session import checkpoint_dir, materialize
 
@@ -148,7 +148,7 @@ def holdout_pairs(frame: DataFrame) -> DataFrame:
 def store_scores(frame: DataFrame) -> DataFrame:
     """(store_id, wmae) over the holdout."""
     return (holdout_pairs(frame).groupBy("store_id")
-            .agg(round_half_away(wmae("actual", "predicted", "is_holiday"), 2).alias("wmae")))
+            .agg(round_half_away(exact_wmae("actual", "predicted", "is_holiday"), 2).alias("wmae")))
 
 
 # ------------------------------------------------------------------ GBT

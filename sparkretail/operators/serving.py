@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkretail.functions.scalar import round_half_away
+from sparkretail.functions.scalar import exact_sum, round_half_away
 
 MAX_WEEKS = 52
 ROWS_PER_WEEK = 100  # the endpoint bounds rows, not weeks
@@ -117,11 +117,10 @@ def top_departments(risk: DataFrame, n: int = 10) -> DataFrame:
 
 
 def forecast_by_date(forecasts: DataFrame) -> DataFrame:
-    """Store totals per forecast date over departments, rounded to units."""
+    """Store totals per forecast date over departments (the table holds
+    cents), rounded to units."""
     return forecasts.groupBy("store_id", "model", "ds").agg(
-        round_half_away(F.sum("yhat"), 0).alias("yhat"),
-        round_half_away(F.sum("yhat_lower"), 0).alias("yhat_lower"),
-        round_half_away(F.sum("yhat_upper"), 0).alias("yhat_upper"))
+        *[round_half_away(exact_sum(c), 0).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
 
 
 def dashboard(table: DataFrame, risk: DataFrame) -> DataFrame:

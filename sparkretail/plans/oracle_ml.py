@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from sparkretail.operators.drift import CATEGORICAL_FEATURES as CATEGORICAL
 from sparkretail.operators.drift import NUMERIC_FEATURES as NUMERIC
-from sparkretail.plans.oracle import r, register, week_sunday
+from sparkretail.plans.oracle import cents, from_cents, r, register, week_sunday
 
 POSITIVE = "select * from mart_demand_features where weekly_sales > 0"
 
@@ -172,8 +172,8 @@ where h.store_id not in (select store_id from full_match)
 """
 
 STORE_SCORES = f"""
-select store_id, {r('sum(w * abs(actual - predicted)) / nullif(sum(w), 0)')} as wmae
-from (select *, case when is_holiday = 1 then 5.0 else 1.0 end as w from holdout_pairs)
+select store_id, {r(from_cents(f"sum(w * abs({cents('actual')} - {cents('predicted')}))") + ' / sum(w)')} as wmae
+from (select *, case when is_holiday = 1 then 5 else 1 end as w from holdout_pairs)
 group by store_id
 """
 

@@ -204,9 +204,9 @@ def q_srt_top10_departments(spark, sf):
 
 
 @query("agg_forecast_by_date", W(
-    f"select store_id, model, ds, {O.r('sum(yhat)', 0)} as yhat, "
-    f"{O.r('sum(yhat_lower)', 0)} as yhat_lower, {O.r('sum(yhat_upper)', 0)} as yhat_upper "
-    "from latest_runs group by store_id, model, ds", "latest_runs"))
+    "select store_id, model, ds, " + ", ".join(
+        f"{O.r(O.from_cents('sum(' + O.cents(c) + ')'), 0)} as {c}" for c in ("yhat", "yhat_lower", "yhat_upper"))
+    + " from latest_runs group by store_id, model, ds", "latest_runs"))
 def q_agg_forecast_by_date(spark, sf):
     return serving.forecast_by_date(serving.latest_runs(forecast_log(spark, sf)))
 
