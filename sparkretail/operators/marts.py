@@ -27,6 +27,14 @@ def lag_rows(col: str, n: int, keys=SERIES_KEYS, order: str = "sale_date") -> Co
     return F.lag(col, n).over(series_window(keys, order))
 
 
+def lag_weeks(col: str, weeks: int, keys=SERIES_KEYS, order: str = "sale_date") -> Column:
+    """Value exactly ``weeks`` weeks earlier, NULL where the series has a gap
+    there (the calendar form of ``lag_rows``); a range window, no join."""
+    day = F.datediff(F.col(order), F.lit("1970-01-01").cast("date"))
+    w = Window.partitionBy(*keys).orderBy(day).rangeBetween(-7 * weeks, -7 * weeks)
+    return F.max(col).over(w)
+
+
 def rolling_mean(col: str, rows: int, keys=SERIES_KEYS, order: str = "sale_date",
                  leak_free: bool = False) -> Column:
     """Mean over the current row and ``rows - 1`` preceding rows (partial

@@ -219,3 +219,12 @@ def q_fn_round(spark, sf):
         "store_id", "dept_id",
         S.round_half_away(F.col("weekly_sales") / F.lit(3.0)).alias("r2"),
         S.round_half_away(F.col("weekly_sales") / F.lit(7.0), 4).alias("r4"))
+
+
+@query("win_lag_52_calendar", W(
+    "select a.store_id, a.dept_id, a.sale_date, b.weekly_sales as sales_lag_52wk from stg_weekly_sales a "
+    "left join stg_weekly_sales b on a.store_id = b.store_id and a.dept_id = b.dept_id "
+    "and b.sale_date = a.sale_date - 364", "stg_weekly_sales"))
+def q_win_lag_52_calendar(spark, sf):
+    return builds.weekly_table(spark, sf).select("store_id", "dept_id", "sale_date",
+                                                 marts.lag_weeks("weekly_sales", 52).alias("sales_lag_52wk"))

@@ -17,7 +17,7 @@ from sparkretail.operators import drift, forecast, marts
 from sparkretail.plans import builds
 from sparkretail.plans import oracle as O
 from sparkretail.plans.catalog import query
-from sparkretail.plans.q_serving import RUNS, forecast_log, model_outputs, seasonal_output
+from sparkretail.plans.q_serving import RUNS, model_outputs, seasonal_output
 from sparkretail.session import scratch_path
 from sparkretail.sources import files, proxy
 from sparkretail.streaming.staging import run_available, stream_weekly_staging

@@ -78,3 +78,12 @@ def test_promotion_lift(spark):
     assert out[1].promo_lift_pct == 100.0 and out[1].promo_days == 1 and out[1].non_promo_days == 1
     assert out[2].promo_lift_pct is None and out[2].competition_distance is None
     assert out[3].promo_lift_pct is None and out[3].total_sales == 10.0
+
+
+def test_calendar_lag_leaves_gaps(spark):
+    d0 = dt.date(2012, 1, 2)
+    rows = [(1, 1, d0 + dt.timedelta(days=7 * i), float(i)) for i in (0, 1, 3, 4)]
+    df = spark.createDataFrame(rows, "store_id long, dept_id long, sale_date date, weekly_sales double")
+    got = df.select("weekly_sales", marts.lag_weeks("weekly_sales", 1).alias("x"),
+                    marts.lag_rows("weekly_sales", 1).alias("y")).orderBy("weekly_sales").collect()
+    assert [(r.x, r.y) for r in got] == [(None, None), (0.0, 0.0), (None, 1.0), (3.0, 3.0)]
