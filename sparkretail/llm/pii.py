@@ -42,8 +42,8 @@ PATTERNS = {
     "person": rf"(?<![{L}])(?:{_TITLE}) \p{{Lu}}[\p{{Ll}}'\-]++(?: \p{{Lu}}[\p{{Ll}}'\-]++)?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: cheap test that a text can hold an entity at all
-MAYBE = rf"\d|@|(?:password|passwd|pwd|secret|token|key)\s*[=:]|(?<![{L}])(?:{_TITLE}) "
+#: every kind but names has one of these characters
+SIGN = "[0-9@=:]"
 
 #: given names of surrogates by script and gender
 GIVEN = {
@@ -66,7 +66,10 @@ SYLLABLES = {
 def find_all(text: Column) -> Column:
     """Every match in order; an empty array where there is none."""
     none = F.array().cast("array<string>")
-    return F.when(text.rlike(MAYBE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+    maybe = text.rlike(SIGN)  # a cheap test first: most texts hold no entity
+    for title in (*MALE, *FEMALE, *NEUTRAL):
+        maybe = maybe | text.contains(f"{title} ")
+    return F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
 def kind_of(m: Column) -> Column:

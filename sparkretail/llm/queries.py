@@ -77,7 +77,7 @@ with recursive w as (
 s as (
   select doc_id, unnest(list_distinct(case when len(ws) = 0 then []
          when len(ws) < 3 then [array_to_string(ws, ' ')]
-         else list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) end)) as g
+         else list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) end)) as g
   from w),
 n as (select doc_id, count(*) as k from s group by doc_id),
 p as (select a.doc_id as x, b.doc_id as y, count(*) as i from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
