@@ -167,12 +167,12 @@ def bins(size: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return first, parts
 
 
-def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int, k: int,
-         rough: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest inner products of one query, ties to the smaller id. The
-    rough products choose; those kept are summed again in one order, so equal
-    vectors tie."""
-    keep = np.flatnonzero(ids != own)
+def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: int, k: int, rough: np.ndarray,
+         at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest inner products of one query with the rows ``at``, ties to
+    the smaller id. The rough products choose; those kept are summed again in
+    one order, so equal vectors tie."""
+    keep = at[ids[at] != own]
     if len(keep) > k:
         r = rough[keep]
         cut = np.partition(r, len(r) - k)[len(r) - k]
@@ -201,7 +201,7 @@ def fit(rows: DataFrame, k: int = 20, sample: int = 20000, recall: float = 0.94,
     return t
 
 
-def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows: int = 2000) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows: int = 16384) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of every query
     row among all ``rows`` (vec_id, vector) but itself."""
     spark = rows.sparkSession
@@ -226,7 +226,7 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
         for b in batches:
             ids, x = b.column("vec_id").to_numpy(), _matrix(b.column("vector"))
             for a in range(0, len(ids), 500):
-                at, where, leaves = [], [], []
+                at, where, seen = [], [], []
                 for i in range(a, min(a + 500, len(ids))):
                     held, to = 0, {}
                     for v, leaf in enumerate(t.order(x[i])):
@@ -239,11 +239,11 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
                     for bin_, some in to.items():
                         at.append(i)
                         where.append(bin_)
-                        leaves.append(some)
+                        seen.append(some)
                 at = np.array(at, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[at]), b.column("vector").take(pa.array(at)), pa.array(where, pa.int32()),
-                     pa.array(leaves, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "leaves"])
+                     pa.array(seen, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "leaves"])
 
     queries = (vectors.where(is_query).repartition("vec_id")
                .mapInArrow(visit, "query_id long, query array<float>, bin int, leaves array<int>"))
@@ -256,17 +256,20 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
 
     data = placed.withColumn("bin", F.pandas_udf(bin_of, "int")("leaf", "vec_id"))
 
+    leaves = tree.leaves
+
     def compare(q: pa.Table, d: pa.Table) -> pa.Table:
         qi, di = q.column("query_id").to_numpy(), d.column("vec_id").to_numpy()
         found: list[list] = [[], [], []]
         if len(qi) and len(di):
             qx, x, leaf = _matrix(q.column("query")), _matrix(d.column("vector")), d.column("leaf").to_numpy()
             visited = q.column("leaves").to_pylist()
-            for a in range(0, len(qi), 256):
-                rough = qx[a:a + 256] @ x.T
-                for i in range(a, min(a + 256, len(qi))):
-                    at = np.flatnonzero(np.isin(leaf, visited[i]))
-                    near, s = best(qx[i], x[at], di[at], qi[i], k, rough[i - a][at])
+            for a in range(0, len(qi), 64):
+                rough = qx[a:a + 64] @ x.T
+                for i in range(a, min(a + 64, len(qi))):
+                    open_ = np.zeros(leaves, bool)
+                    open_[visited[i]] = True
+                    near, s = best(qx[i], x, di, qi[i], k, rough[i - a], np.flatnonzero(open_[leaf]))
                     for c, v in zip(found, (np.full(len(near), qi[i]), near, s)):
                         c.append(v)
         ids = [np.concatenate([np.zeros(0, np.int64), *c]) for c in found[:2]]
