@@ -54,11 +54,10 @@ class TokenBytes:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        model = json.loads(Path(path).read_text("utf-8"))["model"]
+        self.path, self.whole = path, None
+        spec = json.loads(Path(path).read_text("utf-8"))
+        self.special, model = [t["content"] for t in spec.get("added_tokens", [])], spec["model"]
         # the printable stand-ins of byte-level vocabularies, in byte order
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
@@ -73,7 +72,11 @@ class TokenBytes:
 
     def __call__(self, text: str) -> bytes:
         if self.fast is None or self.OTHER.search(text) or any(x in text for x in self.special):
-            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+            if self.whole is None:  # loaded by the first text that needs it
+                from tokenizers import Tokenizer
+
+                self.whole = Tokenizer.from_file(self.path)
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         return array("I", self.fast.encode_ordinary(text)).tobytes()
 
 

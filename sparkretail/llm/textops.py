@@ -1,6 +1,6 @@
 """Vectorised text helpers shared by the operators: byte views of Arrow string
-columns, word spans, 64-bit word and shingle hashes. All work on slices of a
-few MB, so memory does not grow with the batch (a single longer text makes a
+columns, word spans, 64-bit word and shingle hashes. All work on slices of
+512 KB, so memory does not grow with the batch (a single longer text makes a
 slice of its own)."""
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _C1, _C2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)

@@ -98,22 +98,34 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rati
                  penalty: float, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Weights over presence features times ``ratio`` (Nesterov steps on the
     whole sample)."""
-    n = np.array([len(r) for r in rows])
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), n)
-    col = np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)
-    scale = (1 / np.maximum(1, n) ** power).astype(np.float32)
-    val = ratio.astype(np.float32)[col] * scale[owner]
-    w, b, wt = np.zeros(len(ratio)), 0.0, weight / weight.sum()
+    wt = weight / weight.sum()
+    blocks, a = [], 0  # some documents each, so that the steps' arrays stay small
+    while a < len(rows):
+        e, size = a, 0
+        while e < len(rows) and (e == a or size + len(rows[e]) <= 400_000):
+            size += len(rows[e])
+            e += 1
+        n = np.array([len(r) for r in rows[a:e]])
+        col = np.concatenate(rows[a:e])
+        owner = np.repeat(np.arange(e - a, dtype=np.int32), n)
+        val = (ratio[col] * (1 / np.maximum(1, n) ** power)[owner]).astype(np.float32)
+        blocks.append((slice(a, e), col, owner, val))
+        a = e
+    w = np.zeros(len(ratio))
     pos = float((wt * y).sum())
     b = math.log(max(pos, 1e-6) / max(1 - pos, 1e-6))
-    # step from a bound of the curvature: largest weighted row norm
-    lip = 0.25 * float(np.max(np.bincount(owner, val**2, minlength=len(rows)), initial=1.0)) + 0.25 + penalty
+    # step from a bound of the curvature: largest row norm
+    norm = [float(np.bincount(o, v.astype(float)**2, minlength=1).max(initial=1.0)) for _, _, o, v in blocks]
+    lip = 0.25 * max(norm, default=1.0) + 0.25 + penalty
     pw, pb, t = w.copy(), b, 1.0
     for _ in range(rounds):
-        z = np.bincount(owner, val * w[col], minlength=len(rows)) + b
-        g = wt * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y)
-        gw = np.bincount(col, val * g[owner], minlength=len(ratio)) + penalty * w
-        nw, nb = w - gw / lip, b - g.sum() / lip
+        gw, gb = penalty * w, 0.0
+        for at, col, owner, val in blocks:
+            z = np.bincount(owner, val * w[col], minlength=at.stop - at.start) + b
+            g = wt[at] * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[at])
+            gw = gw + np.bincount(col, val * g[owner], minlength=len(ratio))
+            gb += g.sum()
+        nw, nb = w - gw / lip, b - gb / lip
         s = (1 + math.sqrt(1 + 4 * t * t)) / 2
         w, b = nw + (t - 1) / s * (nw - pw), nb + (t - 1) / s * (nb - pb)
         pw, pb, t = nw, nb, s
