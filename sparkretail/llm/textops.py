@@ -126,11 +126,13 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int):
 
 def hash_texts(arr: pa.Array, k: int):
     """For each slice of a text column: ``(start, stop, shingle hashes, first
-    shingle, byte length of each shingle)``."""
+    shingle, byte length of each shingle with its words joined by one
+    space)``; like the hashes, the length does not depend on the separators."""
     for a, b, data, off in slices(arr):
         s, e, first = word_spans(data, off)
         w = span_hashes(data, s, e)
         h, hf, at = shingle_hashes(w, first, k)
         doc_last = np.repeat(first[1:] - 1, np.diff(hf))
-        length = e[np.minimum(at + k - 1, doc_last)] - s[at] if len(at) else at
+        upto = np.concatenate([[0], np.cumsum(e - s + 1)])
+        length = upto[np.minimum(at + k - 1, doc_last) + 1] - upto[at] - 1 if len(at) else at
         yield a, b, h, hf, length

@@ -63,6 +63,19 @@ def test_components_equal_brute_force(spark, docs, k, p, limit):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, k, p)
 
 
+@pytest.mark.parametrize("k,p", [(3, 90), (5, 80)])
+def test_width_of_separators_does_not_count(spark, docs, k, p):
+    """Doubled spaces, CRLF, tabs, indentation: the same words are one set."""
+    rnd = random.Random(k)
+    rows = [(1, "a b c"), (2, "a  b c"), (3, "x y z x  y z x y z x y z")]
+    for i, (_, t) in enumerate(near_copies(k, n_base=6)):
+        wide = "".join(w + rnd.choice([" ", "  ", "\t", "\n", "\r\n", "\n\n    "]) for w in t.split(" "))
+        rows += [(10 + 3 * i, t), (11 + 3 * i, t.replace(" ", "  ")), (12 + 3 * i, wide)]
+    got = ngram_jaccard_join(docs(rows), k=k, threshold_pct=p).collect()
+    want = brute([(i, t.replace("\r", " ")) for i, t in rows], k, p)
+    assert want[2] == (1, 1) and {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_edges_of_the_input(spark, docs):
     got = ngram_jaccard_join(docs(EDGE), k=3, threshold_pct=90).collect()
     by = {r.doc_id: (r.n_shingles, r.component_id) for r in got}
