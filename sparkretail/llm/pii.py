@@ -11,7 +11,9 @@ the title's gender and the script.
 
 Collision checks run over the distinct entities of all documents: two entities
 of one kind with the same surrogate, or a surrogate that is itself an entity of
-the documents, are drawn again (``attempt`` + 1) until none is left. Entities
+the documents, are drawn again (``attempt`` + 1) until none is left. Attempts
+widen the surrogates (longer local parts and names at once, more digits or
+octets where a format is nearly full), so there is always a free one. Entities
 drawn again are joined back to their documents.
 
 Null texts stay null; texts without an entity stay as they are.
@@ -79,6 +81,8 @@ def kind_of(m: Column) -> Column:
     return out
 
 
+#: attempts that keep the length of a number, key or address
+WIDEN_AFTER = 12
 _SECRET_HEAD = r"^([^=:]*[=:]\s*[\"']?)"
 
 
@@ -99,10 +103,11 @@ def _byte(h: Column, i: Column) -> Column:
     return F.conv(F.substr(h, (F.pmod(i, F.lit(128)) * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
 
 
-def _scrambled(h: Column, value: Column, first: int = 0) -> Column:
+def _scrambled(h: Column, value: Column, first: int = 0, hexa: Column | None = None) -> Column:
     """``value`` (lower case) with each digit and letter replaced by one of
-    its class and script; other characters and the first ones stay."""
-    hexa = value.rlike("^[0-9a-f]+$")
+    its class and script; other characters and the first ones stay. Values
+    of hexadecimal digits alone stay such unless ``hexa`` says otherwise."""
+    hexa = value.rlike("^[0-9a-f]+$") if hexa is None else hexa
 
     def one(c: Column, i: Column) -> Column:
         b, p = _byte(h, i), F.ascii(c)
@@ -130,8 +135,8 @@ def _luhn(digits: Column) -> Column:
     return F.pmod(F.aggregate(pairs, F.lit(0), add), F.lit(10))
 
 
-def _card(h: Column, value: Column) -> Column:
-    new = _scrambled(h, value)
+def _card(h: Column, value: Column, extra: Column) -> Column:
+    new = _scrambled(h, F.concat(value, extra))
     body = F.substr(new, F.lit(1), F.length(new) - 1)
     check = F.pmod(F.lit(10) - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     return F.when(_luhn(value) == 0, F.concat(body, check)).otherwise(new)
@@ -141,9 +146,9 @@ def _pick(items: tuple[str, ...], b: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in items]), F.pmod(b, F.lit(len(items))) + 1)
 
 
-def _person(h: Column, value: Column) -> Column:
+def _person(h: Column, value: Column, attempt: Column) -> Column:
     """Title of the mention, a given name of its gender and script if it had
-    two names, and a made-up family name."""
+    two names, and a made-up family name, one syllable longer each attempt."""
     titles = [*MALE, *FEMALE, *NEUTRAL]
     title = F.regexp_extract(value, rf"(?i)^({_TITLE}) ", 1)
     cyr = F.substr(value, F.length(title) + 2).rlike(r"^\p{IsCyrillic}")
@@ -156,7 +161,8 @@ def _person(h: Column, value: Column) -> Column:
 
     def name(script: str) -> Column:
         given = F.when(is_f, _pick(GIVEN[script, "f"], _byte(h, F.lit(1)))).otherwise(_pick(GIVEN[script, "m"], _byte(h, F.lit(1))))
-        family = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(h, F.lit(i))) for i in (2, 3, 4, 5)]))
+        family = F.initcap(F.array_join(F.transform(
+            F.sequence(F.lit(2), attempt + 5), lambda i: _pick(SYLLABLES[script], _byte(h, i))), ""))
         two = F.size(F.split(value, " ")) > 2
         return F.concat_ws(" ", F.when(two, given), family)
 
@@ -166,15 +172,22 @@ def _person(h: Column, value: Column) -> Column:
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """The canonical surrogate of a canonical entity."""
     h = _hash(key, kind, value, attempt)
-    domain = F.regexp_extract(value, r"@(.*)\.[^.]*$", 1)
-    email = F.concat(_scrambled(h, F.regexp_extract(value, "^([^@]*)", 1)), F.lit("@"),
-                     _scrambled(_hash(key, F.lit("domain"), domain, F.lit(0)), domain), F.lit(".example"))
+    local, domain = F.regexp_extract(value, "^([^@]*)", 1), F.regexp_extract(value, "@(.*)$", 1)
+    name, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.regexp_extract(domain, r"([^.]*)$", 1)
+    no = F.lit(False)
+    email = F.concat(_scrambled(h, F.concat(local, F.repeat(F.lit("x"), attempt)), hexa=no), F.lit("@"),
+                     _scrambled(_hash(key, F.lit("domain"), domain, F.lit(0)), name, hexa=no), F.lit("."), top, F.lit(".example"))
+    # formats of a fixed length are kept for some attempts, then they grow
+    grown = F.floor(attempt / F.lit(WIDEN_AFTER)).cast("int")
+    extra = F.repeat(F.lit("0"), grown)
     octet = [F.pmod(_byte(h, F.lit(i)), F.lit(256)).cast("string") for i in range(1, 4)]
     first = F.when(attempt < 8, F.lit("10")).otherwise((F.pmod(_byte(h, F.lit(0)), F.lit(200)) + 11).cast("string"))
-    return (F.when(kind == "email", email).when(kind == "ipv4", F.concat_ws(".", first, *octet))
-            .when(kind == "card", _card(h, value)).when(kind == "person", _person(h, value))
-            .when(kind == "access_key", _scrambled(h, value, 4))
-            .when(kind == "iban", _scrambled_upper(h, value)).otherwise(_scrambled(h, value)))
+    more = F.transform(F.slice(F.sequence(F.lit(3), grown + 4), 2, grown), lambda i: _byte(h, i).cast("string"))
+    ipv4 = F.concat_ws(".", first, *octet, more)
+    return (F.when(kind == "email", email).when(kind == "ipv4", ipv4)
+            .when(kind == "card", _card(h, value, extra)).when(kind == "person", _person(h, value, attempt))
+            .when(kind == "access_key", _scrambled(h, F.concat(value, extra), 4))
+            .when(kind == "iban", _scrambled_upper(h, F.concat(value, extra))).otherwise(_scrambled(h, F.concat(value, extra))))
 
 
 def _scrambled_upper(h: Column, value: Column) -> Column:
@@ -182,7 +195,8 @@ def _scrambled_upper(h: Column, value: Column) -> Column:
 
 
 def poured(kind: Column, m: Column, new: Column) -> Column:
-    """The surrogate in the writing of the mention: its separators, its case."""
+    """The surrogate in the writing of the mention: its separators, its case.
+    What a widened surrogate has beyond the mention's length follows it."""
     head = F.when(kind == "secret", F.regexp_extract(m, _SECRET_HEAD, 1)).otherwise(F.lit(""))
     rest = F.substr(m, F.length(head) + 1)
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
@@ -195,13 +209,15 @@ def poured(kind: Column, m: Column, new: Column) -> Column:
                         (acc["at"] + F.when(alnum, 1).otherwise(0)).alias("at"))
 
     # the canonical form has only letters and digits of these kinds
-    filled = F.aggregate(F.split(rest, ""), start, put, lambda acc: acc["out"])
+    filled = F.aggregate(F.split(rest, ""), start, put,
+                         lambda acc: F.concat(acc["out"], F.substr(new, acc["at"], F.length(new))))
     signs = F.transform(F.split(rest, ""), lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substr(new, i + 1, F.lit(1))))
                         .otherwise(F.substr(new, i + 1, F.lit(1))))
     upper = (m == F.upper(m)) & (m != F.lower(m))
     whole = F.when(upper, F.upper(new)).otherwise(new)
     return F.concat(head, F.when(kind.isin("email", "ipv4", "person"), whole)
-                    .when(kind.isin("secret", "access_key"), F.array_join(signs, "")).otherwise(filled))
+                    .when(kind.isin("secret", "access_key"), F.concat(
+                        F.array_join(signs, ""), F.substr(new, F.length(rest) + 1, F.length(new)))).otherwise(filled))
 
 
 def _mentions(text: Column) -> Column:
@@ -215,10 +231,11 @@ def _mentions(text: Column) -> Column:
 def redrawn(docs: DataFrame, key: str, most_attempts: int = 64) -> DataFrame:
     """``kind, value, attempt`` of the entities whose first surrogate collides."""
     seen = stored(docs.select(F.explode(_mentions(F.col("text"))).alias("e")).select("e.kind", "e.value").distinct(), "entities")
-    table = stored(seen.withColumn("attempt", F.lit(0))
-                   .withColumn("new", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt"))), "surrogates")
+    drawn = canonical(F.col("kind"), surrogate(key, F.col("kind"), F.col("value"), F.col("attempt")))
+    table = stored(seen.withColumn("attempt", F.lit(0)).withColumn("new", drawn), "surrogates")
     while True:
         # of the entities that share a surrogate the smallest keeps it; one that meets an entity of the texts never does
+        # surrogates are compared in canonical form: names and addresses are written in other cases
         first = table.groupBy("kind", "new").agg(F.min("value").alias("keeps"), F.count("*").alias("n"))
         shared = (table.join(first.where("n > 1"), ["kind", "new"]).where("value <> keeps").select("kind", "value"))
         taken = (table.join(seen.select("kind", F.col("value").alias("new")), ["kind", "new"], "left_semi")
@@ -228,8 +245,8 @@ def redrawn(docs: DataFrame, key: str, most_attempts: int = 64) -> DataFrame:
             return table.where("attempt > 0").select("kind", "value", "attempt")
         new = table.join(again, ["kind", "value"], "left_semi").withColumn("attempt", F.col("attempt") + 1)
         if new.agg(F.max("attempt")).first()[0] > most_attempts:
-            raise RuntimeError("no free surrogate left: a kind of entity is denser than its format allows")
-        new = new.withColumn("new", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt")))
+            raise RuntimeError("no free surrogate found, although they grow with the attempts")
+        new = new.withColumn("new", drawn)
         table = stored(table.join(again, ["kind", "value"], "left_anti").union(new.select(*table.columns)), "surrogates")
 
 
