@@ -7,7 +7,8 @@ the key, its kind and its canonical form, so every mention of an entity in any
 document gets the same one: digits become digits, letters letters of the same
 case and script, hexadecimal stays hexadecimal, separators stay, card numbers
 keep a valid check digit, addresses move to reserved ranges, and names follow
-the title's gender and the script.
+the title's gender and the script. Family and given names have surrogates of
+their own, so a family name after a title and the full name agree.
 
 Collision checks run over the distinct entities of all documents: two entities
 of one kind with the same surrogate, or a surrogate that is itself an entity of
@@ -31,17 +32,25 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 MALE = ("Mr.", "Mister", "Herr", "Señor", "Sr.", "Monsieur", "господин", "г-н")
 FEMALE = ("Mrs.", "Ms.", "Miss", "Frau", "Señora", "Sra.", "Madame", "Mme.", "госпожа", "г-жа")
 NEUTRAL = ("Dr.", "Prof.")
-_TITLE = "|".join(t.replace(".", r"\.") for t in (*MALE, *FEMALE, *NEUTRAL))
+_TITLE = "|".join(t.replace(".", r"\.?") for t in (*MALE, *FEMALE, *NEUTRAL))
+# two letters at least; inner capitals, hyphens and apostrophes belong to a name, a possessive s does not
+_NAME = r"\p{Lu}[\p{L}\p{M}]*+(?:(?:['’](?![sS](?![\p{L}\p{M}]))|-)[\p{L}\p{M}]++){0,4}+(?<=[\p{L}\p{M}'’\-][\p{L}\p{M}])"
+_NUMBER = "|".join((  # what follows the country code, then national numbers
+    r"\+\d{1,3}[ .\-]?\d{1,3}(?:[ .\-]\d{2}){3,4}", r"\+\d{1,3}[ .\-]?\(\d{1,4}\)[ .\-]?\d{3,4}(?:[ .\-]\d{2,4}){1,2}",
+    r"\+\d{1,3}[ .\-]?\d{2,5}[ .\-]\d{3,4}(?:[ .\-]\d{2,4}){1,2}", r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,5})[ .\-]?\d{5,8}",
+    r"\+\d{7,15}", r"\(\d{2,4}\)[ .\-]?\d{3,4}(?:[ .\-]\d{2,4}){1,2}", r"\(\d{3}\) ?\d{7}",
+    r"\d{3}[ .\-]\d{3,4}(?:[ .\-]\d{2,4}){1,2}"))
 PATTERNS = {
     "email": rf"(?<![{L}\d._%+\-])[{L}\d._%+\-]++@[{L}\d\-]++(?:\.[{L}\d\-]++)+",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_\-]?key))\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_\-]{8,}+",
+    "secret": rf"(?i:(?<![{L}\d])(?:password|passwd|pwd|secret|token|api[_\-]?key)(?:[_\-](?:access[_\-])?key)?)[\"']?\s{{0,3}}[=:]\s{{0,3}}"
+              r"(?:[\"'][^\"'\s]{8,128}+|[\"']?[A-Za-z0-9_\-]{8,}+)",
     "access_key": r"(?<![A-Za-z0-9])(?i:AKIA|ASIA)[A-Za-z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": rf"(?<![{L}\d])\d{{4}}[ \-]?\d{{4}}[ \-]?\d{{4}}[ \-]?\d{{1,7}}(?![{L}\d])",
-    "phone": rf"(?<![{L}\d+])(?:\+\d{{1,3}}(?:[ .\-]?\(\d{{2,4}}\)|[ .\-]?\d{{2,5}})|\(\d{{2,4}}\)|\d{{3}})[ .\-]\d{{3,4}}(?:[ .\-]\d{{2,4}}){{1,2}}(?![{L}\d])",
-    "person": rf"(?<![{L}])(?:{_TITLE}) \p{{Lu}}[\p{{Ll}}'\-]++(?: \p{{Lu}}[\p{{Ll}}'\-]++)?",
+    "phone": rf"(?<![{L}\d+])(?:{_NUMBER})(?![{L}\d])",
+    "person": rf"(?<![{L}])(?:{_TITLE}) (?:\p{{Lu}}\. ?){{0,3}}{_NAME}(?:(?: \p{{Lu}}\.){{0,2}} {_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: every kind but names has one of these characters
@@ -70,7 +79,8 @@ def find_all(text: Column) -> Column:
     none = F.array().cast("array<string>")
     maybe = text.rlike(SIGN)  # a cheap test first: most texts hold no entity
     for title in (*MALE, *FEMALE, *NEUTRAL):
-        maybe = maybe | text.contains(f"{title} ")
+        for form in {title, title.removesuffix(".")}:
+            maybe = maybe | text.contains(f"{form} ")
     return F.when(maybe, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
@@ -91,9 +101,41 @@ def canonical(kind: Column, m: Column) -> Column:
     return (F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(m, r"\D", ""))
             .when(kind == "iban", F.regexp_replace(m, " ", ""))
             .when(kind == "secret", F.lower(F.regexp_replace(m, _SECRET_HEAD, "")))
+            .when(kind == "person", _names(m))
             .otherwise(F.lower(m)))
 
 
+_TITLED = rf"^((?:{_TITLE}) )"
+
+
+def _names(m: Column) -> Column:
+    """``gender|given names|family name`` of a titled name, lower case."""
+    title = F.lower(F.regexp_extract(m, rf"^({_TITLE}) ", 1))
+    is_one = lambda titles: F.rtrim(F.replace(title, F.lit("."), F.lit(""))).isin(
+        [t.lower().removesuffix(".") for t in titles])
+    names = F.lower(F.translate(F.regexp_replace(m, _TITLED, ""), "’", "'"))
+    family = F.regexp_extract(names, "([^ .]+)$", 1)
+    given = F.rtrim(F.substr(names, F.lit(1), F.length(names) - F.length(family)))
+    return F.concat_ws("|", F.when(is_one(MALE), "m").when(is_one(FEMALE), "f").otherwise("n"), given, family)
+
+
+def _family_of(value: Column) -> Column:
+    return F.substring_index(value, "|", -1)
+
+
+def _has_given(value: Column) -> Column:
+    return ~value.rlike(r"^[^|]*\|\|")
+
+
+def entities(kind: Column, value: Column) -> Column:
+    """What surrogates are drawn for: family and given names apart, so that a
+    family name alone and the full name agree."""
+    family = F.struct(F.lit("family").alias("kind"), _family_of(value).alias("value"))
+    given = F.struct(F.lit("given").alias("kind"), value.alias("value"))
+    return (F.when((kind == "person") & _has_given(value), F.array(family, given)).when(kind == "person", F.array(family))
+            .otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value")))))
+
+
 def _hash(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value)
     return F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("|more")), 512))
@@ -146,27 +188,41 @@ def _pick(items: tuple[str, ...], b: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in items]), F.pmod(b, F.lit(len(items))) + 1)
 
 
-def _person(h: Column, value: Column, attempt: Column) -> Column:
-    """Title of the mention, a given name of its gender and script if it had
-    two names, and a made-up family name, one syllable longer each attempt."""
-    titles = [*MALE, *FEMALE, *NEUTRAL]
-    title = F.regexp_extract(value, rf"(?i)^({_TITLE}) ", 1)
-    cyr = F.substr(value, F.length(title) + 2).rlike(r"^\p{IsCyrillic}")
-    male = title.isin([t.lower() for t in MALE])
-    female = title.isin([t.lower() for t in FEMALE])
-    is_f = female | (~male & (F.pmod(_byte(h, F.lit(0)), F.lit(2)) == 0))
-    shown = F.lit("")
-    for t in titles:
-        shown = F.when(title == t.lower(), F.lit(t)).otherwise(shown)
+def _cyrillic(value: Column) -> Column:
+    return value.rlike(r"^\p{IsCyrillic}")
+
+
+def _syllables(h: Column, cyrillic: Column, n: Column) -> Column:
+    def join(script: str) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(2), n + 1), lambda i: _pick(SYLLABLES[script], _byte(h, i))), "")
+
+    return F.when(cyrillic, join("cyrillic")).otherwise(join("latin"))
+
+
+def _family(h: Column, value: Column, attempt: Column) -> Column:
+    """A made-up family name of the script, one syllable longer each attempt."""
+    return _syllables(h, _cyrillic(value), attempt + 4)
+
+
+def _given(h: Column, value: Column, attempt: Column) -> Column:
+    """A given name of the title's gender and the script, from the second
+    attempt with a made-up middle name; it only has to be free in its family."""
+    is_f = value.startswith("f") | (value.startswith("n") & (F.pmod(_byte(h, F.lit(0)), F.lit(2)) == 0))
+    cyr = _cyrillic(F.substr(value, F.lit(3)))
+    pick = lambda script: F.when(is_f, _pick(GIVEN[script, "f"], _byte(h, F.lit(1)))).otherwise(
+        _pick(GIVEN[script, "m"], _byte(h, F.lit(1))))
+    name = F.when(cyr, pick("cyrillic")).otherwise(pick("latin"))
+    middle = F.when(attempt > 0, _syllables(h, cyr, attempt + 1))
+    return F.concat(F.concat_ws(" ", F.lower(name), middle), F.lit("|"), _family_of(value))
+
 
-    def name(script: str) -> Column:
-        given = F.when(is_f, _pick(GIVEN[script, "f"], _byte(h, F.lit(1)))).otherwise(_pick(GIVEN[script, "m"], _byte(h, F.lit(1))))
-        family = F.initcap(F.array_join(F.transform(
-            F.sequence(F.lit(2), attempt + 5), lambda i: _pick(SYLLABLES[script], _byte(h, i))), ""))
-        two = F.size(F.split(value, " ")) > 2
-        return F.concat_ws(" ", F.when(two, given), family)
+def person(key: str, value: Column, attempt) -> Column:
+    """Surrogate names of a canonical person; ``attempt(kind, value)``."""
+    def draw(how, kind: str, v: Column) -> Column:
+        return how(_hash(key, F.lit(kind), v, attempt(F.lit(kind), v)), v, attempt(F.lit(kind), v))
 
-    return F.concat_ws(" ", shown, F.when(cyr, name("cyrillic")).otherwise(name("latin")))
+    given = F.when(_has_given(value), F.substring_index(draw(_given, "given", value), "|", 1))
+    return F.initcap(F.concat_ws(" ", given, draw(_family, "family", _family_of(value))))
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
@@ -185,7 +241,7 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     more = F.transform(F.slice(F.sequence(F.lit(3), grown + 4), 2, grown), lambda i: _byte(h, i).cast("string"))
     ipv4 = F.concat_ws(".", first, *octet, more)
     return (F.when(kind == "email", email).when(kind == "ipv4", ipv4)
-            .when(kind == "card", _card(h, value, extra)).when(kind == "person", _person(h, value, attempt))
+            .when(kind == "card", _card(h, value, extra)).when(kind == "family", _family(h, value, attempt)).when(kind == "given", _given(h, value, attempt))
             .when(kind == "access_key", _scrambled(h, F.concat(value, extra), 4))
             .when(kind == "iban", _scrambled_upper(h, F.concat(value, extra))).otherwise(_scrambled(h, F.concat(value, extra))))
 
@@ -197,7 +253,8 @@ def _scrambled_upper(h: Column, value: Column) -> Column:
 def poured(kind: Column, m: Column, new: Column) -> Column:
     """The surrogate in the writing of the mention: its separators, its case.
     What a widened surrogate has beyond the mention's length follows it."""
-    head = F.when(kind == "secret", F.regexp_extract(m, _SECRET_HEAD, 1)).otherwise(F.lit(""))
+    head = (F.when(kind == "secret", F.regexp_extract(m, _SECRET_HEAD, 1))
+            .when(kind == "person", F.regexp_extract(m, _TITLED, 1)).otherwise(F.lit("")))
     rest = F.substr(m, F.length(head) + 1)
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
@@ -213,7 +270,7 @@ def poured(kind: Column, m: Column, new: Column) -> Column:
                          lambda acc: F.concat(acc["out"], F.substr(new, acc["at"], F.length(new))))
     signs = F.transform(F.split(rest, ""), lambda c, i: F.when(c.rlike(r"\p{Lu}"), F.upper(F.substr(new, i + 1, F.lit(1))))
                         .otherwise(F.substr(new, i + 1, F.lit(1))))
-    upper = (m == F.upper(m)) & (m != F.lower(m))
+    upper = (rest == F.upper(rest)) & (rest != F.lower(rest))
     whole = F.when(upper, F.upper(new)).otherwise(new)
     return F.concat(head, F.when(kind.isin("email", "ipv4", "person"), whole)
                     .when(kind.isin("secret", "access_key"), F.concat(
@@ -225,7 +282,8 @@ def _mentions(text: Column) -> Column:
         kind = kind_of(m)
         return F.struct(kind.alias("kind"), canonical(kind, m).alias("value"))
 
-    return F.array_distinct(F.transform(find_all(text), one))
+    found = F.transform(find_all(text), one)
+    return F.array_distinct(F.flatten(F.transform(found, lambda x: entities(x["kind"], x["value"]))))
 
 
 def redrawn(docs: DataFrame, key: str, most_attempts: int = 64) -> DataFrame:
@@ -265,10 +323,11 @@ def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
         # bound once each: a struct inside a one-element transform keeps the expressions from being repeated
         return F.struct(kind.alias("kind"), m.alias("m"), canonical(kind, m).alias("value"))
 
-    attempt = lambda x: F.coalesce(F.col("drawn_")[F.concat_ws("|", x["kind"], x["value"])], F.lit(0))
+    attempt = lambda kind, value: F.coalesce(F.col("drawn_")[F.concat_ws("|", kind, value)], F.lit(0))
     found = F.transform(F.col("matches_"), one)
-    new = F.transform(F.col("found_"), lambda x: F.struct(x["kind"].alias("kind"), x["m"].alias("m"), surrogate(
-        key, x["kind"], x["value"], attempt(x)).alias("new")))
+    new = F.transform(F.col("found_"), lambda x: F.struct(x["kind"].alias("kind"), x["m"].alias("m"), F.when(
+        x["kind"] == "person", person(key, x["value"], attempt)).otherwise(
+        surrogate(key, x["kind"], x["value"], attempt(x["kind"], x["value"]))).alias("new")))
     shown = F.transform(F.col("new_"), lambda x: poured(x["kind"], x["m"], x["new"]))
     gaps = F.split(F.col("text"), ANY, -1)
     text = F.array_join(F.flatten(F.zip_with(gaps, F.col("shown_"), lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")

@@ -103,6 +103,30 @@ def test_widened_surrogates_are_written_whole(spark):
     assert all(luhn(x) == 0 for x in got["card"].values())
 
 
+def test_ordinary_forms(spark, docs):
+    phones = ["(415)555-2671", "+14155552671", "+33 1 42 68 53 00", "+44 7911 123456"]
+    people = ["Mr. McDonald", "Mr. McCarthy", "Mr. O'Brien", "Mrs. Smith-Jones", "Mr. J. Smith", "Mr Smith", "Dr. MARY LEE"]
+    secrets = ['{"password": "hunter2!xyz"}', "DB_PASSWORD=e3b3ed3cc854"]
+    rows = [(i, f"see {x} now") for i, x in enumerate(phones + people + secrets)]
+    rows += [(50, "Mr. John Smith came. Mr. Smith's dog; Mr Smith, MR and Mr. X"), (51, "Mr. James Smith, Mr. Smith")]
+    got = run(docs, rows)
+    out = [got[i].text[4:-4] for i in range(len(rows) - 2)]
+    assert [got[i].kinds for i in range(len(out))] == ["phone"] * 4 + ["person"] * 7 + ["secret"] * 2
+    for x, y in zip(phones, out):
+        assert re.sub(r"\d", "0", x) == re.sub(r"\d", "0", y) and x != y
+    assert len(set(out)) == len(out)
+    for x, y in zip(people, out[4:]):
+        title, _, names = y.partition(" ")
+        assert title == x.split()[0] and re.fullmatch(r"[A-Za-z]+( [A-Za-z]+)?", names)
+        assert not any(n.lower() in names.lower().split() for n in re.findall(r"[A-Za-z]{3,}", x))
+    assert out[10].isascii() and out[10][4:].isupper()
+    assert "hunter2" not in out[11] and out[11].startswith('{"password": "') and out[11].endswith('"}') and "e3b3" not in out[12]
+    full, short, third = re.fullmatch(r"Mr\. (\w+ \w+) came\. Mr\. (\w+)'s dog; Mr (\w+), MR and Mr\. X", got[50].text).groups()
+    assert full.split()[1] == short == third == out[9].split()[1] and got[50].n_entities == 3
+    other, last = re.fullmatch(r"Mr\. ([\w ]+), Mr\. (\w+)", got[51].text).groups()
+    assert last == short and other.endswith(short) and other != full
+
+
 def test_no_python_in_the_plan(spark, docs):
     plan = pii.replace_pii(docs([(1, "1.2.3.4")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
