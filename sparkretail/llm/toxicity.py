@@ -99,31 +99,35 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rati
     """Weights over presence features times ``ratio`` (Nesterov steps on the
     whole sample)."""
     wt = weight / weight.sum()
-    blocks, a = [], 0  # some documents each, so that the steps' arrays stay small
+    scale = 1 / np.maximum(1, np.array([len(r) for r in rows])) ** power
+    blocks, a = [], 0  # some documents each: no array of the whole sample besides its rows
     while a < len(rows):
         e, size = a, 0
         while e < len(rows) and (e == a or size + len(rows[e]) <= 400_000):
             size += len(rows[e])
             e += 1
-        n = np.array([len(r) for r in rows[a:e]])
-        col = np.concatenate(rows[a:e])
-        owner = np.repeat(np.arange(e - a, dtype=np.int32), n)
-        val = (ratio[col] * (1 / np.maximum(1, n) ** power)[owner]).astype(np.float32)
-        blocks.append((slice(a, e), col, owner, val))
+        blocks.append((a, e))
         a = e
+
+    def entries():
+        for a, e in blocks:
+            col = np.concatenate(rows[a:e])
+            yield slice(a, e), col, np.repeat(np.arange(e - a, dtype=np.int32), [len(r) for r in rows[a:e]])
+
     w = np.zeros(len(ratio))
     pos = float((wt * y).sum())
     b = math.log(max(pos, 1e-6) / max(1 - pos, 1e-6))
     # step from a bound of the curvature: largest row norm
-    norm = [float(np.bincount(o, v.astype(float)**2, minlength=1).max(initial=1.0)) for _, _, o, v in blocks]
+    norm = [float((scale[at]**2 * np.bincount(o, ratio[c]**2, minlength=at.stop - at.start)).max()) for at, c, o in entries()]
     lip = 0.25 * max(norm, default=1.0) + 0.25 + penalty
     pw, pb, t = w.copy(), b, 1.0
     for _ in range(rounds):
         gw, gb = penalty * w, 0.0
-        for at, col, owner, val in blocks:
-            z = np.bincount(owner, val * w[col], minlength=at.stop - at.start) + b
+        wr = w * ratio
+        for at, col, owner in entries():
+            z = scale[at] * np.bincount(owner, wr[col], minlength=at.stop - at.start) + b
             g = wt[at] * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y[at])
-            gw = gw + np.bincount(col, val * g[owner], minlength=len(ratio))
+            gw = gw + ratio * np.bincount(col, (scale[at] * g)[owner], minlength=len(ratio))
             gb += g.sum()
         nw, nb = w - gw / lip, b - gb / lip
         s = (1 + math.sqrt(1 + 4 * t * t)) / 2
@@ -133,7 +137,7 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rati
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn=None, label: str = "toxic", most: int = 4000,
-        sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, features: int = 10000, smoothing: float = 1.0,
+        sizes: tuple[int, ...] = (3, 4, 5), bits: int = 18, features: int = 30000, smoothing: float = 1.0,
         power: float = 0.25, penalty: float = 1e-4) -> ToxicityModel:
     """The model from at most ``most`` labelled documents of each class; both
     classes weigh alike, so 0.5 is where either is as likely per class."""
@@ -161,22 +165,23 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, label: str = "toxic", mo
     feature = np.full(1 << bits, -1, np.int32)
     feature[counts["bucket"].to_numpy()] = np.arange(len(counts), dtype=np.int32)
     ratio = counts["ratio"].to_numpy(dtype=float)
+    short = np.uint16 if len(counts) <= 1 << 16 else np.int32
 
     def select(batches):
         p = Presence(sizes, bits)
         for t in batches:
             yield pa.RecordBatch.from_arrays(
-                [t.column("doc_id"), t.column("y"), t.column("weight"),
-                 pa.array([x.tobytes() for x in p.rows(t.column("text"), feature)], pa.binary())],
-                names=["doc_id", "y", "weight", "x"])
-
-    rows = (sample.select("doc_id", "y", "weight", "text")
-            .mapInArrow(select, "doc_id long, y int, weight double, x binary").toPandas()
-            .sort_values(["doc_id", "y"]))
-    x = [np.frombuffer(b, np.int32) for b in rows["x"]]
-    y = rows["y"].to_numpy(dtype=float)
+                [t.column("doc_id"), t.column("y"),
+                 pa.array([x.astype(short).tobytes() for x in p.rows(t.column("text"), feature)], pa.binary())],
+                names=["doc_id", "y", "x"])
+
+    # two bytes a feature where they do, and no copy of them in Python objects
+    rows = (sample.select("doc_id", "y", "text").mapInArrow(select, "doc_id long, y int, x binary").toArrow()
+            .combine_chunks().sort_by([("doc_id", "ascending"), ("y", "ascending")]))
+    x = [np.frombuffer(b.as_buffer(), short) for b in rows.column("x")]
+    y = rows.column("y").to_numpy().astype(float)
     even = np.where(y == 1, 1 / max(1, n1), 1 / max(1, n0))
-    w, b = fit_logistic(x, y, even, ratio, power, penalty) if len(rows) else (np.zeros(len(ratio)), -2.0)
+    w, b = fit_logistic(x, y, even, ratio, power, penalty) if rows.num_rows else (np.zeros(len(ratio)), -2.0)
     return ToxicityModel(feature, ratio * w, ratio, b, sizes, bits, power)
 
 

@@ -42,6 +42,19 @@ def test_labels_of_held_out_rows_change_nothing(spark, docs):
     assert all((scores[i] >= 0.5) == (i % 3 == 0) for i in range(60))
 
 
+def test_toxicity_keeps_rarer_grams(spark, docs):
+    """Evidence beyond the 10,000 strongest n-grams counts."""
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in w) for w in rng.integers(0, 26, (6000, 8))]
+    rows = [(i, " ".join(words[j] for j in (np.arange(100) * 30 + 3000 * (i % 2) + i // 2) % 3000 + 3000 * (i % 2)))
+            for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(120)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs(rows), labels)
+    assert (model.feature >= 0).sum() == 30_000 == len(model.value)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs(rows), model).collect()}
+    assert all((scores[i] >= 0.5) == (i % 2 == 1) for i in range(120))
+
+
 def test_toxicity_edge_rows(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.fit(docs(EDGE), none)
