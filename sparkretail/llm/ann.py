@@ -10,6 +10,9 @@ calibrated on the sample (leaf visits widen until ``recall`` of its exact
 neighbours is reached) and further widened until the leaves hold ``k``
 candidates. Spark joins queries and rows by bin: some neighbouring leaves, or a
 part of a large one, of ``part_rows`` rows at most, so a hot vector is spread.
+The queries that visit a bin are dealt by hash into blocks of about
+``block_queries``, each with the bin's rows, so neither side of a group grows
+with the table.
 
 Vectors that are null, zero or hold a null or non-finite component take no
 part. Scores are inner products in double precision of the original vectors.
@@ -201,7 +204,8 @@ def fit(rows: DataFrame, k: int = 20, sample: int = 20000, recall: float = 0.94,
     return t
 
 
-def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows: int = 16384) -> DataFrame:
+def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows: int = 16384,
+           block_queries: int = 16384) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of every query
     row among all ``rows`` (vec_id, vector) but itself."""
     spark = rows.sparkSession
@@ -222,31 +226,66 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
     wide = spark.sparkContext.broadcast((size, *bins(size, part_rows)))
 
     def visit(batches):
-        t, (n, first, parts) = shared.value, wide.value
+        t, n = shared.value, wide.value[0]
         for b in batches:
-            ids, x = b.column("vec_id").to_numpy(), _matrix(b.column("vector"))
+            x, seen = _matrix(b.column("vector")), []
+            for q in x:
+                held, some = 0, []
+                for v, leaf in enumerate(t.order(q)):
+                    if v >= t.visits and held > k:
+                        break
+                    held += n[leaf]
+                    if n[leaf]:
+                        some.append(leaf)
+                seen.append(np.array(some, np.int32))
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vector"), pa.array(seen, pa.list_(pa.int32()))],
+                                             names=["query_id", "query", "leaves"])
+
+    # one row a query, stored: visits are found once, counted by bin, then dealt
+    visits = stored(vectors.where(is_query).repartition("vec_id")
+                    .mapInArrow(visit, "query_id long, query array<float>, leaves array<int>"), "visits")
+
+    def bins_of(leaves) -> dict[int, list[int]]:
+        _, first, parts = wide.value
+        to: dict[int, list[int]] = {}
+        for leaf in leaves:
+            for part in range(parts[leaf]):
+                to.setdefault(int(first[leaf]) + part, []).append(leaf)
+        return to
+
+    def count(batches):
+        n = np.zeros(total, np.int64)
+        for b in batches:
+            for leaves in b.column("leaves"):
+                n[list(bins_of(leaves.as_py()))] += 1
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["bin", "n"])
+
+    total = int((wide.value[1] + wide.value[2]).max(initial=0))
+    blocks = np.ones(total, np.int64)
+    for r in visits.select("leaves").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
+        blocks[r.bin] = -(-r.n // block_queries)
+    dealt = spark.sparkContext.broadcast(blocks)
+
+    def deal(batches):
+        for b in batches:
+            ids = b.column("query_id").to_numpy()
+            spread = mix64(mix64(ids.astype(np.uint64)) + np.uint64(1))
             for a in range(0, len(ids), 500):
-                at, where, seen = [], [], []
+                at, where, block, seen = [], [], [], []
                 for i in range(a, min(a + 500, len(ids))):
-                    held, to = 0, {}
-                    for v, leaf in enumerate(t.order(x[i])):
-                        if v >= t.visits and held > k:
-                            break
-                        held += n[leaf]
-                        if n[leaf]:
-                            for part in range(parts[leaf]):
-                                to.setdefault(int(first[leaf]) + part, []).append(leaf)
-                    for bin_, some in to.items():
+                    for bin_, some in bins_of(b.column("leaves")[i].as_py()).items():
                         at.append(i)
                         where.append(bin_)
+                        block.append(int(spread[i]) % int(dealt.value[bin_]))
                         seen.append(some)
                 at = np.array(at, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[at]), b.column("vector").take(pa.array(at)), pa.array(where, pa.int32()),
-                     pa.array(seen, pa.list_(pa.int32()))], names=["query_id", "query", "bin", "leaves"])
+                    [pa.array(ids[at]), b.column("query").take(pa.array(at)), pa.array(where, pa.int32()),
+                     pa.array(block, pa.int32()), pa.array(seen, pa.list_(pa.int32()))],
+                    names=["query_id", "query", "bin", "block", "leaves"])
 
-    queries = (vectors.where(is_query).repartition("vec_id")
-               .mapInArrow(visit, "query_id long, query array<float>, bin int, leaves array<int>"))
+    queries = visits.mapInArrow(deal, "query_id long, query array<float>, bin int, block int, leaves array<int>")
 
     def bin_of(leaf: pd.Series, vec: pd.Series) -> pd.Series:
         _, first, parts = wide.value
@@ -254,7 +293,11 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
         return pd.Series((first[at] + (mix64(vec.to_numpy().astype(np.uint64)) % parts[at].astype(np.uint64))
                           .astype(np.int64)).astype(np.int32))
 
-    data = placed.withColumn("bin", F.pandas_udf(bin_of, "int")("leaf", "vec_id"))
+    def blocks_of(bin_: pd.Series) -> pd.Series:
+        return pd.Series(dealt.value[bin_.to_numpy()].astype(np.int32))
+
+    data = (placed.withColumn("bin", F.pandas_udf(bin_of, "int")("leaf", "vec_id"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.pandas_udf(blocks_of, "int")("bin") - 1))))
 
     leaves = tree.leaves
 
@@ -263,12 +306,13 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
         found: list[list] = [[], [], []]
         if len(qi) and len(di):
             qx, x, leaf = _matrix(q.column("query")), _matrix(d.column("vector")), d.column("leaf").to_numpy()
-            visited = q.column("leaves").to_pylist()
+            lists = q.column("leaves").combine_chunks()
+            visited, upto = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
             for a in range(0, len(qi), 64):
                 rough = qx[a:a + 64] @ x.T
                 for i in range(a, min(a + 64, len(qi))):
                     open_ = np.zeros(leaves, bool)
-                    open_[visited[i]] = True
+                    open_[visited[upto[i]:upto[i + 1]]] = True
                     near, s = best(qx[i], x, di, qi[i], k, rough[i - a], np.flatnonzero(open_[leaf]))
                     for c, v in zip(found, (np.full(len(near), qi[i]), near, s)):
                         c.append(v)
@@ -276,7 +320,7 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
         return pa.table({"query_id": pa.array(ids[0], pa.int64()), "vec_id": pa.array(ids[1], pa.int64()),
                          "score": pa.array(np.concatenate([np.zeros(0), *found[2]]))})
 
-    near = (queries.groupBy("bin").cogroup(data.groupBy("bin"))
+    near = (queries.groupBy("bin", "block").cogroup(data.groupBy("bin", "block"))
             .applyInArrow(compare, "query_id long, vec_id long, score double"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

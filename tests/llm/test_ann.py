@@ -65,6 +65,28 @@ def test_clustered_data_and_a_hot_vector(spark):
     assert hits / (10 * len(got)) >= 0.9
 
 
+def test_queries_of_a_bin_are_dealt_into_blocks(spark, monkeypatch):
+    """No group holds many more queries than the bound; the result is the same."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(800, 8)).astype(np.float32))], SCHEMA)
+    rows = df.select("vec_id", F.col("embedding").alias("vector"))
+    tree = ann.fit(rows, k=5)
+    ask = F.col("vec_id") % 2 == 0
+    want = sorted(map(tuple, ann.search(rows, ask, tree, k=5).collect()))
+    plain, sides = type(rows).groupBy, []
+
+    def spy(self, *cols):
+        if cols[0] == "bin" and {"query_id", "vec_id"} & set(self.columns):
+            sides.append((self, cols))
+        return plain(self, *cols)
+
+    monkeypatch.setattr(type(rows), "groupBy", spy)
+    got = ann.search(rows, ask, tree, k=5, part_rows=100, block_queries=50)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 2000
+    most = [max(r["count"] for r in plain(d, *cols).count().collect()) for d, cols in sides]
+    assert len(most) == 2 and max(most) <= 100
+
+
 def test_bins_cover_every_leaf():
     size = np.array([10, 5000, 0, 300, 1900, 2, 4001])
     first, parts = ann.bins(size, 2000)
