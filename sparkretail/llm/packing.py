@@ -120,7 +120,8 @@ def reduce_dominated(count: dict[int, int], capacity: int) -> tuple[list[tuple[P
     stands alone; a piece that fills the rest exactly, or the largest piece t
     that fits when no two or more pieces together exceed t within the rest,
     dominates every other set; so does the pair that fills the rest exactly
-    when no three pieces fit. Otherwise the next smaller length is tried."""
+    when no three pieces fit, no single piece above its larger member fits and
+    no two pieces above its smaller member fit. Otherwise the next smaller length is tried."""
     left = {s: c for s, c in count.items() if c > 0}
     sizes = sorted(left)
     fixed: dict[Pattern, int] = defaultdict(int)
@@ -162,6 +163,16 @@ def reduce_dominated(count: dict[int, int], capacity: int) -> tuple[list[tuple[P
         s = sizes[i]
         rest = capacity - s
         have = lambda x: left.get(x, 0) - (x == s)
+
+        def above(b: int, room: int) -> bool:
+            """Whether two other pieces longer than b fit."""
+            two = []
+            for x in sizes[bisect.bisect_right(sizes, b):]:
+                two += [x] * min(2, max(0, have(x)))
+                if len(two) >= 2 or x > room:
+                    break
+            return len(two) >= 2 and two[0] + two[1] <= room
+
         low = [x for x in sizes[:3] for _ in range(min(3, max(0, have(x))))][:3]  # the three smallest others
         if not low or low[0] > rest:
             use({s: 1}, left[s])
@@ -175,7 +186,7 @@ def reduce_dominated(count: dict[int, int], capacity: int) -> tuple[list[tuple[P
             three = len(low) == 3 and sum(low) <= rest
             if exact or (pair <= t and not three):
                 use({s: 2} if s == t else {s: 1, t: 1}, left[s] // 2 if s == t else min(left[s], left[t]))
-            elif pair == rest and not three:
+            elif pair == rest and not three and t <= max(which) and not above(min(which), rest):
                 one: dict[int, int] = defaultdict(int)
                 for x in (s, *which):
                     one[x] += 1

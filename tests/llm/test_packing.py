@@ -49,6 +49,12 @@ def test_reduction_keeps_the_optimum():
         assert sum(n for _, n in fixed) + fewest(list(Counter(left).elements()), c) == fewest(list(count.elements()), c)
 
 
+def test_exact_pair_that_does_not_dominate():
+    count = Counter([10, 9, 8, 8, 7, 7, 6, 4])
+    fixed, left = packing.reduce_dominated(dict(count), 20)
+    assert sum(n for _, n in fixed) + fewest(list(Counter(left).elements()), 20) == 3
+
+
 def test_plan_places_every_piece_once():
     rnd = random.Random(10)
     for _ in range(60):
