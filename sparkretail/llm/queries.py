@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sparkretail.llm import ann, langid, licenses, mixing, packing, pii, quality, tables, toxicity
+from sparkretail.llm import alignment, ann, bpe, langid, licenses, mixing, packing, pii, quality, spelling, tables, toxicity
 from sparkretail.llm.minhash import edit_fingerprints
 from sparkretail.llm.ngram_join import ngram_jaccard_join
 from sparkretail.llm.samples import fold_of
@@ -64,9 +64,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold_of(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(tables.documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(tables.documents(spark, sf_dir))
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(tables.documents(spark, sf_dir)).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_minhash_fingerprints, op3_best_fit_packing, op4_language_id,
     op5_source_mixing, op6_kmeans_tree_ann, op7_pii_surrogates, op8_license_scan, op9_toxicity, op10_quality,
+    op11_token_alignment, op12_spelling_variants, op13_bpe_codec,
 )}
 
 OP1_SQL = r"""
