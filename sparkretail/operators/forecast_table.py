@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkretail.functions.scalar import round_half_away
+from sparkretail.sources import committed
 
 STORE_LEVEL_DEPT = -1
 
@@ -83,11 +84,15 @@ def stamp_runs(df: DataFrame, runs: list[tuple[str, datetime]]) -> DataFrame:
     return _stamped(df.select("*", F.inline(stamps)), F.col("_rid"), F.col("_rts"))
 
 
-def append_run(df: DataFrame, path: str) -> None:
-    """Append one stamped run to the table (partitioned by model, so readers
-    of one model prune the others)."""
-    df.write.mode("append").partitionBy("model").parquet(path)
+def append_run(df: DataFrame, path: str, run_id: str) -> committed.Commit:
+    """Append one stamped run to the table as one commit (partitioned by model,
+    so readers of one model prune the others). A run that is already in the
+    table is not written again; rows of another run fail the write."""
+    other = F.raise_error(F.concat(F.lit(f"not of run {run_id}: "), F.col("run_id"))).cast("string")
+    same = F.when(F.col("run_id") == run_id, F.col("run_id")).otherwise(other)
+    return committed.write(df.withColumn("run_id", same), path, run_id, partition_by=["model"])
 
 
 def read_table(spark, path: str) -> DataFrame:
-    return spark.read.schema(FORECAST_SCHEMA).parquet(path).select(*FORECAST_SCHEMA.fieldNames())
+    """The committed runs."""
+    return committed.read(spark, path, FORECAST_SCHEMA)

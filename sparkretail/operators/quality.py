@@ -32,6 +32,14 @@ class Check:
             return F.countDistinct(F.col(self.column))
         raise ValueError(self.metric)
 
+    def sign(self) -> str:
+        """How an observed value that fails compares with the bound."""
+        return {"min": "<", "max": ">", "exact": "!="}[self.kind]
+
+
+def passes(check: Check, observed: int) -> bool:
+    return {"min": observed >= check.bound, "max": observed <= check.bound, "exact": observed == check.bound}[check.kind]
+
 
 # The load-time assertions of the three ingests.
 WEEKLY_TRAIN_CHECKS = (Check("walmart_train row count", "min", 400000, "rows"),
@@ -100,6 +108,12 @@ def not_null(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
             .withColumn("passed", F.col("failing_rows") == 0))
 
 
+def observed_row(checks: Sequence[Check], observed: Sequence[int], ords: Sequence[int] | None = None) -> list[tuple]:
+    """``evaluate``'s rows from values observed while the data was written."""
+    ords = list(range(len(checks))) if ords is None else list(ords)
+    return [(c.name, int(v), c.kind, c.bound, passes(c, v), o) for c, v, o in zip(checks, observed, ords)]
+
+
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     """Number of key values that occur more than once (distributed group-by;
     the key count per group is partially aggregated before the shuffle)."""

@@ -27,8 +27,8 @@ def test_append_and_read(spark, tmp_path):
     d = dt.date(2012, 1, 1)
     out = ft.with_default_dept(spark.createDataFrame([(1, d, 1.0, 0.9, 1.1, "seasonal")], OUT))
     path = str(tmp_path / "fc")
-    ft.append_run(ft.stamp(out, "a", dt.datetime(2024, 1, 1)), path)
-    ft.append_run(ft.stamp(out, "b", dt.datetime(2024, 1, 2)), path)
+    ft.append_run(ft.stamp(out, "a", dt.datetime(2024, 1, 1)), path, "a")
+    ft.append_run(ft.stamp(out, "b", dt.datetime(2024, 1, 2)), path, "b")
     t = ft.read_table(spark, path)
     assert t.count() == 2 and t.columns == ft.FORECAST_SCHEMA.fieldNames()
 
