@@ -7,14 +7,13 @@ residuals. Every store is fitted at once with window aggregates partitioned
 by ``store_id`` (one exchange), never in a loop over stores; a store's
 partition holds one row per week.
 
-``gbt_backtest`` trains one global Spark ML gradient-boosted tree model on
-the feature mart (the trees are built by the executors) and scores the last
-12 weeks.
+``gbt_backtest`` trains one global model of Spark ML boosted trees on the
+feature mart (the trees are built by the executors), moves their leaves to least
+absolute error and scores the last 12 weeks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sparkretail.functions.scalar import (clip_at_zero, encode_store_type, round_half_away,
                                           week_sunday)
+from sparkretail.operators import trees
 from sparkretail.operators.metrics import (FORECAST_HORIZON, MIN_HISTORY, exact_wmae, holdout_tail,
                                            restrict_to_first, store_week, wmae)
 from sparkretail.session import checkpoint_dir, materialize
@@ -44,22 +44,24 @@ def with_calendar(series: DataFrame, is_holiday: Column) -> DataFrame:
     return series.withColumn("in_calendar", F.coalesce(F.max(is_holiday).over(covered) == 1, F.lit(False)))
 
 
-def seasonal_frame(features: DataFrame, horizon: int = FORECAST_HORIZON,
-                   min_weeks: int = MIN_HISTORY, z: float = BAND_Z,
-                   max_stores: int | None = None,
-                   horizon_from: str = "training_end") -> DataFrame:
-    """History + future rows per store with the fitted components. Future
-    rows fall on the series' own weekday: they follow the last training row
-    (``horizon_from="training_end"``, the backtest) or, fitted on the whole
-    history, the last row (``"data_end"``, the forecast ahead).
-
-    Columns: store_id, ds, kind ('train' | 'holdout' | 'future'), step (1..h
-    for holdout and future rows), y, is_holiday, yhat, yhat_lower, yhat_upper.
+def history_and_future(features: DataFrame, horizon: int = FORECAST_HORIZON,
+                       min_weeks: int = MIN_HISTORY, max_stores: int | None = None,
+                       horizon_from: str = "training_end", anchor: str = "own") -> DataFrame:
+    """Store totals per week and the ``horizon`` rows to forecast: store_id,
+    ds, kind ('train' | 'holdout' | 'future'), step (1..h for holdout and future
+    rows), y, is_holiday, in_calendar.
+
+    Future rows follow the last training row (``horizon_from="training_end"``,
+    the backtest) or the last row of the whole history (``"data_end"``, the
+    forecast ahead). They fall on the series' own weekday (``anchor="own"``) or
+    on the Sundays after that row (``"sunday"``).
     """
     sw = restrict_to_first(store_week(features), "store_id", max_stores)
     h = holdout_tail(sw, horizon=horizon, min_rows=min_weeks)
     if horizon_from not in ("training_end", "data_end"):
         raise ValueError(f"unknown horizon_from {horizon_from!r}")
+    if anchor not in ("own", "sunday"):
+        raise ValueError(f"unknown anchor {anchor!r}")
     ahead = horizon_from == "data_end"
     if ahead:
         h = h.withColumn("is_holdout", F.lit(False))
@@ -72,17 +74,26 @@ def seasonal_frame(features: DataFrame, horizon: int = FORECAST_HORIZON,
                         F.when(is_hold, "holdout").otherwise("train").alias("kind"),
                         F.when(is_hold, F.col("pos") - last)
                         .cast("bigint").alias("step"))
+    first = F.date_add(F.col("ds"), 7) if anchor == "own" else F.next_day(F.col("ds"), "Sun")
     future_rows = F.transform(
         F.sequence(F.lit(0), F.lit(horizon - 1)),
-        lambda k: F.struct(F.date_add(F.col("ds"), (k + 1) * 7).alias("ds"),
+        lambda k: F.struct(F.date_add(first, k * 7).alias("ds"),
                            F.lit(None).cast("double").alias("y"),
                            F.lit(0).alias("is_holiday"), F.lit("future").alias("kind"),
                            (k + 1).cast("bigint").alias("step")))
     rows = F.when(F.col("pos") == last,
                   F.concat(F.array(this_row), future_rows)).otherwise(F.array(this_row))
     frame = h.select("store_id", F.inline(rows))
-    frame = with_calendar(frame, F.when(F.col("kind") != "future", F.col("is_holiday")))
+    return with_calendar(frame, F.when(F.col("kind") != "future", F.col("is_holiday")))
 
+
+def seasonal_frame(features: DataFrame, horizon: int = FORECAST_HORIZON,
+                   min_weeks: int = MIN_HISTORY, z: float = BAND_Z,
+                   max_stores: int | None = None,
+                   horizon_from: str = "training_end", anchor: str = "own") -> DataFrame:
+    """``history_and_future`` with the fitted components: store_id, ds, kind,
+    step, y, is_holiday, yhat, yhat_lower, yhat_upper."""
+    frame = history_and_future(features, horizon, min_weeks, max_stores, horizon_from, anchor)
     store = Window.partitionBy("store_id")
     store_week_w = Window.partitionBy("store_id", "woy")
     is_train = F.col("kind") == "train"
@@ -191,59 +202,24 @@ def gbt_dataset(features: DataFrame, horizon: int = FORECAST_HORIZON,
     return out, names
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """``(rounds, closed)``: the round of the smallest loss when training
-    stops once ``patience`` rounds in a row bring no improvement, and whether
-    that happened within ``losses``."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
 @dataclass
 class BoostedTrees:
-    """A fitted backtest: holdout rows, importances, the chosen round."""
+    """A fitted backtest: holdout rows, node table, split counts, the rounds."""
 
     backtest: DataFrame
+    nodes: DataFrame
     importances: DataFrame
     rounds: int
     losses: list[float]
-
-
-def fit_rounds(train: DataFrame, valid: DataFrame, max_iter: int, patience: int, seed: int = 42,
-               first_fit: int = 64):
-    """``(model, rounds, losses)`` of squared-loss boosting with the round
-    chosen on ``valid``. Trees are added one after another, so a shorter fit
-    is a prefix of a longer one: fits double in length until the patience
-    window closes, then the model is refitted to the best round."""
-    from pyspark.ml.regression import GBTRegressor
-
-    def fit(n: int):
-        return GBTRegressor(featuresCol="features", labelCol="label", predictionCol="raw_pred",
-                            lossType="squared", stepSize=0.05, maxDepth=6, minInstancesPerNode=20,
-                            featureSubsetStrategy="0.8", subsamplingRate=0.8, maxIter=n,
-                            seed=seed, maxBins=64).fit(train)
-
-    n = min(first_fit, max_iter)
-    while True:
-        model = fit(n)
-        losses = model.evaluateEachIteration(valid, "squared")
-        rounds, closed = best_round(losses, patience)
-        if closed or n == max_iter:
-            break
-        n = min(2 * n, max_iter)
-    return (model if rounds == n else fit(rounds)), rounds, losses
+    errors: list[float]  # validation error after each block of re-estimated leaves
 
 
 def gbt_backtest(features: DataFrame, max_iter: int = 500, patience: int = 50, seed: int = 42,
                  horizon: int = FORECAST_HORIZON, model_name: str = "gbt") -> BoostedTrees:
-    """Train on rows up to ``max(date) - horizon`` and score the rest. Squared
-    loss on ``log1p(target)``, inverted with ``expm1``; the round is the best
-    on the validation tail of the training period."""
+    """Train on rows up to ``max(date) - horizon`` and score the rest. The
+    trees are grown by squared loss on ``log1p(target)``, their number is the
+    best on the validation tail of the training period; then their leaves are
+    re-estimated for least absolute error of the target itself."""
     from pyspark.ml.feature import VectorAssembler
 
     spark = features.sparkSession
@@ -251,19 +227,18 @@ def gbt_backtest(features: DataFrame, max_iter: int = 500, patience: int = 50, s
     rows, names = gbt_dataset(features, horizon)
     vec = VectorAssembler(inputCols=names, outputCol="features",
                           handleInvalid="error").transform(materialize(rows, "gbt_rows"))
-    train = vec.where(~F.col("is_test") & ~F.col("is_valid"))
-    valid = vec.where("is_valid")
-    model, rounds, losses = fit_rounds(train, valid, max_iter, patience, seed)
-    pred = clip_at_zero(F.expm1("raw_pred"))
-    out = model.transform(vec.where("is_test")).select(
+    ensemble = trees.boost(vec.where(~F.col("is_test")), max_iter, patience, seed)
+    kept = materialize(ensemble.leaves(vec).select("store_id", "dept_id", "sale_date", "is_holiday", TARGET, "is_test",
+                                                   "is_valid", "leaves"), "gbt_leaves")
+    ensemble, errors = trees.reestimate(ensemble, kept.where(~F.col("is_test")), TARGET, F.expm1)
+    value, shift = trees.predicted(ensemble)
+    out = kept.where("is_test").withColumn("yhat", clip_at_zero(F.expm1(value) + shift)).select(
         "store_id", "dept_id", F.col("sale_date").alias("ds"), "is_holiday",
-        F.col(TARGET).alias("actual"), pred.alias("yhat"),
-        (pred * F.lit(0.9)).alias("yhat_lower"), (pred * F.lit(1.1)).alias("yhat_upper"),
-        F.lit(model_name).alias("model"))
-    imp = model.featureImportances.toArray().tolist()
-    importances = spark.createDataFrame(
-        [(n[2:], float(v)) for n, v in zip(names, imp)], "feature string, importance double")
-    return BoostedTrees(materialize(out, "gbt_backtest"), importances, rounds, losses)
+        F.col(TARGET).alias("actual"), "yhat", (F.col("yhat") * F.lit(0.9)).alias("yhat_lower"),
+        (F.col("yhat") * F.lit(1.1)).alias("yhat_upper"), F.lit(model_name).alias("model"))
+    nodes = materialize(ensemble.node_table(spark), "gbt_nodes")
+    importances = trees.split_counts(nodes, [n[2:] for n in names])
+    return BoostedTrees(materialize(out, "gbt_backtest"), nodes, importances, ensemble.rounds, ensemble.losses, errors)
 
 
 def gbt_score(model: BoostedTrees) -> DataFrame:
