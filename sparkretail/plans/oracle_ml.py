@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from sparkretail.operators import season_trend
 from sparkretail.operators.drift import CATEGORICAL_FEATURES as CATEGORICAL
 from sparkretail.operators.drift import NUMERIC_FEATURES as NUMERIC
 from sparkretail.plans.oracle import cents, from_cents, r, register, week_sunday
@@ -112,16 +115,18 @@ select * from (select *, row_number() over (partition by store_id order by ds) a
                from store_week) where n_rows >= 52
 """
 
-def seasonal(held: int) -> str:
-    """The fit with the last ``held`` rows of each store kept out."""
+def store_rows(held: int, anchor: str = "own") -> str:
+    """CTEs ``hist``, ``fut``, ``cal``, ``f0``: history with the last ``held``
+    rows of each store kept out, twelve future rows, holidays."""
+    first = "ds + 7" if anchor == "own" else "ds + cast(7 - dayofweek(ds) as integer)"
     return f"""
-with hist as (
+hist as (
   select store_id, ds, y, is_holiday,
          case when pos > n_rows - {held} then 'holdout' else 'train' end as kind,
          case when pos > n_rows - {held} then pos - (n_rows - {held}) end as step
   from holdout_rows),
 fut as (
-  select store_id, cast(ds + cast(7 * (k + 1) as integer) as date) as ds, cast(null as double) as y,
+  select store_id, cast({first} + cast(7 * k as integer) as date) as ds, cast(null as double) as y,
          0 as is_holiday, 'future' as kind, cast(k + 1 as bigint) as step
   from holdout_rows cross join range(0, 12) q(k) where pos = n_rows - {held}),
 cal as (
@@ -131,7 +136,12 @@ cal as (
 f0 as (
   select u.*, c.store_id is not null as in_calendar
   from (select * from hist union all select * from fut) u
-  left join cal c on u.store_id = c.store_id and u.ds = c.ds),
+  left join cal c on u.store_id = c.store_id and u.ds = c.ds)"""
+
+
+def seasonal(held: int, anchor: str = "own") -> str:
+    return f"""
+with {store_rows(held, anchor)},
 f1 as (
   select *, case when {week_sunday('ds')} in (0, 53) then 52 else {week_sunday('ds')} end as woy,
          datediff('day', min(ds) over (partition by store_id), ds) / 7.0 as t,
@@ -154,10 +164,12 @@ select store_id, ds, kind, step, y, is_holiday, {r('yhat')} as yhat,
 from f7
 """
 
-PAIRS = """
-with hold as (select store_id, step, ds, y as actual, is_holiday from seasonal_frame
+def pairs(frame: str) -> str:
+    """Holdout rows with the future row of their date, or else of their step."""
+    return f"""
+with hold as (select store_id, step, ds, y as actual, is_holiday from {frame}
               where kind = 'holdout'),
-fut as (select store_id, step as fstep, ds as fds, yhat as predicted from seasonal_frame
+fut as (select store_id, step as fstep, ds as fds, yhat as predicted from {frame}
         where kind = 'future'),
 bydate as (select h.*, f.predicted from hold h join fut f on h.store_id = f.store_id and h.ds = f.fds),
 full_match as (select b.store_id from (select store_id, count(*) as c from bydate group by 1) b
@@ -171,6 +183,73 @@ from hold h join fut f on h.store_id = f.store_id and h.step = f.fstep
 where h.store_id not in (select store_id from full_match)
 """
 
+# ------------------------------------------- change points, smooth season
+def _bend_columns() -> list[tuple[str, str]]:
+    step = int(season_trend.CHANGEPOINT_RANGE * season_trend.MICRO / season_trend.CHANGEPOINTS)
+    cols = [("one", "1000000"), ("t", "t")]
+    cols += [(f"bend{j}", f"greatest(t - {step * j}, 0)") for j in range(1, season_trend.CHANGEPOINTS + 1)]
+    for n in range(1, season_trend.FOURIER_ORDER + 1):
+        angle = f"{2 * math.pi * n / season_trend.YEAR_DAYS!r} * epoch_days"
+        cols += [(f"{f}{n}", f"cast(floor({f}({angle}) * 1000000.0 + 0.5) as bigint)") for f in ("sin", "cos")]
+    return [*cols, ("holiday", "case when in_calendar then 1000000 else 0 end")]
+
+
+def bend_design(held: int, anchor: str = "own") -> str:
+    cols = ", ".join(f"cast({e} as bigint) as {c}" for c, e in _bend_columns())
+    return f"""
+with {store_rows(held, anchor)},
+d1 as (
+  select *, datediff('day', min(ds) over (partition by store_id), ds) as days,
+         datediff('day', min(ds) over (partition by store_id),
+                  max(case when kind = 'train' then ds end) over (partition by store_id)) as span,
+         datediff('day', date '1970-01-01', ds) as epoch_days
+  from f0),
+d2 as (select *, (2 * days * 1000000 + span) // (2 * span) as t from d1)
+select store_id, ds, kind, step, y, is_holiday, {cols},
+       case when kind = 'train' then cast(floor(ln(y) * 1000000.0 + 0.5) as bigint) end as log_y
+from d2
+"""
+
+
+#: one row per (store, i, j): sums of products of design columns, j = p the target
+BEND_GRAM = f"""
+with x as (select store_id, [{", ".join(c for c, _ in _bend_columns())}, log_y] as v
+           from bend_design where kind = 'train'),
+p as (select x.store_id, i, j, x.v[i + 1] as a, x.v[j + 1] as b
+      from x cross join range(0, {len(_bend_columns())}) q(i) cross join range(0, {len(_bend_columns()) + 1}) r(j))
+select store_id, cast(i as integer) as i, cast(j as integer) as j, cast(sum(a * b) as bigint) as product
+from p group by 1, 2, 3
+"""
+
+BEND_NOISE = f"""
+select store_id, greatest(sum(d * d) / (6 * count(d)) / 1e12, {season_trend.Priors().least_noise ** 2!r}::double) as noise
+from (select store_id, log_y - 2 * lag(log_y, 1) over w + lag(log_y, 2) over w as d
+      from bend_design where kind = 'train' window w as (partition by store_id order by ds)) group by store_id
+"""
+
+#: elimination column by column, in rows of lists
+BEND_WEIGHTS = f"""
+with recursive start as (
+  select g.store_id, i, list(product / 1e12 + case when i = j then pen[i + 1] * noise else 0.0 end order by j) as r
+  from bend_gram g join bend_noise n on g.store_id = n.store_id,
+       (select {season_trend.Priors().penalties()!r}::double[] as pen) group by g.store_id, i),
+el as (
+  select store_id, 0 as k, list(r order by i) as m from start group by store_id
+  union all
+  select store_id, k + 1, list_transform(m, lambda r, i: case when i = k + 1 then r else
+         list_transform(r, lambda a, j: a - r[k + 1] / m[k + 1][k + 1] * m[k + 1][j]) end)
+  from el where k < {len(_bend_columns())})
+select store_id, list_transform(m, lambda r, i: r[{len(_bend_columns()) + 1}] / r[i]) as w
+from el where k = {len(_bend_columns())}
+"""
+
+
+def bend_frame(design: str) -> str:
+    dot = " + ".join(f"w[{i + 1}] * {c}" for i, (c, _) in enumerate(_bend_columns()))
+    return (f"select d.store_id, ds, kind, step, y, is_holiday, {r(f'exp(({dot}) / 1000000.0)')} as yhat "
+            f"from {design} d join bend_weights w on d.store_id = w.store_id")
+
+
 STORE_SCORES = f"""
 select store_id, {r(from_cents(f"sum(w * abs({cents('actual')} - {cents('predicted')}))") + ' / sum(w)')} as wmae
 from (select *, case when is_holiday = 1 then 5 else 1 end as w from holdout_pairs)
@@ -192,7 +271,14 @@ for _name, _body, _deps in [
     ("holdout_rows", HOLDOUT, ("store_week",)),
     ("seasonal_frame", seasonal(12), ("holdout_rows",)),
     ("seasonal_ahead", seasonal(0), ("holdout_rows",)),
-    ("holdout_pairs", PAIRS, ("seasonal_frame",)),
+    ("holdout_pairs", pairs("seasonal_frame"), ("seasonal_frame",)),
+    ("seasonal_sunday", seasonal(12, "sunday"), ("holdout_rows",)),
+    ("sunday_pairs", pairs("seasonal_sunday"), ("seasonal_sunday",)),
+    ("bend_design", bend_design(12), ("holdout_rows",)),
+    ("bend_gram", BEND_GRAM, ("bend_design",)),
+    ("bend_noise", BEND_NOISE, ("bend_design",)),
+    ("bend_weights", BEND_WEIGHTS, ("bend_gram", "bend_noise")),
+    ("bend_frame", bend_frame("bend_design"), ("bend_design", "bend_weights")),
     ("store_scores", STORE_SCORES, ("holdout_pairs",)),
 ]:
     register(_name, _body, _deps)

@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkretail.functions import scalar as S
-from sparkretail.operators import drift, forecast, metrics
+from sparkretail.operators import drift, forecast, metrics, season_trend
 from sparkretail.plans import builds
 from sparkretail.plans import oracle as O
 from sparkretail.plans import oracle_ml  # noqa: F401  (registers the CTEs)
 from sparkretail.plans.catalog import query
+from sparkretail.session import kept_once
 
 W = O.with_ctes
 KEYS = "store_id, dept_id, sale_date"
@@ -28,6 +29,10 @@ def _frame(spark, sf):
     return forecast.seasonal_frame(_positive(spark, sf))
 
 
+def _sunday(spark, sf):
+    return forecast.seasonal_frame(_positive(spark, sf), anchor="sunday")
+
+
 # ---- predicates, split, encodings
 @query("flt_positive_target", W(f"select {KEYS}, weekly_sales from positive_demand",
                                 "positive_demand"))
@@ -123,8 +128,35 @@ def q_ml_forecast_ahead(spark, sf):
         F.col("kind") == "future").select("store_id", "ds", "step", "yhat", "yhat_lower", "yhat_upper")
 
 
-@query("ml_store_seasonal", W("select * from seasonal_frame", "seasonal_frame"))
+@query("ml_future_frame_sunday", W("select store_id, ds, step from seasonal_sunday where kind = 'future'",
+                                   "seasonal_sunday"))
+def q_ml_future_frame_sunday(spark, sf):
+    """The future rows on Sundays, whatever the series' own weekday."""
+    return _sunday(spark, sf).where(F.col("kind") == "future").select("store_id", "ds", "step")
+
+
+@query("ml_store_seasonal", W("select * from bend_frame", "bend_frame"))
 def q_ml_store_seasonal(spark, sf):
+    """Change points, smooth season, holidays: history, holdout and future rows."""
+    return season_trend.changepoint_frame(_positive(spark, sf))
+
+
+@query("ml_seasonal_gram", W("select * from bend_gram", "bend_gram"))
+def q_ml_seasonal_gram(spark, sf):
+    """The exact sums that each store's fit rests on."""
+    sums = season_trend.gram(season_trend.design(forecast.history_and_future(_positive(spark, sf))))
+    return sums.select("store_id", "i", F.posexplode("products").alias("j", "product"))
+
+
+@query("ml_seasonal_band")
+def q_ml_seasonal_band(spark, sf):
+    """The future rows with the simulated band, which widens with the step."""
+    return season_trend.changepoint_forecast(_positive(spark, sf))
+
+
+@query("ml_store_seasonal_line", W("select * from seasonal_frame", "seasonal_frame"))
+def q_ml_store_seasonal_line(spark, sf):
+    """One straight line, mean ratio per week of the year, constant band."""
     return _frame(spark, sf)
 
 
@@ -139,8 +171,14 @@ def q_jn_holdout_dates(spark, sf):
     return hold.join(fut, ["store_id", "ds"], "left_semi")
 
 
-@query("jn_align_position", W("select * from holdout_pairs", "holdout_pairs"))
+@query("jn_align_position", W("select * from sunday_pairs", "sunday_pairs"))
 def q_jn_align_position(spark, sf):
+    """Forecasts on Sundays never fall on the holdout's dates: pairs go by position."""
+    return forecast.holdout_pairs(_sunday(spark, sf))
+
+
+@query("jn_align_date", W("select * from holdout_pairs", "holdout_pairs"))
+def q_jn_align_date(spark, sf):
     return forecast.holdout_pairs(_frame(spark, sf))
 
 
@@ -255,14 +293,8 @@ def q_set_category_union(spark, sf):
 
 # ---- global boosted trees (Spark ML): one fit per application and input,
 # shared by every query that reads the model
-_FITS: dict[tuple[str, str], forecast.BoostedTrees] = {}
-
-
 def boosted(spark, sf) -> forecast.BoostedTrees:
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITS:
-        _FITS[key] = forecast.gbt_backtest(_positive(spark, sf))
-    return _FITS[key]
+    return kept_once(spark, "boosted_trees", sf, lambda: forecast.gbt_backtest(_positive(spark, sf)))
 
 
 @query("ml_global_gbt")
@@ -284,6 +316,12 @@ def q_ml_backtest_keys(spark, sf):
     return boosted(spark, sf).backtest.select("store_id", "dept_id", "ds", "is_holiday", "actual", "model")
 
 
+@query("ml_tree_nodes")
+def q_ml_tree_nodes(spark, sf):
+    """The fitted trees, node by node."""
+    return boosted(spark, sf).nodes
+
+
 @query("ml_feature_importance")
 def q_ml_feature_importance(spark, sf):
     return boosted(spark, sf).importances

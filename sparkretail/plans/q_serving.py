@@ -10,7 +10,7 @@ from sparkretail.operators import forecast, forecast_table, serving
 from sparkretail.plans import builds
 from sparkretail.plans import oracle as O
 from sparkretail.plans.catalog import query
-from sparkretail.session import materialize, scratch_path
+from sparkretail.session import kept_once, materialize, scratch_path
 
 W = O.with_ctes
 
@@ -64,20 +64,17 @@ def model_outputs(spark, sf):
         [seasonal_output(spark, sf), forecast.lag_baseline(builds.positive_demand(spark, sf))])
 
 
-_LOGS: dict[tuple[str, str], str] = {}
-
-
 def forecast_log(spark, sf):
     """The appended forecast table: both models, every run, written once per
     application and input; all readers read the table."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _LOGS:
+    def write() -> str:
         path = scratch_path(spark, "mart_demand_forecast")
         out = materialize(model_outputs(spark, sf), "model_outputs")
         for rid, ts in RUNS:
-            forecast_table.append_run(forecast_table.stamp(out, rid, ts), path)
-        _LOGS[key] = path
-    return forecast_table.read_table(spark, _LOGS[key])
+            forecast_table.append_run(forecast_table.stamp(out, rid, ts), path, rid)
+        return path
+
+    return forecast_table.read_table(spark, kept_once(spark, "forecast_log", sf, write))
 
 
 def _fc_cols(prefix=""):
@@ -254,5 +251,5 @@ def q_mart_demand_forecast_trees(spark, sf):
     out = forecast_table.union_models(
         [seasonal_output(spark, sf), boosted(spark, sf).backtest.select(*forecast.FORECAST_COLUMNS)])
     path = scratch_path(spark, "mart_demand_forecast_trees")
-    forecast_table.append_run(forecast_table.stamp(out, *RUNS[0]), path)
+    forecast_table.append_run(forecast_table.stamp(out, *RUNS[0]), path, RUNS[0][0])
     return forecast_table.read_table(spark, path)

@@ -14,23 +14,24 @@ import uuid
 from pyspark.sql import functions as F
 
 from sparkretail.operators import drift, forecast, marts
+from sparkretail.operators.forecast_table import append_run, read_table, stamp, union_models
 from sparkretail.plans import builds
 from sparkretail.plans import oracle as O
 from sparkretail.plans.catalog import query
 from sparkretail.plans.q_serving import RUNS, model_outputs, seasonal_output
 from sparkretail.session import scratch_path
-from sparkretail.sources import files, proxy
+from sparkretail.sources import committed, files, proxy
 from sparkretail.streaming.staging import run_available, stream_weekly_staging
 
 W = O.with_ctes
 log = logging.getLogger(__name__)
 
 
-def _landed(spark, base, frames, schemas):
-    """Every file landed as CSV and read back with its declared schema."""
+def _landed(spark, base, frames, read):
+    """Every file landed as CSV and read back type-strict."""
     for name, df in frames.items():
         files.write_csv(df, f"{base}/{name}")
-    return {name: files.read_csv(spark, f"{base}/{name}", schemas[name]) for name in frames}
+    return read(spark, base)
 
 
 def _stacked(read, as_text):
@@ -53,7 +54,7 @@ def _stacked(read, as_text):
 def q_src_weekly(spark, sf):
     frames = {"train.csv": proxy.raw_weekly_train(spark, sf), "test.csv": proxy.raw_weekly_test(spark, sf),
               "stores.csv": proxy.raw_weekly_stores(spark, sf), "features.csv": proxy.raw_weekly_features(spark, sf)}
-    read = _landed(spark, scratch_path(spark, "weekly"), frames, files.WEEKLY_FILES)
+    read = _landed(spark, scratch_path(spark, "weekly"), frames, files.read_weekly)
     return _stacked(read, {"Store": "string", "Date": "string", "IsHoliday": "string"})
 
 
@@ -72,7 +73,7 @@ def q_src_daily(spark, sf):
     stores = stores.withColumn("CompetitionDistance", F.nullif("CompetitionDistance", F.lit("NA")))
     frames = {"train.csv": proxy.raw_daily_train(spark, sf), "test.csv": proxy.raw_daily_test(spark, sf),
               "store.csv": stores}
-    read = _landed(spark, scratch_path(spark, "daily"), frames, files.DAILY_FILES)
+    read = _landed(spark, scratch_path(spark, "daily"), frames, files.read_daily)
     return _stacked(read, {"Open": "double"})
 
 
@@ -83,6 +84,52 @@ def q_src_transactions(spark, sf):
     return files.read_transactions(spark, path)
 
 
+_DAMAGE = "case l_linenumber when 4 then 'price' when 5 then 'extra' when 6 then 'short' when 7 then 'quantity' else 'none' end"
+
+
+def _damaged_lines(spark, sf):
+    """Invoice lines as CSV text, some of them damaged by their line number:
+    text in a number, a field too many, missing trailing fields."""
+    li = proxy.table(spark, sf, "lineitem")
+    kind = F.expr(_DAMAGE)
+    price = F.when(kind == "price", "n/a").otherwise(F.col("l_extendedprice").cast("string"))
+    amount = F.when(kind == "quantity", "a few").otherwise(F.col("l_quantity").cast("string"))
+    head = [F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), F.lit('"item, ""quoted"""'), amount,
+            F.col("l_shipdate").cast("string"), price]
+    tail = F.when(kind == "short", "").when(kind == "extra", ",1,Nowhere,beyond").otherwise(",1,Nowhere")
+    return li.select(F.concat(F.concat_ws(",", *head), tail).alias("value"))
+
+
+def _damaged_load(spark, sf):
+    path = scratch_path(spark, "damaged")
+    _damaged_lines(spark, sf).write.text(path)
+    return files.load_csv(spark, path, files.TRANSACTIONS, jagged=True, header=False)
+
+
+@query("src_rejects", f"""
+select reason, field, value, count(*) as records from (
+  select case damage when 'extra' then 'too_many_fields' else 'bad_value' end as reason,
+         case damage when 'price' then 'Price' when 'quantity' then 'Quantity' end as field,
+         case damage when 'price' then 'n/a' when 'quantity' then 'a few' end as value
+  from (select {_DAMAGE} as damage from lineitem) where damage in ('price', 'quantity', 'extra')) group by all
+""")
+def q_src_rejects(spark, sf):
+    """The reject table of a load with damaged lines, by reason and bad field."""
+    rejected = _damaged_load(spark, sf).rejected
+    return (rejected.select("reason", F.get("fields", F.lit(0)).alias("field"), F.get("values", F.lit(0)).alias("value"))
+            .groupBy("reason", "field", "value").agg(F.count("*").alias("records")))
+
+
+@query("src_accepted", f"""
+select cast(l_orderkey as varchar) as Invoice, 'item, "quoted"' as Description, cast(l_quantity as double) as Quantity,
+       cast(l_extendedprice as double) as Price, case when damage = 'short' then null else 'Nowhere' end as Country
+from (select *, {_DAMAGE} as damage from lineitem) where damage in ('none', 'short')
+""")
+def q_src_accepted(spark, sf):
+    """The rows that the same load accepts: short ones padded with NULL."""
+    return _damaged_load(spark, sf).accepted.select("Invoice", "Description", "Quantity", "Price", "Country")
+
+
 @query("src_table", W("select store_id, dept_id, sale_date, weekly_sales, is_holiday "
                       "from positive_demand", "positive_demand"))
 def q_src_table(spark, sf):
@@ -97,7 +144,6 @@ def q_src_parquet_optional(spark, sf):
     base = scratch_path(spark, "forecasts")
     files.write_parquet(seasonal_output(spark, sf), f"{base}/seasonal")
     found = files.read_parquet_optional(spark, [f"{base}/seasonal", f"{base}/gbt"])
-    from sparkretail.operators.forecast_table import union_models
     return union_models(found).select(*forecast.FORECAST_COLUMNS)
 
 
@@ -118,20 +164,22 @@ def q_src_manifest_check(spark, sf):
 
 @query("snk_truncate", W("select * from stg_daily_sales", "stg_daily_sales"))
 def q_snk_truncate(spark, sf):
+    """An overwriting load that is run again, also under the same run_id."""
     path = scratch_path(spark, "stg_daily_sales")
     df = builds.daily_staging(spark, sf)
-    files.write_parquet(df, path)
-    files.write_parquet(df, path)  # re-run overwrites: idempotent
-    return spark.read.parquet(path)
+    committed.write(df.limit(1), path, "first", "overwrite")
+    for _ in range(2):
+        committed.write(df, path, "second", "overwrite")
+    return committed.read(spark, path, df.schema)
 
 
 @query("snk_append", W("select * from forecast_log", "forecast_log"))
 def q_snk_append(spark, sf):
-    from sparkretail.operators.forecast_table import append_run, read_table, stamp
+    """Two runs, the first one sent twice: it is in the table once."""
     path = scratch_path(spark, "mart_demand_forecast")
     out = model_outputs(spark, sf)
-    for rid, ts in RUNS:
-        append_run(stamp(out, rid, ts), path)
+    for rid, ts in (RUNS[0], *RUNS):
+        append_run(stamp(out, rid, ts), path, rid)
     return read_table(spark, path)
 
 
@@ -176,10 +224,10 @@ def q_snk_json(spark, sf):
 @query("load_count", W("select * from raw_daily", "raw_daily"))
 def q_load_count(spark, sf):
     path = scratch_path(spark, "daily_load")
-    observed, obs = files.observe_count(proxy.raw_daily_train(spark, sf), "daily_load")
-    files.write_parquet(observed, path)
-    log.info("loaded %d rows -> %s", obs.get["rows"], path)  # observed during the write
-    return spark.read.parquet(path)
+    df = proxy.raw_daily_train(spark, sf)
+    done = committed.write(df, path, "load", "overwrite")
+    log.info("loaded %d rows -> %s", done.rows, path)  # observed during the write
+    return committed.read(spark, path, df.schema)
 
 
 @query("stream_stg_weekly_sales", W("select * from stg_weekly_sales", "stg_weekly_sales"))

@@ -10,8 +10,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Settings the library relies on. ANSI makes strict casts fail loudly (the
 # reference's cast/parse_date), try_* functions are the lenient forms.
@@ -46,6 +49,7 @@ def get_session(master: str | None = None, app: str = "sparkretail",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+    ship_package(spark)
     return spark
 
 
@@ -55,6 +59,24 @@ def pin_time_zone(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application: they find it
+    wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix=f"{root.name}-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -76,9 +98,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/sparkretail/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/sparkretail/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path in this application's part of the shared
+    checkpoint folder."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str = "table"):
@@ -90,17 +117,52 @@ def materialize(df, name: str = "table"):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_STORED: dict[tuple[str, str, str], tuple] = {}
+def content_key(spark: SparkSession, folder: str) -> str:
+    """A hash over the names, sizes and times of all files below a folder:
+    what is derived from its tables is stale once it changes. File metadata
+    only; one row reaches the driver."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+             .select("path", "length", "modificationTime"))
+    parts = F.xxhash64("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"),
+                    F.bit_xor(parts).alias("names")).first()
+    return f"{row.n}-{row.size}-{row.names}"
+
 
+_STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
 
-def stored_once(spark: SparkSession, name: str, sf_dir: str, build):
+
+def kept_once(spark: SparkSession, name: str, sf_dir: str, build, refresh: bool = False):
+    """What ``build()`` gives, kept for every later use in the same application
+    over the same input. Input that has changed since (``content_key``), or
+    ``refresh``, builds anew; only the latest result is kept."""
+    key, content = (spark.sparkContext.applicationId, sf_dir, name), content_key(spark, sf_dir)
+    if refresh or key not in _STORED or _STORED[key][0] != content:
+        _STORED[key] = content, build()
+    return _STORED[key][1]
+
+
+def stored_once(spark: SparkSession, name: str, sf_dir: str, build, refresh: bool = False):
     """The table that ``build()`` gives, written on first use and read back by
     every later query of the same application over the same input."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
+    def write():
         df = build()
         path = scratch_path(spark, name)
         df.write.parquet(path)
-        _STORED[key] = (path, df.schema)
-    path, schema = _STORED[key]
+        return path, df.schema
+
+    path, schema = kept_once(spark, name, sf_dir, write, refresh)
     return spark.read.schema(schema).parquet(path)
+
+
+def forget_stored() -> None:
+    """Let every table and model be built anew on its next use."""
+    _STORED.clear()
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application in the shared folder and
+    forget what was stored in them. Call it when no result is read any more."""
+    forget_stored()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
