@@ -8,6 +8,8 @@ the number of weeks, not by the data volume.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,10 +73,11 @@ def total_markdown(cols=("markdown1", "markdown2", "markdown3", "markdown4", "ma
     return expr
 
 
-def mart_demand_features(stg: DataFrame, leak_free: bool = False) -> DataFrame:
-    """27-column ML feature table, one row per store, department and week."""
+def mart_demand_features(stg: DataFrame, leak_free: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """27-column ML feature table, one row per store, department and week;
+    ``keep`` names further columns to carry along."""
     return stg.select(
-        "store_id", "dept_id", "sale_date", "weekly_sales",
+        *keep, "store_id", "dept_id", "sale_date", "weekly_sales",
         *calendar_parts(),
         F.quarter("sale_date").alias("quarter"),
         holiday_season("sale_date").alias("is_holiday_season"),
@@ -89,9 +92,48 @@ def mart_demand_features(stg: DataFrame, leak_free: bool = False) -> DataFrame:
         rolling_mean("weekly_sales", 13, leak_free=leak_free).alias("rolling_13wk_avg"))
 
 
+#: rows of a series that its next row's lags and rolling means look back on
+TAIL_ROWS = 52
+
+
+def series_tail(stg: DataFrame, rows: int = TAIL_ROWS, keys=SERIES_KEYS) -> DataFrame:
+    """The last rows of each series."""
+    latest = Window.partitionBy(*keys).orderBy(F.desc("sale_date"))
+    return stg.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= rows).drop("_back")
+
+
+@dataclass(frozen=True)
+class Refresh:
+    """What arrivals add: new mart rows, the next tail, and arrivals that are
+    not later than their series (their weeks are history and need a rebuild)."""
+
+    rows: DataFrame
+    tail: DataFrame
+    late: DataFrame
+
+
+def refresh_demand_features(tail: DataFrame, arrivals: DataFrame, leak_free: bool = False) -> Refresh:
+    """The feature rows of new weeks from the tail (``series_tail`` of what was
+    there before) and the arrivals alone; history is not read. Both have the
+    staging columns. A series without a tail starts with its arrivals."""
+    last = F.max(F.when(~F.col("_new"), F.col("sale_date"))).over(Window.partitionBy(*SERIES_KEYS))
+    both = (tail.withColumn("_new", F.lit(False)).unionByName(arrivals.withColumn("_new", F.lit(True)))
+            .withColumn("_late", F.col("_new") & (F.coalesce(F.col("sale_date") <= last, F.lit(False)))))
+    use = both.where(~F.col("_late"))
+    rows = mart_demand_features(use, leak_free, keep=("_new",)).where("_new").drop("_new")
+    return Refresh(rows, series_tail(use.drop("_new", "_late")), both.where("_late").drop("_new", "_late"))
+
+
 EXTERNAL_SCALE = 10  # decimals kept of prices, rates and indices that are not money
 
 
+def distinct_count(col: str) -> Column:
+    """Exact number of distinct values without expanding the rows: the sets
+    are merged partially. For columns that have few values per group (weeks and
+    departments of a store)."""
+    return F.size(F.collect_set(col)).cast("bigint")
+
+
 def mart_store_features(stg: DataFrame) -> DataFrame:
     """One row per store: sales statistics, holiday split, distinct weeks and
     departments, mean external features (all rounded to 2 places)."""
@@ -105,8 +147,8 @@ def mart_store_features(stg: DataFrame) -> DataFrame:
         round_half_away(F.stddev_samp(sales)).alias("stddev_weekly_sales"),
         round_half_away(exact_avg(F.when(hol, sales))).alias("avg_holiday_sales"),
         round_half_away(exact_avg(F.when(~hol, sales))).alias("avg_non_holiday_sales"),
-        F.countDistinct("sale_date").alias("num_weeks"),
-        F.countDistinct("dept_id").alias("num_depts"),
+        distinct_count("sale_date").alias("num_weeks"),
+        distinct_count("dept_id").alias("num_depts"),
         round_half_away(exact_avg("temperature", EXTERNAL_SCALE)).alias("avg_temperature"),
         round_half_away(exact_avg("fuel_price", EXTERNAL_SCALE)).alias("avg_fuel_price"),
         round_half_away(exact_avg("cpi", EXTERNAL_SCALE)).alias("avg_cpi"),

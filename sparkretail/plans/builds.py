@@ -3,17 +3,20 @@
 These are the end-to-end models of SURVEY §2.11 as functions of
 ``(spark, sf_dir)``; every query in the catalog starts from one of them.
 Staging and the feature mart are written once per application and input, in
-the shared folder; whatever builds on them reads the columns it needs.
+the shared folder and bucketed by store; whatever builds on them reads the
+columns it needs, without an exchange for work by store or series.
 """
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkretail.operators import marts, staging
-from sparkretail.session import pin_time_zone, stored_once
-from sparkretail.sources import proxy
+from sparkretail.session import bucketed_once, pin_time_zone, scratch_path, stored_once
+from sparkretail.sources import committed, proxy
 
 
 def weekly_staging(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFrame:
@@ -32,7 +35,9 @@ def transactions_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_table(spark: SparkSession, sf_dir: str, grain: str = "week") -> DataFrame:
-    return stored_once(spark, f"stg_weekly_{grain}", sf_dir, lambda: weekly_staging(spark, sf_dir, grain))
+    """The staging model, bucketed by store: every mart reads it without an exchange."""
+    return bucketed_once(spark, f"stg_weekly_{grain}", sf_dir, lambda: weekly_staging(spark, sf_dir, grain),
+                         "store_id", ("store_id", "dept_id", "sale_date"))
 
 
 def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +49,35 @@ def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demand_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_once(spark, "mart_demand_features", sf_dir, lambda: demand_features(spark, sf_dir))
-
+    return bucketed_once(spark, "mart_demand_features", sf_dir, lambda: demand_features(spark, sf_dir),
+                         "store_id", ("store_id", "dept_id", "sale_date"))
+
+
+def incremental_demand(spark: SparkSession, sf_dir: str, cuts: tuple[float, ...] = (0.5, 0.75, 0.9)) -> DataFrame:
+    """The feature mart built up to a first cut of the weeks and refreshed to
+    each next one: rows appended and tails replaced as committed runs. A run
+    reads the tail that belongs to the mart's last run, so one that broke off
+    between its two commits is simply run again."""
+    stg = weekly_table(spark, sf_dir)
+    days = stg.agg(F.min("sale_date").alias("a"), F.datediff(F.max("sale_date"), F.min("sale_date")).alias("n")).first()
+    ends = [days.a + timedelta(days=int(days.n * c)) for c in (*cuts, 1.0)]
+    mart, tails = scratch_path(spark, "demand_mart"), scratch_path(spark, "demand_tails")
+    start = None
+    for end in ends:
+        arrivals = stg.where((F.col("sale_date") <= F.lit(end)) & (F.lit(True) if start is None else F.col("sale_date") > F.lit(start)))
+        refresh_run(spark, mart, tails, str(end), arrivals)
+        start = end
+    return committed.read(spark, mart, demand_features(spark, sf_dir).schema)
+
+
+def refresh_run(spark: SparkSession, mart: str, tails: str, run_id: str, arrivals: DataFrame) -> None:
+    """One refresh of the mart at a path, under a run id."""
+    runs = committed.commits(spark, mart)
+    history = {c.run_id: c.version for c in committed.commits(spark, tails)}
+    tail = committed.read(spark, tails, arrivals.schema, history[runs[-1].run_id] if runs else 0)
+    new = marts.refresh_demand_features(tail, arrivals)
+    committed.write(new.tail, tails, run_id, "overwrite")
+    committed.write(new.rows, mart, run_id)
 
 def positive_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature mart as every model reads it: ``weekly_sales > 0``

@@ -34,6 +34,12 @@ def q_mart_demand_features(spark, sf):
     return builds.demand_features(spark, sf)
 
 
+@query("mart_demand_incremental", W("select * from mart_demand_features", "mart_demand_features"))
+def q_mart_demand_incremental(spark, sf):
+    """The feature mart grown by refreshes that read no history."""
+    return builds.incremental_demand(spark, sf)
+
+
 @query("mart_store_features", W("select * from mart_store_features", "mart_store_features"))
 def q_mart_store_features(spark, sf):
     return marts.mart_store_features(builds.weekly_table(spark, sf))
@@ -108,8 +114,8 @@ def q_agg_conditional_avg(spark, sf):
     "select store_id, num_weeks, num_depts from mart_store_features", "mart_store_features"))
 def q_agg_count_distinct(spark, sf):
     return builds.weekly_table(spark, sf).groupBy("store_id").agg(
-        F.countDistinct("sale_date").alias("num_weeks"),
-        F.countDistinct("dept_id").alias("num_depts"))
+        marts.distinct_count("sale_date").alias("num_weeks"),
+        marts.distinct_count("dept_id").alias("num_depts"))
 
 
 @query("agg_external_avg", W(

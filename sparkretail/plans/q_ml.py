@@ -6,12 +6,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkretail.functions import scalar as S
-from sparkretail.operators import drift, forecast, metrics, season_trend
+from sparkretail.operators import drift, drift_sketch, forecast, metrics, season_trend
 from sparkretail.plans import builds
 from sparkretail.plans import oracle as O
 from sparkretail.plans import oracle_ml  # noqa: F401  (registers the CTEs)
 from sparkretail.plans.catalog import query
-from sparkretail.session import kept_once
+from sparkretail.session import kept_once, scratch_path
+from sparkretail.sources import committed
 
 W = O.with_ctes
 KEYS = "store_id, dept_id, sale_date"
@@ -241,6 +242,18 @@ def q_ml_psi_numeric(spark, sf):
     return drift.psi_numeric(_split(spark, sf))
 
 
+@query("ml_psi_sketch")
+def q_ml_psi_sketch(spark, sf):
+    """``ml_psi_numeric`` from stored sketches, one per feature and week: the
+    sketches of the baseline and of each recent week are runs of their own."""
+    path = scratch_path(spark, "drift_sketches")
+    split = _split(spark, sf)
+    for name, part in (("baseline", ~F.col("is_recent")), ("recent", F.col("is_recent"))):
+        committed.write(drift_sketch.sketch_periods(split.where(part)), f"{path}/{name}", name)
+    base, recent = (committed.read(spark, f"{path}/{n}", drift_sketch.SKETCH_STRUCT) for n in ("baseline", "recent"))
+    return drift_sketch.psi_numeric(base, recent)
+
+
 @query("ml_psi_categorical", W("select * from psi_categorical", "psi_categorical"))
 def q_ml_psi_categorical(spark, sf):
     return drift.psi_categorical(_split(spark, sf))

@@ -3,6 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from sparkretail.operators import marts
+from sparkretail.plans import builds
+from sparkretail.sources import committed
 
 STG = ("store_id long, dept_id long, sale_date date, weekly_sales double, is_holiday boolean, "
        "store_type string, store_size long, temperature double, fuel_price double, "
@@ -87,3 +89,47 @@ def test_calendar_lag_leaves_gaps(spark):
     got = df.select("weekly_sales", marts.lag_weeks("weekly_sales", 1).alias("x"),
                     marts.lag_rows("weekly_sales", 1).alias("y")).orderBy("weekly_sales").collect()
     assert [(r.x, r.y) for r in got] == [(None, None), (0.0, 0.0), (None, 1.0), (3.0, 3.0)]
+
+
+def _stg(spark, rows):
+    return spark.createDataFrame([(*r, False, "A", 1, 1.0, 1.0, None, 0.0, -1.0, 2.0, 3.5, 1.0, 1.0) for r in rows], STG)
+
+
+def test_week_by_week_refresh_equals_the_rebuild(spark, tmp_path):
+    day = lambda w: dt.date(2010, 1, 3) + dt.timedelta(days=7 * w)
+    # a gap, a series that ends and one that starts late
+    rows = [(s, d, day(w), float(10 * s + d + w % 7)) for s, d, a, b in ((1, 1, 0, 70), (1, 2, 0, 60), (2, 1, 58, 70))
+            for w in range(a, b) if (s, d, w) != (1, 1, 20)]
+    whole = marts.mart_demand_features(_stg(spark, rows))
+    mart, tails = str(tmp_path / "mart"), str(tmp_path / "tails")
+    for a, b in ((0, 56), *((w, w + 1) for w in range(56, 62)), (62, 70)):
+        batch = _stg(spark, [r for r in rows if day(a) <= r[2] < day(b)])
+        builds.refresh_run(spark, mart, tails, f"w{b}", batch)
+        builds.refresh_run(spark, mart, tails, f"w{b}", batch)  # repeated: nothing changes
+    got = committed.read(spark, mart, whole.schema)
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and len(rows) == got.count()
+
+
+def test_refresh_after_a_run_that_broke_off(spark, tmp_path):
+    """The tail was committed, the mart was not: the run is repeated from the
+    tail that belongs to the mart's last run."""
+    day = lambda w: dt.date(2010, 1, 3) + dt.timedelta(days=7 * w)
+    rows = [(1, 1, day(w), float(w)) for w in range(6)]
+    mart, tails = str(tmp_path / "mart"), str(tmp_path / "tails")
+    builds.refresh_run(spark, mart, tails, "a", _stg(spark, rows[:3]))
+    first = marts.series_tail(_stg(spark, rows[:3]))
+    new = marts.refresh_demand_features(first, _stg(spark, rows[3:]))
+    committed.write(new.tail, tails, "b", "overwrite")
+    builds.refresh_run(spark, mart, tails, "b", _stg(spark, rows[3:]))
+    whole = marts.mart_demand_features(_stg(spark, rows))
+    assert sorted(map(str, committed.read(spark, mart, whole.schema).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_late_arrivals_are_told_apart(spark):
+    tail = _stg(spark, [(1, 1, dt.date(2010, 2, 7), 5.0)])
+    new = marts.refresh_demand_features(tail, _stg(spark, [(1, 1, dt.date(2010, 1, 3), 1.0), (1, 1, dt.date(2010, 2, 14), 2.0),
+                                                           (2, 1, dt.date(2010, 1, 3), 3.0)]))
+    assert sorted((r.store_id, r.weekly_sales, r.sales_lag_1wk) for r in new.rows.collect()) == [(1, 2.0, 5.0), (2, 3.0, None)]
+    assert [r.weekly_sales for r in new.late.collect()] == [1.0] and new.tail.count() == 3
+    plan = new.rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
