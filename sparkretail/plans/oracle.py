@@ -175,7 +175,7 @@ from (select Store as store_id, Date as sale_date, DayOfWeek as day_of_week, Sal
              (select [StoreType, Assortment, CompetitionDistance, CompetitionOpenSinceMonth,
                       CompetitionOpenSinceYear, cast(Promo2 as varchar), Promo2SinceWeek, Promo2SinceYear,
                       PromoInterval] from raw_daily_stores s where s.Store = d.Store) as a
-      from raw_daily d where not (Open <> 1 or Sales <= 0))
+      from raw_daily d where Open = 1 and Sales > 0)
 """
 
 STG_TRANSACTIONS = """
@@ -186,7 +186,7 @@ from (select Invoice as invoice_id, StockCode as stock_code,
              cast(sign(Quantity) * floor(abs(Quantity) + 0.5) as bigint) as quantity,
              InvoiceDate::timestamp as stamped, Price::double as unit_price, Customer_ID as customer_id, Country as country
       from raw_transactions
-      where not (StockCode is null or Description is null or Quantity is null or Price is null))
+      where StockCode is not null and Description is not null and Quantity is not null and Price is not null)
 where unit_price > 0
 """
 
@@ -236,8 +236,8 @@ from series s join rolls using (store_id, dept_id, rn) left join year_back using
 MART_DEMAND = f"""
 select s.store_id, s.dept_id, s.sale_date, s.weekly_sales,
        datepart('year', sale_date)::int as year, datepart('month', sale_date)::int as month,
-       {week_sunday('sale_date')} as week_of_year, ((datepart('month', sale_date) + 2) // 3)::int as quarter,
-       (datepart('month', sale_date) > 10)::int as is_holiday_season,
+       {week_sunday('sale_date')} as week_of_year, quarter(sale_date)::int as quarter,
+       (month(sale_date) in (11, 12))::int as is_holiday_season,
        coalesce(is_holiday, false)::int as is_holiday, store_type, store_size, temperature, fuel_price, cpi, unemployment,
        has_markdown1, has_markdown2, has_markdown3, has_markdown4, has_markdown5, total_markdown,
        lag1 as sales_lag_1wk, lag4 as sales_lag_4wk, lag52 as sales_lag_52wk,

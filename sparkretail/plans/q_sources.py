@@ -147,19 +147,25 @@ def q_src_parquet_optional(spark, sf):
     return union_models(found).select(*forecast.FORECAST_COLUMNS)
 
 
-@query("src_manifest_check", """
-select * from (values ('train.csv', 'ok'), ('test.csv', 'missing_or_empty'), ('stores.csv', 'ok'),
-                      ('features.csv', 'ok')) t(file_name, status)
-where exists (select 1 from lineitem)
-""")
+@query("src_manifest_check", W("""
+select file_name, case when rows > 0 then 'ok' else 'missing_or_empty' end as status, rows > 1 as has_rows from (
+  select 'train.csv' as file_name, 1 + count(*) as rows from raw_sales union all
+  select 'stores.csv', 1 + count(*) from raw_stores union all
+  select 'features.csv', 1 + count(*) from raw_features union all
+  select 'test.csv', 0)
+""", "raw_sales", "raw_stores", "raw_features"))
 def q_src_manifest_check(spark, sf):
+    """Names, and whether a file holds more than its header, from the files
+    themselves: test.csv was never landed."""
     base = scratch_path(spark, "manifest")
-    w, s, f = proxy.weekly_inputs(spark, sf)
-    files.write_csv(w, f"{base}/train.csv")
-    files.write_csv(s, f"{base}/stores.csv")
-    files.write_csv(f, f"{base}/features.csv")
-    # test.csv was never landed: reported as missing
-    return files.manifest(spark, base, [*files.WEEKLY_FILES]).select("file_name", "status")
+    frames = dict(zip(("train.csv", "stores.csv", "features.csv"), proxy.weekly_inputs(spark, sf)))
+    for name, df in frames.items():
+        files.write_csv(df, f"{base}/{name}")
+    found = files.manifest(spark, base, [*files.WEEKLY_FILES])
+    header = F.lit(0)
+    for name, df in frames.items():
+        header = F.when(F.col("file_name") == name, len(",".join(df.columns)) + 1).otherwise(header)
+    return found.select("file_name", "status", (F.coalesce("size_bytes", F.lit(0)) > header).alias("has_rows"))
 
 
 @query("snk_truncate", W("select * from stg_daily_sales", "stg_daily_sales"))

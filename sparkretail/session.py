@@ -157,10 +157,10 @@ def stored_once(spark: SparkSession, name: str, sf_dir: str, build, refresh: boo
 
 def bucketed_once(spark: SparkSession, name: str, sf_dir: str, build, by: str, sort: tuple[str, ...], refresh: bool = False):
     """``stored_once`` as a table bucketed by a key and sorted within: windows,
-    group-bys and joins on that key read it without an exchange. As many
-    buckets as shuffle partitions, each written by one task."""
+    group-bys and joins on that key read it without an exchange. Three buckets
+    a core, but no more than shuffle partitions, each written by one task."""
     def write() -> str:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
         table = f"{name}_{uuid.uuid4().hex[:12]}"
         (build().repartition(buckets, by).write.bucketBy(buckets, by).sortBy(*sort)
          .option("path", scratch_path(spark, name)).saveAsTable(table))
