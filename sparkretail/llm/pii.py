@@ -7,17 +7,25 @@ the key, its kind and its canonical form, so every mention of an entity in any
 document gets the same one: digits become digits, letters letters of the same
 case and script, hexadecimal stays hexadecimal, separators stay, card numbers
 keep a valid check digit, addresses move to reserved ranges, and names follow
-the title's gender and the script. Family and given names have surrogates of
-their own, so a family name after a title and the full name agree.
-
-Collision checks run over the distinct entities of all documents: two entities
-of one kind with the same surrogate, or a surrogate that is itself an entity of
-the documents, are drawn again (``attempt`` + 1) until none is left. Attempts
-widen the surrogates (longer local parts and names at once, more digits or
-octets where a format is nearly full), so there is always a free one. Entities
-drawn again are joined back to their documents.
-
-Null texts stay null; texts without an entity stay as they are.
+the title's gender and the script. Family and given names, and the local part
+and the domain of an address, have surrogates of their own, so a family name
+after a title and the full name agree and so do two addresses of one domain.
+
+1. Texts are searched once; rows with their matches are stored under a row
+   number of their own.
+2. The distinct entities of all mentions, with their surrogates, are one table
+   (``draw``). Two entities of one kind with the same surrogate, or a surrogate
+   that is itself an entity of the documents, are drawn again (``attempt`` + 1)
+   until none is left. Attempts widen the surrogates (longer local parts,
+   domains and names at once, more digits where a format is nearly full), so
+   there is a free one; IPv4 goes on to the other reserved ranges, and more
+   distinct addresses than those hold raise an error at once.
+3. Surrogates are joined back to the mentions, and those to their rows.
+
+Null texts stay null; texts without an entity stay as they are. A null doc_id,
+repeated rows and extra columns, whatever their names, do not matter; columns
+of ``docs`` called ``n_entities`` or ``kinds`` are replaced. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,7 +51,7 @@ _NUMBER = "|".join((  # what follows the country code, then national numbers
 PATTERNS = {
     "email": rf"(?<![{L}\d._%+\-])[{L}\d._%+\-]++@[{L}\d\-]++(?:\.[{L}\d\-]++)+",
     "secret": rf"(?i:(?<![{L}\d])(?:password|passwd|pwd|secret|token|api[_\-]?key)(?:[_\-](?:access[_\-])?key)?)[\"']?\s{{0,3}}[=:]\s{{0,3}}"
-              r"(?:[\"'][^\"'\s]{8,128}+|[\"']?[A-Za-z0-9_\-]{8,}+)",
+              r"(?:[\"'][^\"'\s]{8,}+|[\"']?[A-Za-z0-9_\-]{8,}+)",
     "access_key": r"(?<![A-Za-z0-9])(?i:AKIA|ASIA)[A-Za-z0-9]{16}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ipv4": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
@@ -129,13 +137,22 @@ def _has_given(value: Column) -> Column:
 
 def entities(kind: Column, value: Column) -> Column:
     """What surrogates are drawn for: family and given names apart, so that a
-    family name alone and the full name agree."""
-    family = F.struct(F.lit("family").alias("kind"), _family_of(value).alias("value"))
-    given = F.struct(F.lit("given").alias("kind"), value.alias("value"))
-    return (F.when((kind == "person") & _has_given(value), F.array(family, given)).when(kind == "person", F.array(family))
+    family name alone and the full name agree, and an address's local part
+    (free in its domain) and its domain."""
+    one = lambda k, v: F.struct(F.lit(k).alias("kind"), v.alias("value"))
+    return (F.when((kind == "person") & _has_given(value), F.array(one("family", _family_of(value)), one("given", value)))
+            .when(kind == "person", F.array(one("family", _family_of(value))))
+            .when(kind == "email", F.array(one("local", value), one("domain", F.substring_index(value, "@", -1))))
             .otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value")))))
 
 
+def assembled(kind: Column, part) -> Column:
+    """The surrogate of a mention; ``part(kind)`` is that of its entity."""
+    given = F.substring_index(part("given"), "|", 1)
+    return (F.when(kind == "email", F.concat(F.substring_index(part("local"), "@", 1), F.lit("@"), part("domain")))
+            .when(kind == "person", F.initcap(F.concat_ws(" ", given, part("family")))).otherwise(part(kind)))
+
+
 def _hash(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value)
     return F.concat(F.sha2(seed, 512), F.sha2(F.concat(seed, F.lit("|more")), 512))
@@ -145,12 +162,10 @@ def _byte(h: Column, i: Column) -> Column:
     return F.conv(F.substr(h, (F.pmod(i, F.lit(128)) * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
 
 
-def _scrambled(h: Column, value: Column, first: int = 0, hexa: Column | None = None) -> Column:
+def _scrambled(h: Column, value: Column, first: Column, hexa: Column) -> Column:
     """``value`` (lower case) with each digit and letter replaced by one of
-    its class and script; other characters and the first ones stay. Values
-    of hexadecimal digits alone stay such unless ``hexa`` says otherwise."""
-    hexa = value.rlike("^[0-9a-f]+$") if hexa is None else hexa
-
+    its class and script (hexadecimal letters by such if ``hexa``); other
+    characters and the first ones stay."""
     def one(c: Column, i: Column) -> Column:
         b, p = _byte(h, i), F.ascii(c)
         put = lambda start, n: F.chr((F.lit(start) + F.pmod(b, F.lit(n))).cast("long"))
@@ -177,8 +192,8 @@ def _luhn(digits: Column) -> Column:
     return F.pmod(F.aggregate(pairs, F.lit(0), add), F.lit(10))
 
 
-def _card(h: Column, value: Column, extra: Column) -> Column:
-    new = _scrambled(h, F.concat(value, extra))
+def _checked(new: Column, value: Column) -> Column:
+    """``new`` with a valid check digit if ``value`` has one."""
     body = F.substr(new, F.lit(1), F.length(new) - 1)
     check = F.pmod(F.lit(10) - _luhn(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     return F.when(_luhn(value) == 0, F.concat(body, check)).otherwise(new)
@@ -216,38 +231,49 @@ def _given(h: Column, value: Column, attempt: Column) -> Column:
     return F.concat(F.concat_ws(" ", F.lower(name), middle), F.lit("|"), _family_of(value))
 
 
-def person(key: str, value: Column, attempt) -> Column:
-    """Surrogate names of a canonical person; ``attempt(kind, value)``."""
-    def draw(how, kind: str, v: Column) -> Column:
-        return how(_hash(key, F.lit(kind), v, attempt(F.lit(kind), v)), v, attempt(F.lit(kind), v))
+#: reserved IPv4 ranges: first octets in bits, and the bits that are free
+RESERVED = (("00001010", 24), ("101011000001", 20), ("1100000010101000", 16), ("110001100001001", 17),
+            ("0110010001", 22), ("1111", 28))
+RESERVED_ADDRESSES = sum(1 << bits for _, bits in RESERVED)
+
 
-    given = F.when(_has_given(value), F.substring_index(draw(_given, "given", value), "|", 1))
-    return F.initcap(F.concat_ws(" ", given, draw(_family, "family", _family_of(value))))
+def _ipv4(h: Column, attempt: Column) -> Column:
+    """10.0.0.0/8 at first, then each reserved range in turn."""
+    bits = F.lpad(F.conv(F.substr(h, F.lit(1), F.lit(8)), 16, 2), 32, "0")
+    turn = F.when(attempt < 8, 0).otherwise(F.pmod(attempt, F.lit(len(RESERVED))))
+    whole = F.lit(None).cast("string")
+    for i, (head, free) in enumerate(RESERVED):
+        whole = F.when(turn == i, F.concat(F.lit(head), F.right(bits, F.lit(free)))).otherwise(whole)
+    octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.conv(F.substr(whole, i * 8 + 1, F.lit(8)), 2, 10))
+    return F.array_join(octets, ".")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     """The canonical surrogate of a canonical entity."""
-    h = _hash(key, kind, value, attempt)
-    local, domain = F.regexp_extract(value, "^([^@]*)", 1), F.regexp_extract(value, "@(.*)$", 1)
-    name, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.regexp_extract(domain, r"([^.]*)$", 1)
-    no = F.lit(False)
-    email = F.concat(_scrambled(h, F.concat(local, F.repeat(F.lit("x"), attempt)), hexa=no), F.lit("@"),
-                     _scrambled(_hash(key, F.lit("domain"), domain, F.lit(0)), name, hexa=no), F.lit("."), top, F.lit(".example"))
+    before, after = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+    name, top = F.regexp_extract(value, r"^(.*)\.[^.]*$", 1), F.substring_index(value, ".", -1)
+    longer = F.repeat(F.lit("x"), attempt)
     # formats of a fixed length are kept for some attempts, then they grow
-    grown = F.floor(attempt / F.lit(WIDEN_AFTER)).cast("int")
-    extra = F.repeat(F.lit("0"), grown)
-    octet = [F.pmod(_byte(h, F.lit(i)), F.lit(256)).cast("string") for i in range(1, 4)]
-    first = F.when(attempt < 8, F.lit("10")).otherwise((F.pmod(_byte(h, F.lit(0)), F.lit(200)) + 11).cast("string"))
-    more = F.transform(F.slice(F.sequence(F.lit(3), grown + 4), 2, grown), lambda i: _byte(h, i).cast("string"))
-    ipv4 = F.concat_ws(".", first, *octet, more)
-    return (F.when(kind == "email", email).when(kind == "ipv4", ipv4)
-            .when(kind == "card", _card(h, value, extra)).when(kind == "family", _family(h, value, attempt)).when(kind == "given", _given(h, value, attempt))
-            .when(kind == "access_key", _scrambled(h, F.concat(value, extra), 4))
-            .when(kind == "iban", _scrambled_upper(h, F.concat(value, extra))).otherwise(_scrambled(h, F.concat(value, extra))))
+    grown = F.repeat(F.lit("0"), F.floor(attempt / F.lit(WIDEN_AFTER)).cast("int"))
+    mould = (F.when(kind == "local", F.concat(before, longer)).when(kind == "domain", F.concat(name, longer))
+             .otherwise(F.concat(F.lower(value), grown)))
+    hexa = ~kind.isin("local", "domain") & mould.rlike("^[0-9a-f]+$")
+    first = F.when(kind == "access_key", 4).when(kind == "iban", 2).otherwise(0)
 
+    def shaped(h: Column) -> Column:
+        return _let(_scrambled(h, mould, first, hexa), lambda s: (
+            F.when(kind == "local", F.concat(s, F.lit("@"), after))
+            .when(kind == "domain", F.concat(s, F.lit("."), top, F.lit(".example")))
+            .when(kind == "card", _checked(s, value)).when(kind == "iban", F.upper(s)).otherwise(s)))
 
-def _scrambled_upper(h: Column, value: Column) -> Column:
-    return F.upper(_scrambled(h, F.lower(value), 2))
+    return _let(_hash(key, kind, value, attempt), lambda h: (
+        F.when(kind == "ipv4", _ipv4(h, attempt)).when(kind == "family", _family(h, value, attempt))
+        .when(kind == "given", _given(h, value, attempt)).otherwise(shaped(h))))
 
 
 def poured(kind: Column, m: Column, new: Column) -> Column:
@@ -277,67 +303,63 @@ def poured(kind: Column, m: Column, new: Column) -> Column:
                         F.array_join(signs, ""), F.substr(new, F.length(rest) + 1, F.length(new)))).otherwise(filled))
 
 
-def _mentions(text: Column) -> Column:
-    def one(m: Column) -> Column:
-        kind = kind_of(m)
-        return F.struct(kind.alias("kind"), canonical(kind, m).alias("value"))
-
-    found = F.transform(find_all(text), one)
-    return F.array_distinct(F.flatten(F.transform(found, lambda x: entities(x["kind"], x["value"]))))
+#: entities whose surrogates one task draws
+DRAWN_AT_ONCE = 2048
 
 
-def redrawn(docs: DataFrame, key: str, most_attempts: int = 64) -> DataFrame:
-    """``kind, value, attempt`` of the entities whose first surrogate collides."""
-    seen = stored(docs.select(F.explode(_mentions(F.col("text"))).alias("e")).select("e.kind", "e.value").distinct(), "entities")
-    drawn = canonical(F.col("kind"), surrogate(key, F.col("kind"), F.col("value"), F.col("attempt")))
-    table = stored(seen.withColumn("attempt", F.lit(0)).withColumn("new", drawn), "surrogates")
+def draw(seen: DataFrame, key: str) -> DataFrame:
+    """``kind, value, new`` of the distinct entities ``kind, value`` of a
+    stored table: surrogates without collisions, dealt over many tasks."""
+    sizes = seen.agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "ipv4").alias("ipv4")).first()
+    if sizes.ipv4 > RESERVED_ADDRESSES:
+        raise ValueError(f"{sizes.ipv4} distinct IPv4 addresses, {RESERVED_ADDRESSES} reserved ones")
+    drawn = surrogate(key, F.col("kind"), F.col("value"), F.col("attempt"))
+    table = stored(seen.repartition(-(-sizes.n // DRAWN_AT_ONCE) or 1, "kind", "value")
+                   .withColumn("attempt", F.lit(0)).withColumn("new", drawn), "surrogates")
     while True:
         # of the entities that share a surrogate the smallest keeps it; one that meets an entity of the texts never does
-        # surrogates are compared in canonical form: names and addresses are written in other cases
         first = table.groupBy("kind", "new").agg(F.min("value").alias("keeps"), F.count("*").alias("n"))
         shared = (table.join(first.where("n > 1"), ["kind", "new"]).where("value <> keeps").select("kind", "value"))
         taken = (table.join(seen.select("kind", F.col("value").alias("new")), ["kind", "new"], "left_semi")
                  .select("kind", "value"))
         again = stored(shared.union(taken).distinct(), "again")
         if again.isEmpty():
-            return table.where("attempt > 0").select("kind", "value", "attempt")
-        new = table.join(again, ["kind", "value"], "left_semi").withColumn("attempt", F.col("attempt") + 1)
-        if new.agg(F.max("attempt")).first()[0] > most_attempts:
-            raise RuntimeError("no free surrogate found, although they grow with the attempts")
-        new = new.withColumn("new", drawn)
+            return table.select("kind", "value", "new")
+        new = (table.join(again, ["kind", "value"], "left_semi").withColumn("attempt", F.col("attempt") + 1)
+               .withColumn("new", drawn))
         table = stored(table.join(again, ["kind", "value"], "left_anti").union(new.select(*table.columns)), "surrogates")
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column is called so."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
     """``docs`` with surrogates in ``text``, plus ``n_entities`` (mentions
     replaced) and ``kinds`` (distinct, sorted)."""
-    again = redrawn(docs, key)
-    value = F.concat_ws("|", "e.kind", "e.value")
-    # per document, the entities drawn again: few, and read from a stored table, so their size is known to the planner
-    drawn = stored(docs.select("doc_id", F.explode(_mentions(F.col("text"))).alias("e"))
-                   .join(again.select(F.struct("kind", "value").alias("e"), "attempt"), "e")
-                   .groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct(value, "attempt"))).alias("drawn_")), "drawn")
-
-    def one(m: Column) -> Column:
-        kind = kind_of(m)
-        # bound once each: a struct inside a one-element transform keeps the expressions from being repeated
-        return F.struct(kind.alias("kind"), m.alias("m"), canonical(kind, m).alias("value"))
-
-    attempt = lambda kind, value: F.coalesce(F.col("drawn_")[F.concat_ws("|", kind, value)], F.lit(0))
-    found = F.transform(F.col("matches_"), one)
-    new = F.transform(F.col("found_"), lambda x: F.struct(x["kind"].alias("kind"), x["m"].alias("m"), F.when(
-        x["kind"] == "person", person(key, x["value"], attempt)).otherwise(
-        surrogate(key, x["kind"], x["value"], attempt(x["kind"], x["value"]))).alias("new")))
-    shown = F.transform(F.col("new_"), lambda x: poured(x["kind"], x["m"], x["new"]))
-    gaps = F.split(F.col("text"), ANY, -1)
-    text = F.array_join(F.flatten(F.zip_with(gaps, F.col("shown_"), lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
-    has = F.size("matches_") > 0
-    return (docs.join(drawn, "doc_id", "left")
-            .withColumn("matches_", find_all(F.col("text")))
-            .withColumn("found_", F.when(has, found)).withColumn("new_", F.when(has, new))
-            .withColumn("shown_", F.when(has, shown))
-            .withColumn("text", F.when(has, text).otherwise(F.col("text")))
-            .withColumn("n_entities", F.when(has, F.size("matches_")).otherwise(0))
-            .withColumn("kinds", F.when(has, F.array_join(F.array_sort(F.array_distinct(F.transform(
-                "found_", lambda x: x["kind"]))), ",")).otherwise(""))
-            .drop("matches_", "found_", "new_", "shown_", "drawn_"))
+    docs = docs.drop("n_entities", "kinds")
+    row, found, gaps, shown = (_free(x, docs.columns) for x in ("row_number", "found", "gaps", "shown"))
+    texts = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(found, find_all(F.col("text")))
+                   .withColumn(gaps, F.when(F.size(found) > 0, F.split(F.col("text"), ANY, -1))), "matches")
+    matches = texts.where(F.size(found) > 0).select(F.col(row).alias("row"), F.posexplode(found).alias("at", "m"))
+    mentions = stored(matches.withColumn("kind", kind_of(F.col("m"))).withColumn("value", canonical(F.col("kind"), F.col("m"))),
+                      "mentions")
+    parts = mentions.withColumn("e", F.explode(entities(F.col("kind"), F.col("value"))))
+    table = draw(stored(parts.select("e.kind", "e.value").distinct(), "entities"), key)
+    drawn = table.select(F.struct("kind", "value").alias("e"), "new")
+    # the parts of a mention meet in its row's partition, and so do the row's mentions
+    part = lambda kind: F.max(F.when(F.col("e.kind") == kind, F.col("new")))
+    whole = (parts.select("row", "at", "m", "kind", "e").join(drawn, "e").repartition("row")
+             .groupBy("row", "at", "kind", "m").agg(assembled(F.col("kind"), part).alias("new")))
+    rows = (whole.select("row", "at", "kind", poured(F.col("kind"), F.col("m"), F.col("new")).alias("new"))
+            .groupBy(F.col("row").alias(row)).agg(
+                F.array_sort(F.collect_list(F.struct("at", "new"))).alias(shown), F.count("*").cast("int").alias("n_entities"),
+                F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds")))
+    text = F.array_join(F.flatten(F.zip_with(gaps, shown, lambda g, s: F.array(g, F.coalesce(s["new"], F.lit(""))))), "")
+    changed = (texts.where(F.size(found) > 0).join(rows, row).withColumn("text", text)
+               .select(*docs.columns, "n_entities", "kinds"))
+    return changed.union(texts.where(F.size(found) == 0).select(
+        *docs.columns, F.lit(0).alias("n_entities"), F.lit("").alias("kinds")))
