@@ -388,10 +388,19 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, threshold_pct: int = 80,
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
 
-def one_row_each(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` with one row per doc_id; rows without one all stay. Only if
-    some id repeats does this cost a shuffle."""
-    if docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        return docs
-    return (docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-            .unionByName(docs.where("doc_id is null")).select(*columns))
+def one_of_each_group(docs: DataFrame, k: int = 5, threshold_pct: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of linked rows: that of the smallest
+    doc_id (null last), of the rows of one doc_id the first. Every row is a
+    document of its own, so rows that share a doc_id and not the text both stay."""
+    number = "row_number"
+    while number in docs.columns:
+        number += "_"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    groups = ngram_jaccard_join(rows.select(F.col(number).alias("doc_id"), "text"), k, threshold_pct)
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+    members = (groups.select(F.col("doc_id").alias("row"), "component_id")
+               .join(rows.select(F.col(number).alias("row"), F.col("doc_id").alias("id")), "row"))
+    first = members.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = (members.join(first, "component_id").where(F.col("row") != F.col("first.row"))
+            .select(F.col("row").alias(number)))
+    return rows.join(stored(gone, "gone"), number, "left_anti").select(*docs.columns)

@@ -137,7 +137,11 @@ def test_connected_components(spark):
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
 
 
-def test_one_row_each(spark, docs):
-    d = docs([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c")])
-    got = ngram_join.one_row_each(d, ["doc_id", "text"])
-    assert sorted((r.doc_id or 0, r.text) for r in got.collect()) == [(0, "c"), (0, "c"), (1, "a"), (2, "b")]
+def test_one_of_each_group(spark, docs):
+    d = docs([(1, "a"), (1, "a"), (2, "b"), (1, "c"), (None, "c"), (None, "d"), (4, None), (3, "b"), (4, "")])
+    got = ngram_join.one_of_each_group(d)
+    assert got.columns == d.columns
+    assert sorted((r.doc_id or 0, r.text or "-") for r in got.collect()) == [(0, "d"), (1, "a"), (1, "c"), (2, "b"), (4, "-"), (4, "-")]
+    assert ngram_join.one_of_each_group(docs([])).count() == 0
+    many = docs([(i, "same words in every one of them " * 20) for i in range(50, 0, -1)])
+    assert [r.doc_id for r in ngram_join.one_of_each_group(many).collect()] == [1]

@@ -57,6 +57,15 @@ def test_stages_follow_their_operators(spark, sf_small):
     assert steps[4].count() == pieces.count()
 
 
+def test_rows_of_one_id_are_documents(spark, docs, sf_small):
+    """Only copies go, also where ids repeat or are null."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight", "nothing like the others at all here")
+    rows = [(5, a), (5, b), (7, a), (3, b), (None, c), (None, c), (9, a), (8, None), (8, None)]
+    near = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    got = sorted(((r.doc_id, r.text) for r in near(spark, docs(rows), sf_small).collect()), key=str)
+    assert got == sorted([(5, a), (3, b), (None, c), (8, None), (8, None)], key=str)
+
+
 def test_edge_tables(spark, docs, sf_small, tmp_path):
     from tests.llm.conftest import EDGE
 
@@ -69,7 +78,7 @@ def test_edge_tables(spark, docs, sf_small, tmp_path):
             out.append(now)
         return out
 
-    a = run(docs([*EDGE, (None, "null id here now ok"), (None, None)]))
+    a = run(docs([*EDGE, (None, "null id here now ok"), (None, None)]))  # of equal texts the smallest id stays
     assert sum(r.doc_id is None for r in a[1].collect()) == 2
     assert sorted(r.doc_id for r in a[1].collect() if r.doc_id is not None) == [1, 2, 3, 4, 5, 6, 7, 8]
     assert a[4].count() > 0
