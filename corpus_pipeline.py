@@ -9,14 +9,15 @@ documents.
 1. toxicity: documents scored 0.5 or more go.
 2. near_duplicates: n-gram Jaccard join on five-word shingles at 0.8 or more;
    the smallest doc_id of each group of linked documents stays. Documents
-   without words link with nothing and stay.
+   without words link with nothing and stay. Every row is a document: of the
+   rows that share a doc_id those with other texts stay.
 3. pii: surrogates replace detected entities; n_chars follows the new text.
 4. mixing: sources are mixed to their target weights; a document is repeated
    as often as the mix takes it.
 5. packing: the pieces of every row in sequences of at most 2048 tokens.
 
-Rows with a null doc_id or a null text pass the filtering stages like any other
-(null text: no words, no entity); mixing takes no copies of documents without
+Rows with a null doc_id or a null text are rows like any other (null text: no
+words, no entity); mixing takes no copies of documents without
 words.
 """
 
@@ -37,9 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_join.ngram_jaccard_join(docs, k=5, threshold_pct=80)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return ngram_join.one_row_each(docs.select(*COLUMNS).join(gone, "doc_id", "left_anti"), COLUMNS)
+    return ngram_join.one_of_each_group(docs.select(*COLUMNS), k=5, threshold_pct=80)
 
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
