@@ -10,7 +10,9 @@ A group of one A token and its identical B token takes the fast path: such
 groups are counted in vectors of the vocabulary's length. Only the links of the
 other, irregular groups are counted as pairs and shuffled.
 
-* ``align(docs)``: one pass; per row its groups as text and, once per distinct
+* ``align(docs)``: one pass; neither tokenizer joins a word with the white
+  space after it, so plain texts are aligned chunk by chunk (white space and
+  what follows), each distinct chunk once per task; per row its groups as text and, once per distinct
   entry, its identity tokens and irregular pairs with their numbers.
 * ``pair_counts(aligned)``: how many links of all documents hold each pair.
 * ``link_scores(aligned, counts)``: per row the links whose pair is the
@@ -28,7 +30,9 @@ an empty result, texts of any length are aligned whole.
 
 from __future__ import annotations
 
+import itertools
 import json
+import re
 from pathlib import Path
 
 import numpy as np
@@ -41,8 +45,10 @@ from sparkretail.llm.components import stored
 
 #: bound of the pairs sent to every task
 HOT = 1 << 17
-#: bytes of text aligned at once (a longer text alone)
+#: characters of text aligned at once (a longer text alone)
 SLICE = 1 << 20
+#: chunks that a task remembers before it starts anew; what counts as long there
+REMEMBERED, LONG = 300_000, 200
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -54,22 +60,28 @@ def default_tokenizers() -> tuple[str, str]:
 class Tokens:
     """Both tokenizers, the bytes of their tokens and the identity map."""
 
+    #: a run of white space and what follows it; a carriage return does not begin one
+    CHUNK = re.compile("[ \t\n\r]+(?:[^ \t\n\r]+(?:\r[ \t\n\r]*[^ \t\n\r]+)*)?(?:\r[ \t\n\r]*\\Z)?")
+
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.path_a = path_a
+        from sparkretail.llm.packing import TokenBytes
+
+        self.path_a, self.whole_a = path_a, None
+        self.plain = TokenBytes(path_a)
         spec = json.loads(Path(path_a).read_text("utf-8"))
-        self._encode_a = self._encoder(spec)
         byte = {c: b for b, c in enumerate(byte_characters())}
         special = {t["content"] for t in spec.get("added_tokens", [])}
         a = {i: bytes(byte[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in special}
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        b = {}
+        b, pieces = {}, []
         for i in range(self.b.get_piece_size()):
             if self.b.is_byte(i):
                 b[i] = bytes([int(self.b.id_to_piece(i)[3:5], 16)])
             elif not (self.b.is_control(i) or self.b.is_unknown(i)):
-                b[i] = self.b.id_to_piece(i).replace("▁", " ").encode()
+                pieces.append(self.b.id_to_piece(i))
+                b[i] = pieces[-1].replace("▁", " ").encode()
         self.size_a, self.size_b = max(a) + 1, self.b.get_piece_size()
         self.bytes_a = [a.get(i, b"") for i in range(self.size_a)]
         self.bytes_b = [b.get(i, b"") for i in range(self.size_b)]
@@ -78,91 +90,159 @@ class Tokens:
         # of B tokens of the same bytes the piece comes before the byte
         of_bytes = {x: i for i, x in sorted(b.items(), key=lambda e: self.b.is_byte(e[0]), reverse=True)}
         self.same = np.array([of_bytes.get(x, -1) if x else -1 for x in self.bytes_a], np.int64)
-        self.text_a = [str(i).encode() for i in range(self.size_a)]
-        self.text_b = [str(i).encode() for i in range(self.size_b)]
-        self.written = [x + end for ids, ends in ((self.text_a, (b",", b"|")), (self.text_b, (b",", b";")))
-                        for end in ends for x in ids]
-
-    def _encoder(self, spec: dict):
-        """``text -> ids`` of A; special tokens' strings are plain text. Merge
-        order equal to id order allows the faster library, whose words differ
-        from the file's only beyond plain characters."""
-        import re
-
-        from sparkretail.llm.packing import TokenBytes
-
-        fast, whole = TokenBytes(self.path_a), []
-        special = re.compile("|".join(map(re.escape, fast.special))) if fast.special else None
-
-        def encode(text: str) -> np.ndarray:
-            if fast.fast is not None and not fast.OTHER.search(text) and not (special and special.search(text)):
-                return np.array(fast.fast.encode_ordinary(text), np.int64)
-            if not whole:  # loaded by the first text that needs it
-                from tokenizers import Tokenizer
-
-                whole.append(Tokenizer.from_file(self.path_a))
-                whole[0].encode_special_tokens = True
-            return np.array(whole[0].encode(text, add_special_tokens=False).ids, np.int64)
-
-        return encode
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of both; none where the bytes of either differ from the text's."""
-        none = np.zeros(0, np.int64)
+        texts = [str(i).encode() for i in range(max(self.size_a, self.size_b))]
+        self.written = [x + end for n, ends in ((self.size_a, (b",", b"|")), (self.size_b, (b",", b";")))
+                        for end in ends for x in texts[:n]]
+        # neither tokenizer joins what stands before a chunk with the chunk
+        no_cut = re.compile("[^▁\\s][▁\t]|\n")
+        self.chunked = self.plain.fast is not None and not any(no_cut.search(p) for p in pieces)
+
+    def chunks(self, text: str | None) -> list[str | tuple[str]]:
+        """A space and the text in parts that are encoded apart: the chunks of
+        a plain text; any other text whole, as a tuple."""
         if not text:
-            return none, none
-        whole = b" " + text.encode()
-        a = self._encode_a(" " + text)
-        b = self.b.encode(text, num_threads=1)
-        if b"".join([self.bytes_b[i] for i in b]) != whole or b"".join([self.bytes_a[i] for i in a.tolist()]) != whole:
-            return none, none
-        return a, np.array(b, np.int64)
-
-    def align(self, texts: list[str | None]) -> dict[str, list | np.ndarray]:
-        """Groups and links of some texts, row by row. ``pairs`` are packed as
-        ``A id << 32 | B id``; identity tokens as A ids."""
-        coded = [self.encode(x) for x in texts]
-        rows = len(texts)
-        n_a, n_b = (np.array([len(c[k]) for c in coded], np.int64) for k in (0, 1))
-        a, b = (np.concatenate([c[k] for c in coded]) for k in (0, 1))
-        # byte offsets over all rows: rows begin and end together
-        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        ends, cut_a, cut_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        row_a = np.repeat(np.arange(rows), n_a)
-        n_groups = np.bincount(row_a[cut_a], minlength=rows)
+            return []
+        if self.chunked and not self.plain.OTHER.search(text):
+            return self.CHUNK.findall(" " + text)
+        return [(text,)]
+
+    def encode(self, parts: list[str | tuple[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the parts one after the other, in bytes that add up: ids of
+        A, ids of B, and the bytes of each part (none where a tokenizer does
+        not give them back). Runs of chunks are encoded in one call each."""
+        a, b, size = [], [], []
+        runs = itertools.groupby(parts, lambda p: 2 if isinstance(p, tuple) else int(p[-1].isspace()))
+        for kind, run in runs:
+            run = list(run)
+            # what ends in white space would join the next chunk
+            for whole in (["".join(run)] if kind == 0 else [p if kind == 1 else p[0] for p in run]):
+                if kind < 2:
+                    x = self.plain.fast.encode_ordinary(whole)
+                    y = self.b.encode("\n" + whole, num_threads=1)[2:]  # the model's own space and the line end
+                else:
+                    if self.whole_a is None:  # loaded by the first text that needs it
+                        from tokenizers import Tokenizer
+
+                        self.whole_a = Tokenizer.from_file(self.path_a)
+                        self.whole_a.encode_special_tokens = True
+                    y = self.b.encode(whole, num_threads=1)
+                    whole = " " + whole
+                    x = self.whole_a.encode(whole, add_special_tokens=False).ids
+                data = whole.encode()
+                kept = b"".join([self.bytes_b[i] for i in y]) == data and b"".join([self.bytes_a[i] for i in x]) == data
+                if kept:
+                    a.append(x)
+                    b.append(y)
+                size += [len(p.encode()) for p in run] if kind == 0 and kept else [len(data) * kept] if kind else [0] * len(run)
+        ids = [np.fromiter(itertools.chain.from_iterable(v), np.int64, sum(map(len, v))) for v in (a, b)]
+        return ids[0], ids[1], np.array(size, np.int64)
+
+
+def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The indices start, start + 1, ... of each run one after the other."""
+    shift = np.cumsum(counts) - counts
+    return np.repeat(starts - shift, counts) + np.arange(counts.sum())
+
+
+def _counted(row: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of each row with their numbers: offsets, values, numbers."""
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (value[1:] != value[:-1])]) if len(row) else np.zeros(0, np.int64)
+    offsets = np.searchsorted(row[first], np.arange(rows + 1))
+    return offsets, value[first], np.diff(np.r_[first, len(row)])
+
+
+class Aligner:
+    """Alignments of chunks, remembered up to a bound, and of texts, put
+    together from those of their chunks."""
+
+    NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "bad")
+    LISTS = ("same", "pairs")
+
+    def __init__(self, tokens: Tokens):
+        self.tokens = tokens
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str | tuple[str], int] = {}
+        self.groups: list[bytes] = []
+        self.numbers = {c: np.zeros(0, np.int64) for c in self.NUMBERS}
+        self.ends = {c: np.zeros(1, np.int64) for c in self.LISTS}  # offsets of each chunk's list
+        self.lists = {c: np.zeros(0, np.int64) for c in self.LISTS}
+
+    def _learn(self, parts: list[str | tuple[str]]) -> None:
+        """Align parts that are new, all at once. Byte offsets run on over
+        them: parts begin and end together in both tokenizations."""
+        t, n = self.tokens, len(parts)
+        a, b, size = t.encode(parts)
+        end_a, end_b = np.cumsum(t.length_a[a]), np.cumsum(t.length_b[b])
+        part_end = np.cumsum(size)
+        marks = np.zeros((2, (int(end_a[-1]) if len(end_a) else 0) + 1), bool)
+        marks[0, end_a], marks[1, end_b] = True, True
+        before = np.cumsum(marks, axis=1)  # tokens that end at or before an offset
+        ends, stretch = np.flatnonzero(marks[0] & marks[1]), np.flatnonzero(marks[0] | marks[1])
+        cut_a, cut_b = before[0, ends] - 1, before[1, ends] - 1
+        n_a, n_b = (np.diff(np.concatenate([[0], before[k, part_end]])) for k in (0, 1))
+        part_a = np.repeat(np.arange(n), n_a)
         size_a, size_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
         group_a, group_b = np.repeat(np.arange(len(ends)), size_a), np.repeat(np.arange(len(ends)), size_b)
         identity = (size_a == 1) & (size_b == 1)
-        identity[identity] = self.same[a[cut_a[identity]]] == b[cut_b[identity]]
+        identity[identity] = t.same[a[cut_a[identity]]] == b[cut_b[identity]]
         # every stretch between neighbouring ends is the overlap of one A and one B token
-        stretch = np.union1d(end_a, end_b)
-        link_a, link_b = np.searchsorted(end_a, stretch), np.searchsorted(end_b, stretch)
-        link_row = row_a[link_a]
+        link_a, link_b = before[0, stretch - 1], before[1, stretch - 1]
         odd = ~identity[group_a[link_a]]
-        out = {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": np.bincount(link_row, minlength=rows)}
-        out["same"] = self._counted(row_a[cut_a[identity]], a[cut_a[identity]], rows)
-        out["pairs"] = self._counted(link_row[odd], (a[link_a[odd]] << 32) | b[link_b[odd]], rows)
+        found = {"same": (part_a[cut_a[identity]], a[cut_a[identity]]),
+                 "pairs": (part_a[link_a[odd]], (a[link_a[odd]] << 32) | b[link_b[odd]])}
+        new = {"n_a": n_a, "n_b": n_b, "n_groups": np.bincount(part_a[cut_a], minlength=n),
+               "n_links": np.bincount(part_a[link_a], minlength=n), "bad": size == 0}
+        for c, v in new.items():
+            self.numbers[c] = np.concatenate([self.numbers[c], v])
+        for c, (part, v) in found.items():
+            self.ends[c] = np.concatenate([self.ends[c], self.ends[c][-1] + np.cumsum(np.bincount(part, minlength=n))])
+            self.lists[c] = np.concatenate([self.lists[c], v])
         # written group by group: the A tokens, then the B tokens
         place_a = np.arange(len(a)) + np.concatenate([[0], cut_b + 1])[group_a]
         place_b = np.arange(len(b)) + (cut_a + 1)[group_b]
         last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
         last_a[cut_a], last_b[cut_b] = True, True
         mark = np.empty(len(a) + len(b), np.int64)
-        mark[place_a] = a + last_a * self.size_a
-        mark[place_b] = b + 2 * self.size_a + last_b * self.size_b
-        tokens = [self.written[i] for i in mark.tolist()]
+        mark[place_a] = a + last_a * t.size_a
+        mark[place_b] = b + 2 * t.size_a + last_b * t.size_b
+        tokens = [t.written[i] for i in mark.tolist()]
         at = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
-        out["groups"] = [b"".join(tokens[x:y])[:-1].decode() for x, y in zip(at, at[1:])]
-        return out
+        self.groups += [b"".join(tokens[x:y]) for x, y in zip(at, at[1:])]
 
-    @staticmethod
-    def _counted(row: np.ndarray, value: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct values of each row with their numbers: offsets, values, numbers."""
-        order = np.lexsort((value, row))
-        row, value = row[order], value[order]
-        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (value[1:] != value[:-1])]) if len(row) else np.zeros(0, np.int64)
-        offsets = np.searchsorted(row[first], np.arange(rows + 1))
-        return offsets, value[first], np.diff(np.r_[first, len(row)])
+    def align(self, texts: list[str | None]) -> dict[str, list | np.ndarray | tuple]:
+        """Groups and links of some texts, row by row. ``same`` are identity
+        tokens as A ids, ``pairs`` irregular links as ``A id << 32 | B id``."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        rows = len(texts)
+        parts = [self.tokens.chunks(x) for x in texts]
+        number, new = self.number, {}
+        for p in dict.fromkeys(itertools.chain.from_iterable(parts)):
+            if p not in number:
+                new[p] = len(number) + len(new)
+        if new:
+            self._learn(list(new))
+            number |= new
+        n_parts = np.array(list(map(len, parts)), np.int64)
+        at = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(parts)), np.int64, n_parts.sum())
+        row = np.repeat(np.arange(rows), n_parts)
+        whole = np.bincount(row, self.numbers["bad"][at], minlength=rows) == 0
+        keep = whole[row]
+        at, row = at[keep], row[keep]
+        out: dict = {c: np.bincount(row, self.numbers[c][at], minlength=rows).astype(np.int64) for c in self.NUMBERS[:-1]}
+        for c in self.LISTS:
+            start, count = self.ends[c][at], self.ends[c][at + 1] - self.ends[c][at]
+            out[c] = _counted(np.repeat(row, count), self.lists[c][_ragged(start, count)], rows)
+        written = [self.groups[i] for i in at.tolist()]
+        cuts = np.searchsorted(row, np.arange(rows + 1)).tolist()
+        out["groups"] = [b"".join(written[x:y])[:-1].decode() for x, y in zip(cuts, cuts[1:])]
+        if sum(len(p) for p in map("".join, new) if len(p) > LONG) > SLICE // 4:
+            self._forget()  # long texts are not worth their memory
+        return out
 
 
 _ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -177,7 +257,7 @@ def align(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFra
     paths = tokenizers or default_tokenizers()
 
     def run(batches):
-        tokens = Tokens(*paths)
+        aligner = Aligner(Tokens(*paths))
 
         def lists(counted, kind):
             offsets, values, n = counted
@@ -193,7 +273,7 @@ def align(docs: DataFrame, tokenizers: tuple[str, str] | None = None) -> DataFra
                 while b < len(texts) and (b == a or size + len(texts[b] or "") <= SLICE):
                     size += len(texts[b] or "")
                     b += 1
-                got = tokens.align(texts[a:b])
+                got = aligner.align(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [t.column("row")[a:b], t.column("doc_id")[a:b],
                      *(pa.array(got[c], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")),

@@ -6,6 +6,8 @@ from pathlib import Path
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sparkretail.llm import alignment
@@ -114,3 +116,39 @@ def test_groups_and_counts(docs, plain):
     # the identity map joins equal bytes
     t = alignment.Tokens(A, B)
     assert all(t.bytes_a[i] == t.bytes_b[j] for i, j in enumerate(t.same) if j >= 0)
+
+
+@pytest.fixture(scope="module")
+def aligners():
+    whole = alignment.Aligner(alignment.Tokens(A, B))
+    whole.tokens.chunked = False
+    parts = alignment.Aligner(alignment.Tokens(A, B))
+    assert parts.tokens.chunked
+    return parts, whole
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(
+    st.text(" \t\n\rab;{}()>'1.,é", max_size=60), st.text(), st.text("the and ing\r\n", max_size=200),
+    st.lists(st.sampled_from(["word", " word", "\r\n", "  ", "\n\n", "don't", "x;\r", "\t", "}\r\n", "é", "12", "'s "]), max_size=30).map("".join)),
+    min_size=1, max_size=6))
+def test_chunks_give_what_whole_texts_give(aligners, texts):
+    """Also with chunks remembered from other texts."""
+    a, b = (x.align(texts) for x in aligners)
+    for c in ("n_a", "n_b", "n_groups", "n_links"):
+        assert a[c].tolist() == b[c].tolist()
+    assert a["groups"] == b["groups"]
+    for c in ("same", "pairs"):
+        assert all(x.tolist() == y.tolist() for x, y in zip(a[c], b[c]))
+
+
+def test_memory_of_chunks_is_bounded(aligners, monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 5)
+    part = alignment.Aligner(aligners[0].tokens)
+    for k in range(4):
+        texts = [f"some words of text {k} {i} here" for i in range(5)]
+        assert part.align(texts)["groups"] == aligners[1].align(texts)["groups"]
+        assert len(part.number) < 40
+    monkeypatch.setattr(alignment, "SLICE", 100)
+    part.align(["x" * 1000])
+    assert not part.number
