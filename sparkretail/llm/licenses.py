@@ -1,8 +1,16 @@
 """License scans.
 
 An Aho-Corasick automaton over the normalised words finds notice phrases; a
-second pattern set finds identifier tags in the raw text, and a shunting-yard
-parser evaluates the and/or/with expression after a tag to its alternatives.
+second pattern set finds identifier tags in the raw text. A shunting-yard parser
+turns the and/or/with expression after a tag into postfix form, whose
+evaluation says which license families it can be satisfied with and which ones
+every way to satisfy it needs. Both take time linear in the text, however many
+tags and clauses it has.
+
+``scan`` gives one row per row of ``docs``: repeated rows and null doc_ids are
+rows like others, a null text counts as empty (no words, empty label strings,
+score 0), texts of any length are scanned whole, extra columns are not read,
+and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -80,20 +88,28 @@ def parse_expression(text: str) -> list[str] | None:
     return out + ops[::-1]
 
 
-def alternatives(postfix: list[str]) -> set[frozenset[str]]:
-    """The sets of licenses that each satisfy the expression."""
-    stack: list[set[frozenset[str]]] = []
+def evaluate(postfix: list[str]) -> tuple[set[str], set[str]]:
+    """``(possible, required)`` families: those that take part in some way to
+    satisfy the expression, and those that every way needs. An exception after
+    ``with`` belongs to the license before it. The smaller set is merged into
+    the larger one, so the time is that of the operands."""
+    stack: list[tuple[set[str], set[str]]] = []
     for t in postfix:
         if t not in _RANK:
-            stack.append({frozenset([t])})
+            stack.append(({family(t)}, {family(t)}))
             continue
-        b, a = stack.pop(), stack.pop()
-        if t == "or":
-            stack.append(a | b)
-        elif t == "and":
-            stack.append({x | y for x in a for y in b})
+        (may_b, need_b), (may_a, need_a) = stack.pop(), stack.pop()
+        if t == "with":
+            stack.append((may_a, need_a))
+            continue
+        may, more = (may_a, may_b) if len(may_a) >= len(may_b) else (may_b, may_a)
+        may |= more
+        need, other = (need_a, need_b) if len(need_a) >= len(need_b) else (need_b, need_a)
+        if t == "and":
+            need |= other
         else:
-            stack.append({frozenset(f"{'+'.join(sorted(x))} with {'+'.join(sorted(y))}" for _ in (0,)) for x in a for y in b})
+            need = other & need
+        stack.append((may, need))
     return stack[0]
 
 
@@ -102,8 +118,9 @@ class Scan:
     n_words: int
     base: list[tuple[int, str]] = field(default_factory=list)  # first word, label
     more: list[tuple[int, str]] = field(default_factory=list)
-    expressions: list[str] = field(default_factory=list)
+    expressions: list[str] = field(default_factory=list)  # postfix, as written
     tagged: set[str] = field(default_factory=set)
+    required: set[str] = field(default_factory=set)
 
     def score(self) -> float:
         """Confidence that the text carries a license: each tag counts most,
@@ -134,13 +151,20 @@ class Scanner:
             (found.base if base else found.more).append((at, label))
         if ":" in (text or ""):
             low = raw.translate(_LOWER_ONLY).decode()
-            for end, _ in self.tags.iter(low):
-                expr = low[end + 1:].split("\n", 1)[0].strip(" \t\r*/#-<>!")
-                postfix = parse_expression(expr) or parse_expression((_TOKEN.findall(expr) or [""])[0])
+            ends = [(end + 1 - len(tag), end + 1) for end, tag in self.tags.iter(low)]
+            for (_, begin), (stop, _) in zip(ends, [*ends[1:], (len(low), 0)]):
+                # to the end of the line or to the next tag
+                line_end = low.find("\n", begin, stop)
+                expr = low[begin:stop if line_end < 0 else line_end].strip(" \t\r*/#-<>!")
+                postfix = parse_expression(expr)
+                if not postfix:
+                    first = _TOKEN.search(expr)
+                    postfix = parse_expression(first[0]) if first else None
                 if postfix:
-                    found.expressions.append(" | ".join(sorted(" & ".join(sorted(x)) for x in alternatives(postfix))))
-                    found.tagged |= {family(t) for i, t in enumerate(postfix) if t not in _RANK
-                                     and not (i + 1 < len(postfix) and postfix[i + 1] == "with")}
+                    found.expressions.append(" ".join(postfix))
+                    may, need = evaluate(postfix)
+                    found.tagged |= may
+                    found.required |= need
         return found
 
 
@@ -150,13 +174,15 @@ SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_base", T.LongType()),
     T.StructField("first_word", T.LongType()), T.StructField("last_word", T.LongType()),
     T.StructField("base_labels", T.StringType()), T.StructField("labels", T.StringType()),
-    T.StructField("score", T.DoubleType()), T.StructField("expressions", T.ArrayType(T.StringType())),
+    T.StructField("score", T.DoubleType()), T.StructField("required", T.StringType()),
+    T.StructField("expressions", T.ArrayType(T.StringType())),
 ])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document; a null text counts as empty (no words, empty
-    label strings, score 0). Labels are distinct, sorted, comma-joined."""
+    """``labels``: of phrases and of the families that the expressions can be
+    satisfied with; ``required``: the families that some expression needs in
+    any case; all distinct, sorted, comma-joined. ``expressions`` in postfix."""
     def run(batches):
         s = Scanner()
         for t in batches:
@@ -165,12 +191,13 @@ def scan(docs: DataFrame) -> DataFrame:
                 f = s.scan(text)
                 at, base = [x for x, _ in f.base], {x for _, x in f.base}
                 row = (f.n_words, len(at), min(at, default=None), max(at, default=None), ",".join(sorted(base)),
-                       ",".join(sorted(base | {x for _, x in f.more} | f.tagged)), f.score(), f.expressions)
+                       ",".join(sorted(base | {x for _, x in f.more} | f.tagged)), f.score(), ",".join(sorted(f.required)), f.expressions)
                 for c, v in zip(cols, row):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [t.column(0), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
                  pa.array(cols[5], pa.string()), pa.array(np.array(cols[6], float)),
-                 pa.array(cols[7], pa.list_(pa.string()))], names=SCHEMA.names)
+                 pa.array(cols[7], pa.string()),
+                 pa.array(cols[8], pa.list_(pa.string()))], names=SCHEMA.names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
