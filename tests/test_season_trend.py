@@ -83,9 +83,9 @@ def test_band(spark):
         slopes, slope = [], rng.normal() * 0.003
         for i in range(160):  # at the model's places, and at their rate after the end of the training period
             if i == 0 or (i < 0.8 * 148 and i % 5 == 0) or (i >= 148 and rng.random() < 25 / 148):
-                slope += rng.laplace() * 0.05 / 147
+                slope += rng.laplace() * 0.1 / 147
                 slopes.append((i, slope))
-        stores[s] = series(160, 2000, slopes, 0.06, rng, 0.2)
+        stores[s] = series(160, 2000, slopes, 0.03, rng, 0.2)
     data = features(spark, stores)
     rows = season_trend.changepoint_forecast(data).collect()
     assert sorted(map(str, rows)) == sorted(map(str, season_trend.changepoint_forecast(data).collect()))
