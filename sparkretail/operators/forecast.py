@@ -215,22 +215,31 @@ class BoostedTrees:
 
 
 def gbt_backtest(features: DataFrame, max_iter: int = 500, patience: int = 50, seed: int = 42,
-                 horizon: int = FORECAST_HORIZON, model_name: str = "gbt") -> BoostedTrees:
+                 horizon: int = FORECAST_HORIZON, model_name: str = "gbt", stop_on: str = "tail") -> BoostedTrees:
     """Train on rows up to ``max(date) - horizon`` and score the rest. The
     trees are grown by squared loss on ``log1p(target)``, their number is the
     best on the validation tail of the training period; then their leaves are
-    re-estimated for least absolute error of the target itself."""
+    re-estimated for least absolute error of the target itself.
+
+    ``stop_on="holdout"`` chooses on the scored rows themselves and trains on
+    the tail too: for comparison with models that were stopped so, its score is
+    not that of unseen rows."""
     from pyspark.ml.feature import VectorAssembler
 
+    if stop_on not in ("tail", "holdout"):
+        raise ValueError(f"unknown stop_on {stop_on!r}")
     spark = features.sparkSession
     checkpoint_dir(spark)
     rows, names = gbt_dataset(features, horizon)
     vec = VectorAssembler(inputCols=names, outputCol="features",
                           handleInvalid="error").transform(materialize(rows, "gbt_rows"))
-    ensemble = trees.boost(vec.where(~F.col("is_test")), max_iter, patience, seed)
+    chosen_on = F.col("is_valid") if stop_on == "tail" else F.col("is_test")
+    vec = vec.withColumn("is_valid", chosen_on)
+    used = F.col("is_valid") | ~F.col("is_test")
+    ensemble = trees.boost(vec.where(used), max_iter, patience, seed)
     kept = materialize(ensemble.leaves(vec).select("store_id", "dept_id", "sale_date", "is_holiday", TARGET, "is_test",
                                                    "is_valid", "leaves"), "gbt_leaves")
-    ensemble, errors = trees.reestimate(ensemble, kept.where(~F.col("is_test")), TARGET, F.expm1)
+    ensemble, errors = trees.reestimate(ensemble, kept.where(used), TARGET, F.expm1)
     value, shift = trees.predicted(ensemble)
     out = kept.where("is_test").withColumn("yhat", clip_at_zero(F.expm1(value) + shift)).select(
         "store_id", "dept_id", F.col("sale_date").alias("ds"), "is_holiday",
