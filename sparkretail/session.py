@@ -11,6 +11,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -102,10 +103,34 @@ def _scratch_folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/sparkretail/{spark.sparkContext.applicationId}"
 
 
+#: scratch paths handed out within each open ``temporary`` block
+_TEMPORARY: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path in this application's part of the shared
     checkpoint folder."""
-    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _TEMPORARY:
+        _TEMPORARY[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Scratch tables that are made within the block are deleted at its end:
+    for intermediate results that nothing reads any more."""
+    _TEMPORARY.append([])
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY.pop():
+            _delete(spark, path)
 
 
 def materialize(df, name: str = "table"):
@@ -178,5 +203,4 @@ def drop_scratch(spark: SparkSession) -> None:
     """Delete all scratch tables of this application in the shared folder and
     forget what was stored in them. Call it when no result is read any more."""
     forget_stored()
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _scratch_folder(spark))

@@ -63,3 +63,16 @@ print("rows", spark.range(3).mapInArrow(use, "id long").count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, timeout=300, env=env)
     assert "rows 3" in out.stdout, out.stderr[-2000:]
+
+
+def test_temporary_tables_are_deleted(spark):
+    kept = session.materialize(spark.range(3), "kept")
+    with session.temporary(spark):
+        gone = session.scratch_path(spark, "gone")
+        spark.range(4).write.parquet(gone)
+        with session.temporary(spark):
+            inner = session.materialize(spark.range(5), "inner")
+            assert inner.count() == 5
+        assert spark.read.parquet(gone).count() == 4
+    assert kept.count() == 3
+    assert not os.path.exists(gone.removeprefix("file:"))
