@@ -6,6 +6,10 @@ compressed with every dictionary, and the language of the smallest total wins.
 The margin is how much smaller the winner is than the runner-up; below
 ``min_margin`` the text is rejected (its guess stays in ``lang``). Null texts
 and texts without a letter are ``und`` with score 0.
+
+Every row gives one, whole texts of any length, repeated rows and null doc_ids
+included; an empty table gives none; extra columns are not read. Without a row
+to learn from there is no language, and every text is ``und``.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: word characters beyond digits; letters are those of them that ``isalpha``
+_LETTER = re.compile(r"[^\W\d_]+")
 _DROP = bytes(i for i in range(33, 127) if not chr(i).isalpha())
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
@@ -31,6 +36,11 @@ SCHEMA = T.StructType([
 ])
 
 
+def has_letter(text: str) -> bool:
+    """Whether a letter occurs; numerals such as one half or a Roman eight are none."""
+    return any(any(map(str.isalpha, m[0])) for m in _LETTER.finditer(text))
+
+
 def plain(text: str) -> bytes:
     """Lower case without ASCII digits and signs: they say nothing of the language."""
     return text.lower().encode().translate(None, _DROP)
@@ -58,7 +68,7 @@ class Classifier:
 
     def classify(self, text: str | None) -> tuple[str, float, float, bool]:
         """Language, score, margin and whether the margin is wide enough."""
-        if text is None or not self.names or not _LETTER.search(text):
+        if text is None or not self.names or not has_letter(text):
             return UNKNOWN, 0.0, 0.0, False
         data = plain(text)
         size = [0] * len(self.names)

@@ -42,6 +42,31 @@ def test_labels_of_held_out_rows_change_nothing(spark, docs):
     assert all((scores[i] >= 0.5) == (i % 3 == 0) for i in range(60))
 
 
+def test_ratios_and_scores_against_a_plain_recount(spark, docs):
+    """Log-count ratios from sets of n-grams as text, scores from the model's
+    weights of these."""
+    rng = np.random.default_rng(2)
+    words = ["foul", "grim", "kind", "fair", "plain", "Été", "rude"]
+    rows = [(i, " ".join(rng.choice(words, 4, p=p).tolist())) for i in range(60)
+            for p in [[.3, .3, .05, .05, .1, .1, .1] if i % 3 == 0 else [.05, .05, .3, .3, .1, .1, .1]]]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs(rows), labels, bits=22)
+    sets = {i: {t[a:a + n] for n in (3, 4, 5) for a in range(len(t) - n + 1)} for i, t in ((i, t.lower()) for i, t in rows)}
+    n1, n0 = 20, 40
+    grams = {g: ([i % 3 == 0 for i, s in sets.items() if g in s]) for s in sets.values() for g in s}
+    grams = {g: v for g, v in grams.items() if len(v) >= 2}
+    bucket = {g: int(next(toxicity.Presence((len(g),), 22).rows(pa.array([g])))[0]) for g in grams}
+    assert len(set(bucket.values())) == len(grams) == (model.feature >= 0).sum()
+    number = {g: model.feature[b] for g, b in bucket.items()}
+    for g, v in grams.items():
+        want = np.log((sum(v) + 1) / (n1 + 2)) - np.log((len(v) - sum(v) + 1) / (n0 + 2))
+        assert model.ratio[number[g]] == pytest.approx(want, abs=1e-12)
+    got = {r.doc_id: r.score for r in toxicity.score(docs(rows), model).collect()}
+    for i, s in sets.items():
+        x = [model.value[number[g]] for g in s if g in number]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(model.intercept + sum(x) / len(x) ** model.power))), abs=1e-9)
+
+
 def test_toxicity_keeps_rarer_grams(spark, docs):
     """Evidence beyond the 10,000 strongest n-grams counts."""
     rng = np.random.default_rng(5)
