@@ -242,7 +242,7 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
                                              names=["query_id", "query", "leaves"])
 
     # one row a query, stored: visits are found once, counted by bin, then dealt
-    visits = stored(vectors.where(is_query).repartition("vec_id")
+    visits = stored(vectors.where(is_query).repartition(3 * spark.sparkContext.defaultParallelism, "vec_id")
                     .mapInArrow(visit, "query_id long, query array<float>, leaves array<int>"), "visits")
 
     def bins_of(leaves) -> dict[int, list[int]]:
@@ -329,9 +329,17 @@ def search(rows: DataFrame, is_query: Column, tree: Tree, k: int = 20, part_rows
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, sample: int = 20000, recall: float = 0.94,
             vector: str = "embedding", **kw) -> DataFrame:
     """Index every usable row of ``embeddings`` (vec_id, ``vector``) and
-    search it with the rows that ``is_query`` admits."""
+    search it with the rows that ``is_query`` admits. Rows take part if they have
+    an id and a vector of the commonest length (of the shortest one, if several
+    are) that ``usable`` admits. Rows that repeat a vec_id are candidates each,
+    of all queries but those of the same id; extra columns are not read; without
+    rows there is no result."""
     rows = embeddings.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<float>").alias("vector")) \
         .where(usable(F.col("vector")) & F.col("vec_id").isNotNull())
+    lengths = rows.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows"))
+    common = lengths.orderBy(F.desc("rows"), "n").limit(1).collect()
+    if common:
+        rows = rows.where(F.size("vector") == common[0].n)
     tree = fit(rows, k, sample, recall, **kw)
     if tree is None:
         return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")

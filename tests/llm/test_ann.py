@@ -93,3 +93,14 @@ def test_bins_cover_every_leaf():
     assert parts.tolist() == [1, 3, 1, 1, 1, 1, 3]
     spans = [set(range(f, f + p)) for f, p in zip(first, parts)]
     assert not (spans[0] & spans[1]) and not (spans[1] & spans[3]) and not (spans[6] & spans[5])
+
+
+def test_vectors_of_other_lengths_and_repeated_ids(spark):
+    rows = [(i, [float(i % 7), 1.0, float(i)]) for i in range(40)] + [(100, [1.0, 2.0]), (101, [1.0]), (102, []), (3, [5.0, 5.0, 5.0])]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<float>, rank int, leaf string")
+    got = ann.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect()
+    assert {r.query_id for r in got} == {0, 20} and not {r.vec_id for r in got} & {100, 101, 102}
+    for q in (0, 20):
+        v = rows[q][1]
+        want = sorted(((-sum(a * b for a, b in zip(v, x)), i) for i, x in rows if i != q and len(x) == 3))[:5]
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(i, -s) for s, i in want]
