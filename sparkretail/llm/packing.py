@@ -252,32 +252,32 @@ def plan(count: dict[int, int], capacity: int) -> list[tuple[int, int, int, int,
     return runs
 
 
-def pack(docs: DataFrame, capacity: int = 2048, tokenizer: str | None = None, salts: int = 64) -> DataFrame:
+#: pieces of one length that one task numbers
+NUMBERED_PIECES = 250_000
+
+
+def pack(docs: DataFrame, capacity: int = 2048, tokenizer: str | None = None) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of
     every piece. A null text counts as empty (its end token alone); rows that
-    repeat a doc_id are packed each."""
+    repeat a doc_id, or have none, are packed each; extra columns are not read;
+    an empty table gives no piece."""
     spark = docs.sparkSession
     rows = stored(pieces(docs, capacity, tokenizer), "pieces")
     # rank within a length: number within (length, salt), after the salts before it
+    salts = 64 + rows.count() // NUMBERED_PIECES
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "copy", "piece"), F.lit(salts)).cast("int"))
-    counts = {(r.length, r.salt): r.n for r in salted.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()}
-    histogram: dict[int, int] = defaultdict(int)
-    before = []
-    for (length, salt), n in sorted(counts.items()):
-        before.append((length, salt, histogram[length]))
-        histogram[length] += n
-    runs = plan(dict(histogram), capacity)
-    lengths = T.StructType([T.StructField("length", T.LongType()), T.StructField("salt", T.IntegerType()),
-                            T.StructField("before", T.LongType())])
-    offsets = spark.createDataFrame(before, lengths)
-    steps = spark.createDataFrame(
-        runs, "length long, first long, pieces long, sequence long, per long, at long")
+    counts = stored(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
+    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows
+    earlier = W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("before"))
+    steps = spark.createDataFrame(plan(histogram, capacity),
+                                  "length long, first long, pieces long, sequence long, per long, at long")
     # the runs of one length in order of rank: one array a length
     steps = steps.groupBy("length").agg(F.sort_array(F.collect_list(
         F.struct("first", "pieces", "sequence", "per", "at"))).alias("runs"))
     number = F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "copy", "piece"))
     return (salted.withColumn("number", number)
-            .join(F.broadcast(offsets), ["length", "salt"])
+            .join(offsets, ["length", "salt"])
             .withColumn("rank", F.col("before") + F.col("number") - 1)
             .join(F.broadcast(steps), "length")
             .withColumn("run", F.element_at(F.filter("runs", lambda r: r["first"] <= F.col("rank")), -1))
