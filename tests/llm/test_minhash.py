@@ -61,3 +61,13 @@ def test_near_duplicates(spark, docs):
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs(rows)).collect()}
     assert {got[i] for i in [*range(8), 20]} == {0}
     assert (got[30], got[31], got[32]) == (30, 31, 32)
+
+
+def test_near_duplicates_edges(spark, docs):
+    """Empty table, repeated rows, null ids, very long texts."""
+    assert minhash.near_duplicates(docs([])).count() == 0
+    long = " ".join(f"v{i % 30011}" for i in range(60_000))
+    rows = [(1, long), (2, long.upper() + " tail"), (3, "x" * 200_000), (4, "a b c d e f g"), (4, "a b c d e f g"),
+            (5, "A  b c\nd e f g"), (None, None), (6, None), (7, "one"), (8, "ONE")]
+    got = sorted((r.doc_id or 0, r.class_id or 0) for r in minhash.near_duplicates(docs(rows)).collect())
+    assert got == [(0, 0), (1, 1), (2, 1), (3, 3), (4, 4), (4, 4), (5, 4), (6, 6), (7, 7), (8, 7)]
