@@ -33,8 +33,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the plan needs no text beyond its size
-    docs = tables.documents(spark, sf_dir).select("doc_id", "source", "text")
-    return mixing.plan_copies(docs).select(
+    return mixing.plan_copies(tables.documents(spark, sf_dir), keep=["doc_id"]).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
@@ -103,4 +102,41 @@ select d.doc_id, cast(coalesce(n.k, 0) as bigint) as n_shingles, min(r.c) as com
 from documents d join r using (doc_id) left join n using (doc_id) group by 1, 2
 """
 
-ORACLES: dict[str, str] = {"op1_ngram_jaccard_join": OP1_SQL}
+#: crc32 byte by byte from its table of 256 remainders; near words through words with one letter left out
+OP12_SQL = r"""
+with recursive crc_table as (
+  select list(list_reduce(range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i)
+              order by i) as t from (select unnest(range(256))::bigint as i)),
+run as (
+  select doc_id, w, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as w from documents)
+  where length(w) >= 6 group by all),
+hashed as (
+  select w, n, xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::bigint),
+                   lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256), 4294967295::bigint), 4294967295) as h
+  from (select w, n, hex(doc_id::varchar || ':' || w) as h from run), crc_table),
+word as (
+  select word, sum(n)::bigint as n
+  from (select case when h % 199 = 0 then left(w, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end as word, n
+        from hashed)
+  where length(word) >= 6 group by 1 having sum(n) >= 5),
+without as (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest
+  from (select word, n, unnest(range(1, length(word) + 1))::int as i from word)),
+near as (
+  select a.word, b.word as v, b.n as vn from without a join without b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, b.word, b.n from without a join word b on a.rest = b.word
+  union select b.word, a.word, a.n from without a join word b on a.rest = b.word),
+best as (select word, count(*) as n_near, first(v order by vn desc, v) as v, max(vn) as vn from near group by 1),
+formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when vn >= 5 * w.n then v end as form,
+         case when vn >= 5 * w.n then vn end as form_n
+  from word w left join best b on w.word = b.word),
+chain(word, last) as (
+  select word, word from formed union all select c.word, f.form from chain c join formed f on c.last = f.word where f.form is not null)
+select f.word, f.n, f.n_near, f.form, f.form_n, c.last as root
+from formed f join chain c on c.word = f.word join formed l on l.word = c.last and l.form is null
+"""
+
+ORACLES: dict[str, str] = {"op1_ngram_jaccard_join": OP1_SQL, "op12_spelling_variants": OP12_SQL}

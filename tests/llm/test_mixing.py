@@ -44,6 +44,32 @@ def test_targets_and_copies(spark, docs):
     assert mixed.count() == sum(r.copies for r in got) and mixed.columns == docs(rows).columns
 
 
+def test_clashing_columns_and_long_texts(spark, docs):
+    from pyspark.sql import functions as F
+
+    rows = docs([(1, "word " * 200_000, "a"), (2, "x" * 300_000, "b"), (None, "two words", "b"), (2, "x y", "b")])
+    for c in ("key_", "salt_", "number_", "first_", "rate_", "start_", "row_", "size", "n", "t", "copies"):
+        rows = rows.withColumn(c, F.lit(3))
+    got = mixing.plan_copies(rows).collect()
+    assert sorted(r["size"] for r in got) == [1, 2, 2, 200_000] and all(r.key_ == r.row_ == r.number_ == 3 for r in got)
+    assert mixing.mix(rows).columns == rows.columns and mixing.mix(rows).count() == sum(r.copies for r in got)
+    assert mixing.plan_copies(rows, keep=["doc_id"]).columns == ["doc_id", "size", "source_size", "target", "copies"]
+
+
+def test_many_sources_in_ranges(spark, docs, monkeypatch):
+    """More sources than one range holds: the same targets."""
+    rows = [(i, "w " * (1 + (i * 37) % 50), f"host{i % 70:02d}" if i % 71 else None) for i in range(400)]
+    once = {r.doc_id: (r.target, r.copies) for r in mixing.plan_copies(docs(rows)).collect()}
+    monkeypatch.setattr(mixing, "RANGE_SOURCES", 9)
+    monkeypatch.setattr(mixing, "NUMBERED_ROWS", 20)
+    more = mixing.plan_copies(docs(rows)).collect()
+    sizes: dict = {}
+    for r in more:
+        sizes[r.source] = sizes.get(r.source, 0) + r["size"]
+    want = water(sizes)
+    assert all(math.isclose(r.target, want[r.source], rel_tol=1e-9) and math.isclose(r.target, once[r.doc_id][0], rel_tol=1e-9) for r in more)
+
+
 def test_empty_table(spark, docs):
     assert mixing.plan_copies(docs([])).count() == 0 and mixing.mix(docs([])).count() == 0
     alone = mixing.plan_copies(docs([(1, None, None), (2, "", None)])).collect()
