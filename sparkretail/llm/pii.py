@@ -1,7 +1,7 @@
 """PII surrogates in DataFrame operations alone.
 
 One pattern finds e-mail addresses, phone numbers, IPv4 addresses, card
-numbers, social security numbers, IBANs, secrets after a key word, access keys
+numbers (with a valid check digit), social security numbers, IBANs, secrets after a key word, access keys
 and titled person names. Each is replaced by a surrogate that depends only on
 the key, its kind and its canonical form, so every mention of an entity in any
 document gets the same one: digits become digits, letters letters of the same
@@ -93,9 +93,12 @@ def find_all(text: Column) -> Column:
 
 
 def kind_of(m: Column) -> Column:
+    """The kind of a match; NULL for digits in the form of a card number whose
+    check digit is wrong, which are no card number."""
     out = F.lit("phone")
     for name in ("person", "card", "ssn", "ipv4", "iban", "access_key", "secret", "email"):
-        out = F.when(m.rlike(f"^(?:{PATTERNS[name]})$"), F.lit(name)).otherwise(out)
+        is_one = F.lit(name) if name != "card" else F.when(_luhn(F.regexp_replace(m, r"\D", "")) == 0, "card")
+        out = F.when(m.rlike(f"^(?:{PATTERNS[name]})$"), is_one).otherwise(out)
     return out
 
 
@@ -345,8 +348,8 @@ def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
     texts = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(found, find_all(F.col("text")))
                    .withColumn(gaps, F.when(F.size(found) > 0, F.split(F.col("text"), ANY, -1))), "matches")
     matches = texts.where(F.size(found) > 0).select(F.col(row).alias("row"), F.posexplode(found).alias("at", "m"))
-    mentions = stored(matches.withColumn("kind", kind_of(F.col("m"))).withColumn("value", canonical(F.col("kind"), F.col("m"))),
-                      "mentions")
+    mentions = stored(matches.withColumn("kind", kind_of(F.col("m"))).withColumn("value", canonical(F.col("kind"), F.col("m")))
+                      .where("kind is not null"), "mentions")
     parts = mentions.withColumn("e", F.explode(entities(F.col("kind"), F.col("value"))))
     table = draw(stored(parts.select("e.kind", "e.value").distinct(), "entities"), key)
     drawn = table.select(F.struct("kind", "value").alias("e"), "new")
@@ -356,10 +359,12 @@ def replace_pii(docs: DataFrame, key: str = "surrogate-key") -> DataFrame:
              .groupBy("row", "at", "kind", "m").agg(assembled(F.col("kind"), part).alias("new")))
     rows = (whole.select("row", "at", "kind", poured(F.col("kind"), F.col("m"), F.col("new")).alias("new"))
             .groupBy(F.col("row").alias(row)).agg(
-                F.array_sort(F.collect_list(F.struct("at", "new"))).alias(shown), F.count("*").cast("int").alias("n_entities"),
+                F.map_from_entries(F.collect_list(F.struct("at", "new"))).alias(shown), F.count("*").cast("int").alias("n_entities"),
                 F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds")))
-    text = F.array_join(F.flatten(F.zip_with(gaps, shown, lambda g, s: F.array(g, F.coalesce(s["new"], F.lit(""))))), "")
-    changed = (texts.where(F.size(found) > 0).join(rows, row).withColumn("text", text)
-               .select(*docs.columns, "n_entities", "kinds"))
+    # a match that is no entity stays
+    put = F.transform(found, lambda m, i: F.coalesce(F.try_element_at(F.col(shown), i), m))
+    text = F.array_join(F.flatten(F.zip_with(gaps, put, lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
+    changed = (texts.where(F.size(found) > 0).join(rows, row, "left").withColumn("text", text)
+               .select(*docs.columns, F.coalesce("n_entities", F.lit(0)).alias("n_entities"), F.coalesce("kinds", F.lit("")).alias("kinds")))
     return changed.union(texts.where(F.size(found) == 0).select(
         *docs.columns, F.lit(0).alias("n_entities"), F.lit("").alias("kinds")))

@@ -134,6 +134,16 @@ def test_long_secrets_vanish_whole(spark, docs):
     assert "cret" not in out[10:] and "!tail" not in out and len(out) == len(secret) + 15
 
 
+def test_other_long_numbers_stay(spark, docs):
+    """Sixteen digits without a valid check digit are no card; cards beside
+    them are found."""
+    text = "order 2123465659789240 and 4111 1111 1111 1111, 5731080387325255 4111111111111112 x"
+    got = run(docs, [(1, text), (2, "only 8007782375593431 here"), (3, "4111111111111111")])
+    assert got[2].text == "only 8007782375593431 here" and got[2].n_entities == 0 and got[2].kinds == ""
+    assert re.fullmatch(r"order 2123465659789240 and \d{4} \d{4} \d{4} \d{4}, 5731080387325255 4111111111111112 x", got[1].text)
+    assert got[1].n_entities == 1 and "4111 1111" not in got[1].text and luhn(got[3].text) == 0 and got[3].text in got[1].text.replace(" ", "")
+
+
 def test_clashing_columns(spark, docs):
     rows = docs([(1, "ip 9.9.9.9 x"), (2, "none")])
     for c in ("row_number", "found", "gaps", "shown", "drawn_", "matches_", "kinds", "n_entities", "row", "at", "kind", "value", "new", "E"):
