@@ -42,6 +42,7 @@ from pyspark.sql import Window as W
 
 from sparkretail.llm.components import components, stored
 from sparkretail.llm.textops import hash_texts, mix64
+from sparkretail.session import scratch_path, temporary
 
 _U = np.uint64
 
@@ -395,12 +396,15 @@ def one_of_each_group(docs: DataFrame, k: int = 5, threshold_pct: int = 80) -> D
     number = "row_number"
     while number in docs.columns:
         number += "_"
+    spark = docs.sparkSession
     rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    groups = ngram_jaccard_join(rows.select(F.col(number).alias("doc_id"), "text"), k, threshold_pct)
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "row")
-    members = (groups.select(F.col("doc_id").alias("row"), "component_id")
-               .join(rows.select(F.col(number).alias("row"), F.col("doc_id").alias("id")), "row"))
-    first = members.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = (members.join(first, "component_id").where(F.col("row") != F.col("first.row"))
-            .select(F.col("row").alias(number)))
-    return rows.join(stored(gone, "gone"), number, "left_anti").select(*docs.columns)
+    gone = scratch_path(spark, "gone")
+    with temporary(spark):  # what the join stores is read no more once the rows to drop are written
+        groups = ngram_jaccard_join(rows.select(F.col(number).alias("doc_id"), "text"), k, threshold_pct)
+        place = F.struct(F.col("id").isNull().alias("last"), "id", "row")
+        members = (groups.select(F.col("doc_id").alias("row"), "component_id")
+                   .join(rows.select(F.col(number).alias("row"), F.col("doc_id").alias("id")), "row"))
+        first = members.groupBy("component_id").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+        (members.join(first, "component_id").where(F.col("row") != F.col("first.row"))
+         .select(F.col("row").alias(number)).write.parquet(gone))
+    return rows.join(spark.read.parquet(gone), number, "left_anti").select(*docs.columns)
