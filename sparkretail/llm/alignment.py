@@ -46,9 +46,9 @@ from sparkretail.llm.components import stored
 #: bound of the pairs sent to every task
 HOT = 1 << 17
 #: characters of text aligned at once (a longer text alone)
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: chunks that a task remembers before it starts anew; what counts as long there
-REMEMBERED, LONG = 300_000, 200
+REMEMBERED, LONG = 150_000, 200
 
 
 def default_tokenizers() -> tuple[str, str]:
