@@ -67,6 +67,12 @@ def micro(x: Column) -> Column:
     return F.floor(x * F.lit(float(MICRO)) + F.lit(0.5))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body
+    names it: an expression within a lambda is otherwise computed at each use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def design(frame: DataFrame) -> DataFrame:
     """``frame`` with the model's columns and ``log_y`` (training rows), in
     millionths. ``t`` runs from 0 to 1 over the training period."""
@@ -115,9 +121,8 @@ def solve(sums: DataFrame, priors: Priors = Priors(), inverse: bool = False) ->
               .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "row"))), lambda s: s["row"]).alias("m")))
 
     def eliminate(m: Column, k: Column) -> Column:
-        pivot = F.get(m, k)
-        return F.transform(m, lambda r, i: F.when(i == k, r).otherwise(
-            F.zip_with(r, pivot, lambda a, b: a - F.get(r, k) / F.get(pivot, k) * b)))
+        return _let(F.get(m, k), lambda pivot: F.transform(m, lambda r, i: F.when(i == k, r).otherwise(_let(
+            F.get(r, k) / F.get(pivot, k), lambda f: F.zip_with(r, pivot, lambda a, b: a - f * b)))))
 
     done = F.aggregate(F.sequence(F.lit(0), F.lit(p - 1)), F.col("m").cast("array<array<double>>"), eliminate)
     out = [F.transform("m", lambda r, i: F.get(r, F.lit(p)) / F.get(r, i)).alias("weights")]
@@ -132,8 +137,10 @@ def _dot(a, b) -> Column:
 
 def fitted(designed: DataFrame, weights: DataFrame) -> DataFrame:
     """The design rows with ``weights`` and ``mu``, the fitted log."""
-    x = F.array(*[F.col(c).cast("double") for c in column_names()])
-    return designed.join(weights, "store_id").withColumn("mu", _dot(F.col("weights"), x) / F.lit(float(MICRO)))
+    mu = F.lit(0.0)  # the terms one by one: compiled, unlike a function of arrays
+    for j, c in enumerate(column_names()):
+        mu = mu + F.get("weights", F.lit(j)) * F.col(c).cast("double")
+    return designed.join(weights, "store_id").withColumn("mu", mu / F.lit(float(MICRO)))
 
 
 def _uniform(seed: int, *key) -> Column:
@@ -144,8 +151,9 @@ def _uniform(seed: int, *key) -> Column:
 
 def band(fit: DataFrame, horizon: int = FORECAST_HORIZON, level: float = 0.8, draws: int = 300, seed: int = 11,
          least_change: float = 0.05) -> DataFrame:
-    """``store_id, low, high``: per step of the horizon the quantiles of the
-    simulated deviation from the fitted log; ``fit`` has the inverse matrix.
+    """``store_id, ahead, low, high``: the future rows (step, doubt, ds, mu) in
+    order and per step of the horizon the quantiles of the simulated deviation
+    from the fitted log; ``fit`` has the inverse matrix and is read once.
     Slope changes have the mean size of the fitted ones, ``least_change`` at
     least. A draw has one noise for all steps, so that the quantiles of
     neighbouring steps differ by their spread and not by chance."""
@@ -156,28 +164,31 @@ def band(fit: DataFrame, horizon: int = FORECAST_HORIZON, level: float = 0.8, dr
     bends = F.slice(F.first("weights"), 3, CHANGEPOINTS)
     x = F.array(*[F.col(c) / F.lit(float(MICRO)) for c in column_names()])
     # the fit's own uncertainty at a row, in units of the noise
-    doubt = F.when(~train, F.struct("step", _dot(F.transform("inverse", lambda r: _dot(r, x)), x).alias("doubt")))
-    fit = fit.where(train | (F.col("kind") == "future")).withColumn("ahead", doubt)
+    doubt = _let(x, lambda v: _dot(F.transform("inverse", lambda r: _dot(r, v)), v))
+    ahead = F.when(~train, F.struct("step", doubt.alias("doubt"), "ds", "mu"))
+    fit = fit.where(train | (F.col("kind") == "future")).withColumn("ahead", ahead)
     stores = fit.groupBy("store_id").agg(
-        F.transform(F.array_sort(F.collect_list("ahead")), lambda s: F.sqrt(s["doubt"] + F.lit(1.0))).alias("spread"),
+        F.array_sort(F.collect_list("ahead")).alias("ahead"),
         F.sqrt(F.sum(error * error) / F.greatest(n - n_season, n / 2)).alias("sigma"),
         F.greatest(F.aggregate(F.transform(bends, F.abs), F.lit(0.0), lambda s, v: s + v) / F.lit(float(CHANGEPOINTS)),
                    F.lit(least_change)).alias("size"),
         (F.lit(7.0) / F.first("span")).alias("dt"))
 
     def path(draw: Column) -> Column:
-        def one(acc: Column, step: Column) -> Column:
-            u = [*(_uniform(seed + i, F.col("store_id"), draw, step) for i in (0, 1)),
-                 *(_uniform(seed + i, F.col("store_id"), draw) for i in (2, 3))]
-            jump = F.when(u[0] < F.lit(float(CHANGEPOINTS)) * F.col("dt"), F.signum(u[1] - 0.5) * -F.col("size") * F.ln(
-                F.lit(1.0) - F.abs(F.lit(2.0) * u[1] - F.lit(1.0)))).otherwise(F.lit(0.0))
-            slope = acc["slope"] + jump
-            off = acc["off"] + slope * F.col("dt")
-            noise = F.col("sigma") * F.get(F.col("spread"), step - 1) * F.sqrt(F.lit(-2.0) * F.ln(u[2])) * F.cos(F.lit(2 * math.pi) * u[3])
-            return F.struct(slope.alias("slope"), off.alias("off"), F.concat(acc["out"], F.array(off + noise)).alias("out"))
+        u2, u3 = (_uniform(seed + i, F.col("store_id"), draw) for i in (2, 3))
+        normal = F.struct(F.sqrt(F.lit(-2.0) * F.ln(u2)).alias("r"), F.cos(F.lit(2 * math.pi) * u3).alias("c"))
+
+        def one(acc: Column, step: Column, z: Column) -> Column:
+            u = [_uniform(seed + i, F.col("store_id"), draw, step) for i in (0, 1)]
+            size = _let(u[1], lambda v: F.signum(v - 0.5) * -F.col("size") * F.ln(F.lit(1.0) - F.abs(F.lit(2.0) * v - F.lit(1.0))))
+            jump = F.when(u[0] < F.lit(float(CHANGEPOINTS)) * F.col("dt"), size).otherwise(F.lit(0.0))
+            noise = F.col("sigma") * F.get(F.col("spread"), step - 1) * z["r"] * z["c"]
+            return _let(acc["slope"] + jump, lambda slope: _let(acc["off"] + slope * F.col("dt"), lambda off: F.struct(
+                slope.alias("slope"), off.alias("off"), F.concat(acc["out"], F.array(off + noise)).alias("out"))))
 
         start = F.struct(F.lit(0.0).alias("slope"), F.lit(0.0).alias("off"), F.array().cast("array<double>").alias("out"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, one, lambda acc: acc["out"])
+        return _let(normal, lambda z: F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, lambda acc, step: one(acc, step, z),
+                                                  lambda acc: acc["out"]))
 
     def quantile(values: Column, q: float) -> Column:
         at = q * (draws - 1)
@@ -185,13 +196,14 @@ def band(fit: DataFrame, horizon: int = FORECAST_HORIZON, level: float = 0.8, dr
         a, b = F.get(values, F.lit(lo)), F.get(values, F.lit(min(lo + 1, draws - 1)))
         return a + (b - a) * F.lit(at - lo)
 
-    paths = stores.select("store_id", F.transform(F.sequence(F.lit(1), F.lit(draws)), path).alias("paths"))
-    steps = F.transform(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda s: F.array_sort(F.transform(
-        "paths", lambda p: F.get(p, s))))
+    spread = F.transform("ahead", lambda s: F.sqrt(s["doubt"] + F.lit(1.0))).alias("spread")
+    paths = F.transform(F.sequence(F.lit(1), F.lit(draws)), path)
+    steps = _let(paths, lambda ps: F.transform(F.sequence(F.lit(0), F.lit(horizon - 1)), lambda s: F.sort_array(
+        F.transform(ps, lambda p: F.get(p, s)))))
     tail = (1 - level) / 2
-    return paths.select("store_id", steps.alias("v")).select(
-        "store_id", F.transform("v", lambda v: quantile(v, tail)).alias("low"),
-        F.transform("v", lambda v: quantile(v, 1 - tail)).alias("high"))
+    ends = _let(steps, lambda vs: F.struct(F.transform(vs, lambda v: quantile(v, tail)).alias("low"),
+                                           F.transform(vs, lambda v: quantile(v, 1 - tail)).alias("high")))
+    return stores.select("*", spread).select("store_id", "ahead", ends.alias("ends")).select("store_id", "ahead", "ends.low", "ends.high")
 
 
 def changepoint_frame(features: DataFrame, horizon: int = FORECAST_HORIZON, min_weeks: int = MIN_HISTORY,
@@ -214,6 +226,6 @@ def changepoint_forecast(features: DataFrame, horizon: int = FORECAST_HORIZON, m
     fit = fitted(designed, solve(gram(designed), priors, inverse=True))
     at = lambda c: F.get(c, (F.col("step") - 1).cast("int"))
     cents = lambda mu: round_half_away(F.exp(mu), 2)
-    return (fit.where(F.col("kind") == "future").join(band(fit, horizon, level, draws, seed), "store_id")
+    return (band(fit, horizon, level, draws, seed).select("store_id", "low", "high", F.inline("ahead"))
             .select("store_id", "ds", "step", cents(F.col("mu")).alias("yhat"),
                     cents(F.col("mu") + at("low")).alias("yhat_lower"), cents(F.col("mu") + at("high")).alias("yhat_upper")))

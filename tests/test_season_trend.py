@@ -113,6 +113,13 @@ def test_no_python_and_one_exchange_of_the_rows(spark, broken):
     assert "Python" not in plan and "Arrow" not in plan and "Broadcast" not in plan.replace("BroadcastHint", "")
 
 
+def test_the_band_fits_once(spark, broken):
+    """One fit serves the future rows and their band, and each draw's hashes are computed once."""
+    plan = season_trend.changepoint_forecast(features(spark, broken))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1
+    assert plan.count("xxhash64(") == 4
+
+
 def test_edges(spark):
     assert season_trend.changepoint_frame(features(spark, {1: [10.0] * 51})).count() == 0
     rows = season_trend.changepoint_forecast(features(spark, {1: [10.0] * 52, 2: [0.01] * 60})).collect()
