@@ -36,11 +36,13 @@ def sketch_periods(rows: DataFrame, features: Sequence[str] = NUMERIC_FEATURES,
     smallest."""
     present = [c for c in features if c in rows.columns]
     period = F.date_trunc("week", F.col(date_col)).cast("date").alias("period")
-    cast = rows.select(period, *[F.col(c).cast("double").alias(c) for c in present])
-    values = cast.unpivot(["period"], present, "feature", "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    return values.groupBy("feature", "period").agg(
-        F.kll_sketch_agg_double("value", k).alias("sketch"), F.count("value").alias("n"), F.max("value").alias("top"),
-        F.min("value").alias("low"))
+    # one row in, not one per feature: what the aggregation sorts stays as narrow as the input
+    cast = rows.select(period, *[F.when(~F.isnan(v), v).alias(c) for c in present for v in [F.col(c).cast("double")]])
+    per = cast.groupBy("period").agg(*[F.struct(
+        F.lit(c).alias("feature"), F.kll_sketch_agg_double(c, k).alias("sketch"), F.count(c).alias("n"),
+        F.max(c).alias("top"), F.min(c).alias("low")).alias(c) for c in present])
+    return per.select("period", F.inline(F.array(*present))).where(F.col("n") > 0).select(
+        *SKETCH_STRUCT.fieldNames())
 
 
 def merged(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
