@@ -15,11 +15,11 @@ T = ceil(p (|x| + |y|) / (100 + p)) common shingles.
    allow it: the number of differing parity bits never exceeds the true
    symmetric difference, so no link is lost. Lists whose members are not
    one component then are searched for other pairs, members of one component
-   left out.
+   left out; these pairs join components, not documents.
 3. The components of that candidate graph are blocks. Each block gets its
    whole texts and is searched exactly with ``DivideSkip``: heap-merge of the
-   short lists, binary probes of the long ones. A block beyond
-   ``block_shingles`` is dealt over several tasks: first its smallest document
+   short lists, binary probes of the long ones. A task that has the whole
+   block has its components too. A block beyond ``block_shingles`` is dealt over several tasks: first its smallest document
    is the query against all, then every document that it did not link is a
    query against all; documents linked by the first are connected already.
 
@@ -151,8 +151,9 @@ def join_forest(n: np.ndarray, comp: np.ndarray, bits: list[bytes], p: int) -> l
 
 
 def _rest_of_lists(rows: DataFrame, p: int) -> DataFrame:
-    """Further candidate pairs of lists that are not one component. Lists are
-    many and small: they pass as sorted runs through one task each."""
+    """Further candidate pairs, of the components of their members, from lists
+    that are not one component. Lists are many and small: they pass as sorted
+    runs through one task each."""
     def run(batches):
         rest = None
         for t in batches:
@@ -165,17 +166,17 @@ def _rest_of_lists(rows: DataFrame, p: int) -> DataFrame:
         if rest is not None:
             yield _forests(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]), p)
 
-    return (rows.select("list", "part", "doc", "n", "comp", "bits").repartition("list", "part")
+    return (rows.select("list", "part", "n", "comp", "bits").repartition("list", "part")
             .sortWithinPartitions("list", "part").mapInArrow(run, "a long, b long"))
 
 
 def _forests(t: pa.Table, cut: np.ndarray, p: int) -> pa.RecordBatch:
-    ids, n, comp = (t.column(c).to_numpy() for c in ("doc", "n", "comp"))
+    n, comp = (t.column(c).to_numpy() for c in ("n", "comp"))
     bits, a, b = t.column("bits").to_pylist(), [], []
     for lo, hi in zip(cut, cut[1:]):
         for x, y in join_forest(n[lo:hi], comp[lo:hi], bits[lo:hi], p):
-            a.append(ids[lo + x])
-            b.append(ids[lo + y])
+            a.append(comp[lo + x])
+            b.append(comp[lo + y])
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
@@ -263,12 +264,29 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], p: int) -> list[tuple[i
     return out
 
 
+def smallest_linked(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Every node of the edges with the smallest one it is connected to, but
+    for that one itself."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for x, y in edges:
+        x, y = root(x), root(y)
+        up[max(x, y)] = min(x, y)
+    return [(x, root(x)) for x in up if root(x) != x]
+
+
 def _search_blocks(rows: DataFrame, k: int, p: int) -> DataFrame:
-    """Links in blocks that fit one task: ``(block, doc_id, text)``."""
+    """Linked documents and the smallest of their component, in blocks that fit
+    one task: ``(block, doc_id, text)``."""
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("doc_id").to_numpy()
         sets = [s for _, s in ordered_sets(table.column("text"), k)]
-        e = block_links(ids, sets, p)
+        e = smallest_linked(block_links(ids, sets, p))
         return pa.table({"a": pa.array([x for x, _ in e], pa.int64()), "b": pa.array([y for _, y in e], pa.int64())})
 
     return rows.select("block", "doc_id", "text").groupBy("block").applyInArrow(run, "a long, b long")
@@ -331,9 +349,33 @@ def candidate_blocks(sets: DataFrame, p: int, list_rows: int = 4096) -> DataFram
             .withColumn("m", parts).withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("m")).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
             .withColumn("part", F.least("mine", "o") * F.col("m") + F.greatest("mine", "o")))
-    second = _rest_of_lists(rest, p)
-    return components(first.union(second), "a", "b").select(
-        F.col("node").alias("doc_id"), F.col("component").alias("block"))
+    top = components(_rest_of_lists(rest, p), "a", "b").select(F.col("node").alias("top"), F.col("component").alias("block"))
+    alone = top.join(comp, top["top"] == comp["node"], "left_anti")  # in no star
+    return (comp.join(top, comp["component"] == top["top"], "left")
+            .select(F.col("node").alias("doc_id"), F.coalesce("block", "component").alias("block"))
+            .union(alone.select("top", "block")))
+
+
+def _search_big_blocks(texts: DataFrame, kept: DataFrame, k: int, p: int, block_shingles: int) -> DataFrame:
+    """Links in blocks that are dealt over ``parts`` tasks: ``(block, parts,
+    doc_id, text)``."""
+    big = texts.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    everywhere = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    cols = ["block", "part", "is_query", "doc_id", "text"]
+    data = big.withColumn("is_query", F.lit(False))
+    lead = big.where("doc_id = block").withColumn("is_query", F.lit(True)).withColumn("part", everywhere)
+    led = stored(_search_queries(data.select(cols).union(lead.select(cols)), k, p), "led")
+    other = big.join(led.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    rounds = (other.join(kept, "doc_id").groupBy("block")
+              .agg(F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("rounds")))
+    other = (other.join(rounds, "block").withColumn("round", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("rounds")))
+             .withColumn("is_query", F.lit(True)).withColumn("at", everywhere))
+    data = (data.join(rounds, "block").withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)))
+            .withColumn("at", F.col("part")))
+    both = [x.select("block", (F.col("round") * F.col("parts") + F.col("at")).cast("int").alias("part"), "is_query",
+                     "doc_id", "text") for x in (data, other)]
+    found = _search_queries(both[0].union(both[1]), k, p)
+    return led.union(found)
 
 
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, threshold_pct: int = 80,
@@ -357,30 +399,18 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, threshold_pct: int = 80,
     where = blocks.join(weight.select("block", many.alias("parts")), "block")
     texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(where, "doc_id")
                    .select("block", "parts", "doc_id", "text"), "texts")
-    links = _search_blocks(texts.where("parts = 1"), k, p)
-
-    big = texts.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    everywhere = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    cols = ["block", "part", "is_query", "doc_id", "text"]
-    data = big.withColumn("is_query", F.lit(False))
-    lead = big.where("doc_id = block").withColumn("is_query", F.lit(True)).withColumn("part", everywhere)
-    led = stored(_search_queries(data.select(cols).union(lead.select(cols)), k, p), "led")
-    other = big.join(led.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_anti")
-    rounds = (other.join(kept, "doc_id").groupBy("block")
-              .agg(F.ceil(F.sum("n_shingles") / F.lit(block_shingles)).cast("int").alias("rounds")))
-    other = (other.join(rounds, "block").withColumn("round", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("rounds")))
-             .withColumn("is_query", F.lit(True)).withColumn("at", everywhere))
-    data = (data.join(rounds, "block").withColumn("round", F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)))
-            .withColumn("at", F.col("part")))
-    both = [x.select("block", (F.col("round") * F.col("parts") + F.col("at")).cast("int").alias("part"), "is_query",
-                     "doc_id", "text") for x in (data, other)]
-    found = _search_queries(both[0].union(both[1]), k, p)
+    low = stored(_search_blocks(texts.where("parts = 1"), k, p), "links")
+    edges = low
+    root = low.select(F.col("a").alias("rep"), F.col("b").alias("component"))
+    if texts.where("parts > 1").select("parts").limit(1).count():
+        links = stored(_search_big_blocks(texts.where("parts > 1"), kept, k, p, block_shingles), "links")
+        edges = low.union(links)
+        root = root.union(components(links, "a", "b"))
 
     repeats = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    edges = stored(links.union(led).union(found), "links")
-    root = components(edges, "a", "b").select(F.col("node").alias("rep"), "component")
     # equal sets hang on their representative: one join, no further rounds, unless a doc_id has several sets
-    several = member.where("doc_id is not null").groupBy("doc_id").agg(F.countDistinct("rep").alias("reps")).where("reps > 1").limit(1).count()
+    several = (member.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y"))
+               .where("x < y").limit(1).count())
     if several:
         root = components(edges.union(repeats), "a", "b").select(F.col("node").alias("doc_id"), "component")
         return member.join(root, "doc_id", "left").select(

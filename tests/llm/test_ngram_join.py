@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from sparkretail.llm import components as components_module
 from sparkretail.llm import ngram_join
 from sparkretail.llm.components import components
 from sparkretail.llm.ngram_join import DivideSkip, block_links, join_forest, ngram_jaccard_join, parity_bits, required_overlap
@@ -137,6 +138,49 @@ def test_connected_components(spark):
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
 
 
+def test_steps_end_with_stars(spark, docs, monkeypatch):
+    """No step follows once all edges are stars; blocks that fit a task take no steps at all."""
+    written = []
+
+    def counted(df, name, write=components_module.stored):
+        written.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(components_module, "stored", counted)
+    for edges, steps in (([], 0), ([(1, 2), (3, 1), (1, 1), (7, 5)], 0), ([(i, i + 1) for i in range(3)], 2), ([(1, 3), (2, 3)], 1)):
+        written.clear()
+        got = components(spark.createDataFrame(edges, "a long, b long"), "a", "b")
+        assert written.count("edges") <= 1 + steps
+        low = _classes(edges, 8)
+        alone = {i for i in range(8) if not any(i in e for e in edges if e[0] != e[1])}
+        assert {r.node: r.component for r in got.collect()} == {i: low[i] for i in range(8) if i not in alone}
+    written.clear()
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:40 + i] + [f"x{i}"])) for i in range(9)] + [(i, f"alone{i}") for i in range(20, 25)]
+    got = ngram_jaccard_join(docs(rows), k=3, threshold_pct=90)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(rows, 3, 90)
+    assert written.count("edges") <= 4  # stars and their pairs
+
+
+def test_smallest_linked():
+    rnd = random.Random(5)
+    for n in (2, 10, 60):
+        edges = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(n // 2 + 1)]
+        low = _classes(edges, n)
+        assert sorted(ngram_join.smallest_linked(edges)) == [(i, low[i]) for i in range(n) if low[i] != i]
+
+
+def test_doc_ids_that_repeat_with_other_texts(spark, docs):
+    """A doc_id is one node, whichever of its texts links; in blocks of one task and of several."""
+    w = [f"w{i}" for i in range(80)]
+    a, a2, b, b2, c = w[:40], w[:39] + ["y"], w[40:], w[40:79] + ["z"], ["c"] * 5
+    rows = [(9, " ".join(a)), (4, " ".join(a2)), (4, " ".join(b)), (2, " ".join(b2)), (6, " ".join(c)), (9, " ".join(a)), (3, "only"), (6, "one")]
+    for limit in (10**6, 30):
+        got = ngram_jaccard_join(docs(rows), k=3, threshold_pct=90, block_shingles=limit).collect()
+        by = {i: {r.component_id for r in got if r.doc_id == i} for i in (9, 4, 2, 6, 3)}
+        assert by == {9: {2}, 4: {2}, 2: {2}, 6: {6}, 3: {3}} and len(got) == len(rows)
+
+
 def test_one_of_each_group(spark, docs):
     d = docs([(1, "a"), (1, "a"), (2, "b"), (1, "c"), (None, "c"), (None, "d"), (4, None), (3, "b"), (4, "")])
     got = ngram_join.one_of_each_group(d)
