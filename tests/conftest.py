@@ -23,3 +23,10 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
+
+
+@pytest.fixture(autouse=True)
+def no_cache_of_another_test(spark):
+    """A test finds the session without tables that another one cached."""
+    yield
+    spark.catalog.clearCache()
